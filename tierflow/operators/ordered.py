@@ -52,6 +52,7 @@ def ordered_scan(
     lead: Mapping[str, Column | str] | None = None,
     lag: Mapping[str, Column | str] | None = None,
     carry: Mapping[str, Column | str] | None = None,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Add ordered-within-key columns to ``df``.
 
@@ -63,20 +64,24 @@ def ordered_scan(
     * ``key_sum``: {out: expr} — sum of expr over the whole key.
     * ``lead`` / ``lag``: {out: expr} — expr on the next / previous row (null at the ends).
     * ``carry``: {out: expr} — last non-null expr at or before this row.
+
+    Key columns must be non-null. With ``keep_block`` the block column
+    ``__blk`` stays in the output; a later scan over the same key finds it and
+    reuses the existing ``(key, __blk)`` partitioning instead of shuffling again.
     """
     key = list(key)
     order = [order] if isinstance(order, str) else list(order)
     running_sum, key_sum = dict(running_sum or {}), dict(key_sum or {})
     lead, lag, carry = dict(lead or {}), dict(lag or {}), dict(carry or {})
-    if block is None:
-        block = F.floor(F.col(order[0]) / F.lit(block_size))
-
-    src_cols = df.columns
+    src_cols = [c for c in df.columns if c != _BLK]
     inputs: dict[str, Column] = {}
     for prefix, spec in (("rs", running_sum), ("ks", key_sum), ("ld", lead), ("lg", lag), ("cy", carry)):
         for out, expr in spec.items():
             inputs[f"__in_{prefix}_{out}"] = _col(expr)
-    d = df.withColumns({_BLK: block, **inputs})
+    reuse = _BLK in df.columns and block is None
+    if block is None and not reuse:
+        block = F.floor(F.col(order[0]) / F.lit(block_size))
+    d = df.withColumns(inputs if reuse else {_BLK: block, **inputs})
 
     wl = Window.partitionBy(*key, _BLK).orderBy(*order)
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -121,13 +126,8 @@ def ordered_scan(
         sx[f"__s_lg_{out}"] = F.lag(f"__b_lg_{out}").over(ws)
     for out in carry:
         sx[f"__s_cy_{out}"] = F.last(f"__b_cy_{out}", ignorenulls=True).over(before)
-    summary = summary.withColumns(sx).select(
-        *[F.col(k).alias(f"__k_{k}") for k in key], F.col(_BLK).alias("__k_blk"), _CNT, *sx.keys())
-
-    cond = F.col(_BLK).eqNullSafe(F.col("__k_blk"))
-    for k in key:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    joined = windowed.join(summary, cond, "inner")
+    summary = summary.withColumns(sx).select(*key, _BLK, _CNT, *sx.keys())
+    joined = windowed.join(summary, [*key, _BLK], "inner")
 
     outs: dict[str, Column] = {}
     if row_number:
@@ -143,7 +143,8 @@ def ordered_scan(
     for out in carry:
         outs[out] = F.coalesce(F.col(f"__l_cy_{out}"), F.col(f"__s_cy_{out}"))
     keep = [c for c in src_cols if c not in outs]
-    return joined.select(*keep, *[v.alias(k) for k, v in outs.items()])
+    extra = [_BLK] if keep_block else []
+    return joined.select(*keep, *[v.alias(k) for k, v in outs.items()], *extra)
 
 
 def time_block(ts: Column | str, width_seconds: int) -> Column:

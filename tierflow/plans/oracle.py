@@ -161,3 +161,118 @@ top_u AS (
            CAST(row_number() OVER (PARTITION BY user_id
                 ORDER BY recommendation_score DESC NULLS LAST, food_name) AS INTEGER) AS recommendation_rank
     FROM best_u) WHERE recommendation_rank <= 10)"""
+
+# ------------------------------------------------------------------ profile events
+EVENTS = f"""
+ev_m AS (
+  SELECT *, CASE event_type WHEN 'signup' THEN 'create' WHEN 'click' THEN 'update'
+                 WHEN 'purchase' THEN 'update' WHEN 'error' THEN 'delete' ELSE event_type END AS m
+  FROM events),
+ev AS (
+  SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, m AS event_type, printf('U%03d', user_id) AS user_id,
+    CASE WHEN m = 'delete' OR (m = 'update' AND event_id % 2 = 0) THEN NULL
+         WHEN event_id % 41 = 0 THEN '' ELSE 'user_' || CAST(user_id AS VARCHAR) END AS user_name,
+    CASE WHEN m = 'delete' OR (m = 'update' AND event_id % 3 = 0) THEN NULL
+         WHEN event_id % 17 = 0 THEN 'unknown'
+         ELSE CASE user_id % 4 WHEN 0 THEN 'male' WHEN 1 THEN 'female' WHEN 2 THEN 'other'
+                   ELSE 'prefer_not_to_say' END END AS gender,
+    CASE WHEN m = 'delete' OR (m = 'update' AND event_id % 4 = 0) THEN NULL
+         WHEN event_id % 29 = 0 THEN '1899-12-31'
+         ELSE CAST(DATE '1940-01-01' + CAST((user_id * 97) % 25000 AS INTEGER) AS VARCHAR) END AS birth_date,
+    CASE WHEN m = 'delete' OR (m = 'update' AND event_id % 3 = 1) THEN NULL
+         WHEN event_id % 61 = 0 THEN {D(0)} ELSE {D(150)} + user_id % 50 END AS height_cm,
+    CASE WHEN m = 'delete' OR (m = 'update' AND event_id % 7 = 0) THEN NULL
+         WHEN event_id % 53 = 0 THEN NULL ELSE value + {D(60)} END AS current_weight_lb,
+    CASE WHEN m = 'delete' OR (m = 'update' AND event_id % 5 = 0) THEN NULL
+         ELSE {D(100)} + CAST(json_extract_string(props, '$.k') AS DOUBLE) * 2 END AS target_weight_lb
+  FROM ev_m)"""
+
+
+def _rule(field: str, bad: str, req: str, msg: str) -> str:
+    return (f"CASE WHEN (CASE WHEN {field} IS NULL THEN {req} ELSE coalesce({bad}, TRUE) END) "
+            f"THEN '{msg}' END")
+
+
+def errors_sql(req: str) -> str:
+    from tierflow.constants import FIELD_MESSAGES as M
+    b = "TRY_CAST(birth_date AS DATE)"
+    rules = [
+        _rule("user_name", "length(user_name) < 1 OR length(user_name) > 100", req, M["user_name"]),
+        _rule("gender", "gender NOT IN ('male', 'female', 'other', 'prefer_not_to_say')", req, M["gender"]),
+        _rule("birth_date", f"{b} IS NULL OR {b} >= {AS_OF} OR year({b}) < 1900", req, M["birth_date"]),
+        _rule("height_cm", "height_cm <= 0 OR height_cm > 300", req, M["height_cm"]),
+        _rule("current_weight_lb", "current_weight_lb <= 0 OR current_weight_lb > 800", req,
+              M["current_weight_lb"]),
+        _rule("target_weight_lb", "target_weight_lb <= 0 OR target_weight_lb > 800", req, M["target_weight_lb"]),
+    ]
+    return "concat_ws('; ', " + ", ".join(rules) + ")"
+
+
+VALIDATED = f"""
+routed AS (
+  SELECT *, CASE WHEN user_id IS NULL OR event_type NOT IN ('create', 'update', 'delete') THEN 'rejected'
+                 ELSE event_type END AS route,
+            CASE WHEN user_id IS NULL THEN 'missing user_id'
+                 WHEN event_type NOT IN ('create', 'update', 'delete') THEN 'unknown event_type: ' || event_type
+            END AS reject_reason
+  FROM ev),
+validated AS (
+  SELECT *, errors = '' AS is_valid FROM (
+    SELECT *, CASE WHEN route = 'rejected' THEN reject_reason
+                   WHEN route IN ('create', 'update') THEN {errors_sql("route = 'create'")}
+                   ELSE '' END AS errors
+    FROM routed))"""
+
+_FIELDS = ["user_name", "gender", "birth_date", "height_cm", "current_weight_lb", "target_weight_lb"]
+_MERGED = ",\n    ".join(
+    f"CASE WHEN event_type IN ('create', 'update') THEN last_value({f} IGNORE NULLS) OVER "
+    f"(PARTITION BY user_id, seg ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+    f"ELSE {f} END AS {f}" for f in _FIELDS)
+
+MERGED = f"""
+ok AS (SELECT event_id, ts, event_type, user_id, {', '.join(_FIELDS)} FROM validated
+       WHERE route IN ('create', 'update', 'delete') AND is_valid),
+segd AS (
+  SELECT *,
+    SUM(CASE WHEN event_type = 'delete' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - CASE WHEN event_type = 'delete' THEN 1 ELSE 0 END AS seg,
+    SUM(CASE WHEN event_type = 'delete' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) AS last_seg
+  FROM ok),
+merged AS (
+  SELECT event_id, ts, event_type, user_id, seg, last_seg,
+    {_MERGED}
+  FROM segd)"""
+
+
+def fold_sql(strict: bool) -> str:
+    accept = ("(event_type = 'create' AND creates = 1) OR (event_type = 'update' AND creates >= 1)"
+              if strict else "pos = 1 OR event_type = 'update'")
+    return f"""
+cand AS (
+  SELECT *,
+    row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos,
+    SUM(CASE WHEN event_type = 'create' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS creates
+  FROM merged
+  WHERE seg = last_seg AND event_type <> 'delete'
+    AND current_weight_lb IS NOT NULL AND target_weight_lb IS NOT NULL),
+acc AS (SELECT * FROM cand WHERE {accept}),
+dim AS (
+  SELECT event_id AS user_profile_key, user_id, user_name, gender,
+    TRY_CAST(birth_date AS DATE) AS birth_date,
+    CAST(year({AS_OF}) - year(TRY_CAST(birth_date AS DATE))
+         - CASE WHEN month({AS_OF}) < month(TRY_CAST(birth_date AS DATE))
+                  OR (month({AS_OF}) = month(TRY_CAST(birth_date AS DATE))
+                      AND day({AS_OF}) < day(TRY_CAST(birth_date AS DATE))) THEN 1 ELSE 0 END AS INTEGER) AS age,
+    height_cm, current_weight_lb, target_weight_lb,
+    CASE WHEN target_weight_lb < current_weight_lb THEN 'weight_loss'
+         WHEN target_weight_lb > current_weight_lb THEN 'weight_gain' ELSE 'maintenance' END AS goal_type,
+    ts AS effective_start,
+    lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS effective_end,
+    lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) IS NULL AS is_current,
+    CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS INTEGER) AS version_number
+  FROM acc)"""
+
+
+FOLD = fold_sql(False)
+FOLD_STRICT = fold_sql(True)

@@ -151,3 +151,132 @@ def q_goal_topk_table(spark, sf_dir):
     """W2-W3 per goal: the broadcast side of the recommendation join."""
     return rec.top_k_by_goal(medallion.silver_foods(spark, sf_dir)).select(
         "goal_type", "food_name", "recommendation_score", "recommendation_rank")
+
+
+# --------------------------------------------------------------------------- events, SCD2
+
+from tierflow.operators import scd2, validate  # noqa: E402
+
+
+def profile_events(spark, sf_dir):
+    return adapters.profile_events(adapters.table(spark, sf_dir, "events"))
+
+
+def dimension(spark, sf_dir, strict=False):
+    return scd2.fold(profile_events(spark, sf_dir), adapters.AS_OF, strict=strict)
+
+
+@register("route_events", O.with_(O.EVENTS, O.VALIDATED) + """
+ SELECT event_id, user_id, event_type, route, reject_reason FROM routed""")
+def q_route_events(spark, sf_dir):
+    """Routing with missing type = create, unknown types to rejects."""
+    return validate.route_events(profile_events(spark, sf_dir)).select(
+        "event_id", "user_id", "event_type", "route", "reject_reason")
+
+
+@register("validate_profiles", O.with_(O.EVENTS, O.VALIDATED) + """
+ SELECT event_id, user_id, event_type, route, errors, is_valid FROM validated""")
+def q_validate_profiles(spark, sf_dir):
+    """Payload rules and field messages for create (required) / update (optional)."""
+    return validate.validate_events(profile_events(spark, sf_dir), adapters.AS_OF).select(
+        "event_id", "user_id", "event_type", "route", "errors", "is_valid")
+
+
+@register("patch_merge", O.with_(O.EVENTS, O.VALIDATED, O.MERGED) + """
+ SELECT event_id, user_id, event_type, CAST(seg AS BIGINT) AS seg, user_name, gender, birth_date, height_cm,
+        current_weight_lb, target_weight_lb FROM merged WHERE event_type = 'update'""")
+def q_patch_merge(spark, sf_dir):
+    """Update patches completed with the last supplied values since the last delete."""
+    v = validate.validate_events(profile_events(spark, sf_dir), adapters.AS_OF)
+    v = v.filter(F.col("route").isin("create", "update", "delete") & F.col("is_valid"))
+    m = scd2.merge_patches(v.select("event_id", "ts", "event_type", "user_id", *validate.PAYLOAD_FIELDS,
+                                    "is_valid"), keep_block=False)
+    return m.filter(F.col("event_type") == "update").select(
+        "event_id", "user_id", "event_type", F.col("seg").cast("long").alias("seg"), *validate.PAYLOAD_FIELDS)
+
+
+@register("scd2_fold", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + " SELECT * FROM dim")
+def q_scd2_fold(spark, sf_dir):
+    """The SCD2 dimension from the whole event log (update of unknown user upserts)."""
+    return dimension(spark, sf_dir)
+
+
+@register("scd2_fold_strict", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD_STRICT) + " SELECT * FROM dim")
+def q_scd2_fold_strict(spark, sf_dir):
+    """E2-E6 strict: updates before a create are refused."""
+    return dimension(spark, sf_dir, strict=True)
+
+
+@register("reject_unknown_users", O.with_(O.EVENTS, O.VALIDATED) + """,
+ok AS (SELECT * FROM validated WHERE route IN ('create', 'update', 'delete') AND is_valid),
+s AS (SELECT *, SUM(CASE WHEN event_type = 'delete' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - CASE WHEN event_type = 'delete' THEN 1 ELSE 0 END AS seg
+      FROM ok),
+e AS (SELECT *, EXISTS (SELECT 1 FROM s c WHERE c.user_id = s.user_id AND c.seg = s.seg AND c.event_type = 'create'
+                         AND c.event_id < s.event_id) AS user_exists FROM s)
+SELECT event_id, user_id, event_type, 'user not found' AS reject_reason FROM e
+WHERE event_type IN ('update', 'delete') AND NOT user_exists""")
+def q_reject_unknown_users(spark, sf_dir):
+    """Updates / deletes of users that do not exist at that point."""
+    return scd2.unknown_user_rejects(profile_events(spark, sf_dir), adapters.AS_OF)
+
+
+@register("point_in_time", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + """
+ SELECT * FROM dim WHERE effective_start <= TIMESTAMP '2024-01-28 00:00:00'
+   AND (effective_end IS NULL OR effective_end > TIMESTAMP '2024-01-28 00:00:00')""")
+def q_point_in_time(spark, sf_dir):
+    """The version of each user valid at a given instant."""
+    return scd2.point_in_time(dimension(spark, sf_dir), "2024-01-28 00:00:00")
+
+
+@register("range_join_events_versions", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + """
+ SELECT e.event_id, e.user_id, e.ts, e.value, d.user_profile_key
+ FROM (SELECT event_id, printf('U%03d', user_id) AS user_id, CAST(ts AS TIMESTAMP) AS ts, value FROM events) e
+ LEFT JOIN dim d ON d.user_id = e.user_id AND d.effective_start <= e.ts
+   AND (d.effective_end IS NULL OR d.effective_end > e.ts)""")
+def q_range_join(spark, sf_dir):
+    """J7 generalised: every raw event tagged with the profile version valid at its time."""
+    ev = adapters.table(spark, sf_dir, "events").select(
+        "event_id", cleanse.format_user_id("user_id").alias("user_id"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+    return scd2.as_of_versions(ev, dimension(spark, sf_dir), "ts").select(
+        "event_id", "user_id", "ts", "value", "user_profile_key")
+
+
+@register("backfill_history", O.with_(O.USERS) + f""",
+cur AS (SELECT user_id, user_name, gender, birth_date, age, height_cm, target_weight_lb, current_weight_lb,
+               {O.RUN_TS} AS effective_start, 1 AS is_cur, CAST(NULL AS BIGINT) AS src FROM enriched),
+hist AS (SELECT c.user_id, c.user_name, c.gender, c.birth_date, c.age, c.height_cm, c.target_weight_lb,
+                {O.D(100)} + o.o_orderkey % 200 AS current_weight_lb, CAST(o.o_orderdate AS TIMESTAMP) AS effective_start,
+                0 AS is_cur, o.o_orderkey AS src
+         FROM orders o JOIN cur c ON c.user_id = printf('U%03d', o.o_custkey)),
+allv AS (SELECT * FROM cur UNION ALL SELECT * FROM hist)
+SELECT user_id, user_name, gender, birth_date, age, height_cm, target_weight_lb, current_weight_lb,
+       CASE WHEN target_weight_lb < current_weight_lb THEN 'weight_loss'
+            WHEN target_weight_lb > current_weight_lb THEN 'weight_gain' ELSE 'maintenance' END AS goal_type,
+       effective_start,
+       lead(effective_start) OVER w AS effective_end,
+       lead(effective_start) OVER w IS NULL AS is_current,
+       CAST(row_number() OVER w AS INTEGER) AS version_number
+FROM allv WINDOW w AS (PARTITION BY user_id ORDER BY effective_start, is_cur, src NULLS LAST)""")
+def q_backfill_history(spark, sf_dir):
+    """Version chain rebuilt from older weight readings plus the current profile."""
+    cur = medallion.enriched_users(spark, sf_dir).withColumn(
+        "effective_start", F.lit(adapters.RUN_TS).cast("timestamp_ntz"))
+    readings = adapters.weight_readings(adapters.table(spark, sf_dir, "orders"))
+    return scd2.backfill_history(cur, readings)
+
+
+@register("dq_scd2_invariants", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + """,
+chk AS (SELECT user_id, is_current, effective_end, version_number,
+               lead(effective_start) OVER (PARTITION BY user_id ORDER BY version_number) AS nxt,
+               row_number() OVER (PARTITION BY user_id ORDER BY version_number) AS pos FROM dim)
+SELECT user_id, CAST(SUM(CAST(is_current AS INTEGER)) AS BIGINT) AS current_rows, COUNT(*) AS versions,
+       CAST(SUM(CASE WHEN nxt IS NOT NULL AND effective_end IS DISTINCT FROM nxt THEN 1 ELSE 0 END) AS BIGINT) AS chain_gaps,
+       CAST(SUM(CASE WHEN pos <> version_number THEN 1 ELSE 0 END) AS BIGINT) AS numbering_holes
+FROM chk GROUP BY user_id
+HAVING SUM(CAST(is_current AS INTEGER)) > 1 OR SUM(CASE WHEN nxt IS NOT NULL AND effective_end IS DISTINCT FROM nxt
+       THEN 1 ELSE 0 END) > 0 OR SUM(CASE WHEN pos <> version_number THEN 1 ELSE 0 END) > 0""")
+def q_dq_scd2_invariants(spark, sf_dir):
+    """Users breaking at-most-one-current / contiguity / numbering (expected empty)."""
+    return scd2.invariant_violations(dimension(spark, sf_dir))

@@ -23,6 +23,7 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
