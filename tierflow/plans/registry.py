@@ -280,3 +280,330 @@ HAVING SUM(CAST(is_current AS INTEGER)) > 1 OR SUM(CASE WHEN nxt IS NOT NULL AND
 def q_dq_scd2_invariants(spark, sf_dir):
     """Users breaking at-most-one-current / contiguity / numbering (expected empty)."""
     return scd2.invariant_violations(dimension(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- warehouse, reports, DQ
+
+from tierflow.functions.cleanse import to_warehouse_decimal  # noqa: E402
+from tierflow.operators import quality as dq  # noqa: E402
+from tierflow.operators import warehouse as wh  # noqa: E402
+from tierflow.plans import reports  # noqa: E402
+from tierflow.constants import BAND_VALUES  # noqa: E402
+
+
+def warehouse_state(spark, sf_dir):
+    """(dim_user, dim_food, fact): event-built dimension + batch load of new users."""
+    silver = medallion.silver_foods(spark, sf_dir)
+    dim_ev = dimension(spark, sf_dir)
+    gold_users = medallion.enriched_users(spark, sf_dir)
+    gold_recs = rec.recommend(gold_users, silver)
+    cur = scd2.current_rows(dim_ev).select("user_id", "goal_type")
+    fact_ev = rec.fact_rows(rec.recommend(cur, silver))
+    w = wh.load(dim_ev, fact_ev, silver, gold_users, gold_recs, adapters.RUN_TS)
+    dim_user = to_warehouse_decimal(w.dim_user, ["height_cm", "current_weight_lb", "target_weight_lb"])
+    fact = to_warehouse_decimal(w.fact, ["recommendation_score"])
+    return dim_user, w.dim_food, fact
+
+
+DIM_OUT = ["user_id", "user_name", "gender", "birth_date", "age", "height_cm", "current_weight_lb",
+           "target_weight_lb", "goal_type", "effective_start", "effective_end", "is_current", "version_number"]
+
+
+@register("decimal_boundary", O.with_(*O.FOODS_CHAIN, O.USERS, O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD,
+                                      O.WAREHOUSE) + " SELECT * FROM wfood")
+def q_decimal_boundary(spark, sf_dir):
+    """Warehouse food rows with DECIMAL(10,2) numbers."""
+    return wh.dim_food(medallion.silver_foods(spark, sf_dir))
+
+
+@register("load_dim_user", O.with_(*O.WAREHOUSE_CHAIN) + " SELECT * FROM wdim")
+def q_load_dim_user(spark, sf_dir):
+    """Dimension after the batch load (existing users skipped, new ones stamped)."""
+    return warehouse_state(spark, sf_dir)[0].select(*DIM_OUT)
+
+
+@register("load_fact", O.with_(*O.WAREHOUSE_CHAIN) + " SELECT * FROM wfact")
+def q_load_fact(spark, sf_dir):
+    """Fact after the batch load (new users' recommendations appended)."""
+    return warehouse_state(spark, sf_dir)[2].select(*FACT_REC_COLUMNS)
+
+
+@register("recommend_changed_users", O.with_(*O.FOODS_CHAIN, O.USERS, O.TOP_USERS, O.EVENTS, O.VALIDATED,
+                                             O.MERGED, O.FOLD) + f""",
+changed AS (SELECT DISTINCT user_id FROM merged),
+cur_ev AS (SELECT user_id, goal_type FROM dim WHERE is_current),
+{O.top_sql('cur_ev', 'fresh')}
+SELECT user_id, food_name, goal_type, recommendation_score, recommendation_rank, recommendation_reason
+FROM top_u t WHERE NOT EXISTS (SELECT 1 FROM changed c WHERE c.user_id = t.user_id)
+UNION ALL
+SELECT user_id, food_name, goal_type, recommendation_score, recommendation_rank, recommendation_reason FROM fresh""")
+def q_recommend_changed_users(spark, sf_dir):
+    """Users touched by events get fresh recommendations for their current goal
+    (deleted users lose theirs); everyone else keeps the batch rows."""
+    silver = medallion.silver_foods(spark, sf_dir)
+    batch = rec.fact_rows(rec.recommend(medallion.enriched_users(spark, sf_dir), silver))
+    ev = validate.validate_events(profile_events(spark, sf_dir), adapters.AS_OF)
+    touched = ev.filter(F.col("route").isin("create", "update", "delete") & F.col("is_valid")).select(
+        "user_id").distinct()
+    cur = scd2.current_rows(dimension(spark, sf_dir)).select("user_id", "goal_type")
+    changed = touched.join(cur, "user_id", "left")
+    return rec.recommend_changed(batch, changed, silver)
+
+
+@register("report", O.with_(*O.WAREHOUSE_CHAIN, O.REPORT) + " SELECT * FROM report")
+def q_report(spark, sf_dir):
+    """V1 (J2 + J3): flat recommendation report; fans out over servings like the modelled view."""
+    dim_user, dim_food, fact = warehouse_state(spark, sf_dir)
+    return reports.recommendation_report(fact, dim_user, dim_food)
+
+
+@register("report_best_serving", O.with_(*O.WAREHOUSE_CHAIN) + """,
+fbest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY food_name ORDER BY serving_description,
+    calories_kcal, protein_g, carbohydrates_g, fat_g, fiber_g, sugar_g, sodium_mg) AS rn
+                         FROM wfood) WHERE rn = 1)
+SELECT u.user_id, u.user_name, u.gender, u.age, u.goal_type, u.height_cm, u.current_weight_lb,
+       u.target_weight_lb, r.food_name, r.recommendation_score, r.recommendation_rank, r.recommendation_reason,
+       f.calories_kcal, f.protein_g, f.fiber_g, f.carbohydrates_g, f.fat_g, f.sugar_g, f.calorie_band,
+       f.protein_band, f.is_high_protein_low_calorie, f.is_high_fiber, f.is_low_sugar
+FROM wfact r JOIN wdim u ON r.user_id = u.user_id AND u.is_current LEFT JOIN fbest f ON r.food_name = f.food_name""")
+def q_report_best_serving(spark, sf_dir):
+    """V1 option: one report row per recommendation (first serving of each food)."""
+    dim_user, dim_food, fact = warehouse_state(spark, sf_dir)
+    return reports.recommendation_report(fact, dim_user, dim_food, best_serving_only=True)
+
+
+@register("goal_summary", O.with_(*O.WAREHOUSE_CHAIN) + """
+ SELECT user_id, user_name, gender, age, goal_type, height_cm, current_weight_lb, target_weight_lb,
+        CAST(ROUND(current_weight_lb - target_weight_lb, 1) AS DECIMAL(10,1)) AS weight_delta_lb
+ FROM wdim WHERE is_current""")
+def q_goal_summary(spark, sf_dir):
+    """V2 (C15, J9)."""
+    return reports.goal_summary(warehouse_state(spark, sf_dir)[0])
+
+
+@register("food_profile", O.with_(*O.WAREHOUSE_CHAIN) + """
+ SELECT food_name, calories_kcal, protein_g, carbohydrates_g, fat_g, fiber_g, sugar_g, sodium_mg, calorie_band,
+        protein_band, carb_band, fat_band, is_high_protein_low_calorie, is_high_fiber, is_low_sugar FROM wfood""")
+def q_food_profile(spark, sf_dir):
+    """V3."""
+    return reports.food_profile(warehouse_state(spark, sf_dir)[1])
+
+
+HIST_COLS = ["user_id", "user_name", "gender", "age", "goal_type", "height_cm", "current_weight_lb",
+             "target_weight_lb", "weight_delta_lb", "changed_at", "effective_end", "is_current", "version_number",
+             "progress_status"]
+
+
+@register("progress_history", O.with_(*O.WAREHOUSE_CHAIN, O.HISTORY) + f" SELECT {', '.join(HIST_COLS)} FROM hist")
+def q_progress_history(spark, sf_dir):
+    """V4 (W4, W5, C15): progress status per version."""
+    return reports.progress_history(warehouse_state(spark, sf_dir)[0]).select(*HIST_COLS)
+
+
+@register("user_history", O.with_(*O.WAREHOUSE_CHAIN, O.HISTORY) + """
+ SELECT user_id, user_name, gender, age, height_cm, current_weight_lb, target_weight_lb, goal_type, weight_delta_lb,
+        changed_at, changed_at AS effective_start, effective_end, is_current, version_number, progress_status,
+        total_versions FROM hist""")
+def q_user_history(spark, sf_dir):
+    """V7 (+ A6): history rows with the user's version count."""
+    return reports.user_history(warehouse_state(spark, sf_dir)[0])
+
+
+@register("list_users", O.with_(*O.WAREHOUSE_CHAIN) + """
+ SELECT user_id, user_name, goal_type FROM wdim WHERE is_current ORDER BY user_id""")
+def q_list_users(spark, sf_dir):
+    """V5."""
+    return reports.list_users(warehouse_state(spark, sf_dir)[0])
+
+
+@register("current_profile", O.with_(*O.WAREHOUSE_CHAIN) + """
+ SELECT user_id, user_name, gender, birth_date, age, height_cm, current_weight_lb, target_weight_lb, goal_type,
+        effective_start, version_number FROM wdim WHERE is_current""")
+def q_current_profile(spark, sf_dir):
+    """V6."""
+    return reports.current_profile(warehouse_state(spark, sf_dir)[0])
+
+
+@register("recs_for_users", O.with_(*O.WAREHOUSE_CHAIN) + """
+ SELECT user_id, food_name, goal_type, recommendation_score, recommendation_rank, recommendation_reason
+ FROM wfact WHERE user_id IN (SELECT user_id FROM dim WHERE is_current AND goal_type = 'weight_gain')
+ ORDER BY user_id, recommendation_rank""")
+def q_recs_for_users(spark, sf_dir):
+    """Recommendations of a user set (here: event-built users aiming to gain)."""
+    dim_user, _, fact = warehouse_state(spark, sf_dir)
+    sel = scd2.current_rows(dimension(spark, sf_dir)).filter(F.col("goal_type") == "weight_gain")
+    return reports.recs_for_users(fact, sel)
+
+
+@register("weight_journey", O.with_(*O.WAREHOUSE_CHAIN, O.HISTORY) + """
+ SELECT user_id, version_number, CAST(changed_at AS DATE) AS date, current_weight_lb AS actual_lb,
+        target_weight_lb AS target_lb, weight_delta_lb AS gap_lb, progress_status,
+        replace(progress_status, '_', ' ') AS status_label,
+        CASE goal_type WHEN 'weight_loss' THEN 'Weight Loss' WHEN 'weight_gain' THEN 'Weight Gain'
+             WHEN 'maintenance' THEN 'Maintenance' ELSE goal_type END AS goal_label
+ FROM hist""")
+def q_weight_journey(spark, sf_dir):
+    """V9 (C20): chart series."""
+    return reports.weight_journey(reports.progress_history(warehouse_state(spark, sf_dir)[0]))
+
+
+SEARCH_TERMS = ["u01", "#000000", "user_4"]
+
+
+@register("search_users", O.with_(*O.WAREHOUSE_CHAIN) + f""",
+terms AS (SELECT * FROM (VALUES {', '.join(f"('{t}')" for t in SEARCH_TERMS)}) t(term))
+ SELECT t.term, u.user_id, u.user_name FROM wdim u, terms t
+ WHERE u.is_current AND (contains(lower(u.user_id), t.term) OR contains(lower(coalesce(u.user_name, '')), t.term))""")
+def q_search_users(spark, sf_dir):
+    """Case-insensitive substring search on id or name for a list of terms."""
+    return reports.search_users(warehouse_state(spark, sf_dir)[0], SEARCH_TERMS)
+
+
+@register("top_foods_by_goal", O.with_(*O.WAREHOUSE_CHAIN) + """
+ SELECT goal_type, food_name, COUNT(*) AS n_users, MIN(recommendation_rank) AS best_rank,
+        CAST(SUM(recommendation_score) AS DECIMAL(20,2)) AS sum_score, replace(food_name, '_', ' ') AS food_label
+ FROM wfact GROUP BY goal_type, food_name""")
+def q_top_foods_by_goal(spark, sf_dir):
+    """A8."""
+    return reports.top_foods_by_goal(warehouse_state(spark, sf_dir)[2])
+
+
+@register("rank_distribution", O.with_(*O.WAREHOUSE_CHAIN, O.REPORT) + """
+ SELECT recommendation_rank, COUNT(*) AS n_rows, CAST(SUM(recommendation_score) AS DECIMAL(20,2)) AS sum_score
+ FROM report GROUP BY recommendation_rank""")
+def q_rank_distribution(spark, sf_dir):
+    """A8 over V1."""
+    dim_user, dim_food, fact = warehouse_state(spark, sf_dir)
+    return reports.rank_distribution(reports.recommendation_report(fact, dim_user, dim_food))
+
+
+@register("score_distribution", O.with_(*O.WAREHOUSE_CHAIN) + """
+ SELECT goal_type, floor(recommendation_score / 10.0) * 10.0 AS bucket_lo, COUNT(*) AS n_rows
+ FROM wfact GROUP BY 1, 2""")
+def q_score_distribution(spark, sf_dir):
+    """A8."""
+    return reports.score_distribution(warehouse_state(spark, sf_dir)[2])
+
+
+@register("flag_kpis", O.with_(*O.WAREHOUSE_CHAIN, O.REPORT) + """
+ SELECT goal_type, COUNT(*) AS n_rows,
+        CAST(SUM(is_high_protein_low_calorie) AS BIGINT) AS n_high_protein_low_calorie,
+        CAST(SUM(is_high_fiber) AS BIGINT) AS n_high_fiber, CAST(SUM(is_low_sugar) AS BIGINT) AS n_low_sugar
+ FROM report GROUP BY goal_type""")
+def q_flag_kpis(spark, sf_dir):
+    """A8 over V1."""
+    dim_user, dim_food, fact = warehouse_state(spark, sf_dir)
+    return reports.flag_kpis(reports.recommendation_report(fact, dim_user, dim_food))
+
+
+SILVER_CHECKS = [
+    ("row_count", None, 1, "silver"),
+    ("not_null", "food_name", None, "silver"),
+    ("positive", "calories_kcal", None, "silver"),
+    ("non_negative", "protein_g", None, "silver"),
+    ("non_negative", "carbohydrates_g", None, "silver"),
+    ("non_negative", "fat_g", None, "silver"),
+    ("non_negative", "fiber_g", None, "silver"),
+    ("non_negative", "sugar_g", None, "silver"),
+    ("categorical", "calorie_band", BAND_VALUES, "silver"),
+    ("categorical", "protein_band", BAND_VALUES, "silver"),
+    ("categorical", "carb_band", BAND_VALUES, "silver"),
+    ("categorical", "fat_band", BAND_VALUES, "silver"),
+    ("not_null", "protein_g", None, "silver"),
+    ("unique", ("food_name", "serving_description"), None, "silver"),
+]
+
+GOLD_CHECKS = [
+    ("row_count", None, 1, "gold_recs"),
+    ("not_null", "recommendation_score", None, "gold_recs"),
+    ("value_range", "recommendation_rank", (1, 10), "gold_recs"),
+    ("unique", ("user_id", "recommendation_rank"), None, "gold_recs"),
+    ("unique", ("user_id", "food_name"), None, "gold_recs"),
+]
+
+
+def _checks(spec):
+    out = []
+    for kind, col, arg, label in spec:
+        if kind == "row_count":
+            out.append(dq.row_count(arg, label))
+        elif kind == "value_range":
+            out.append(dq.value_range(col, arg[0], arg[1], label))
+        elif kind == "categorical":
+            out.append(dq.categorical(col, arg, label))
+        elif kind == "unique":
+            out.append(dq.unique(col, label))
+        else:
+            out.append(getattr(dq, kind)(col, label))
+    return out
+
+
+@register("dq_report", O.with_(O.DIRTY_FOODS, O.BRONZE, O.SILVER) + " "
+          + O.dq_sql("silver_post_transform", "silver", SILVER_CHECKS))
+def q_dq_report(spark, sf_dir):
+    """The silver gate over the cleansed dirty foods, one aggregate pass."""
+    return dq.run_checks(medallion.silver_foods(spark, sf_dir, dirty=True), _checks(SILVER_CHECKS),
+                         "silver_post_transform")
+
+
+@register("dq_gold_report", O.with_(*O.FOODS_CHAIN, O.USERS, O.TOP_USERS) + " "
+          + O.dq_sql("gold_recommendations_check", "top_u", GOLD_CHECKS))
+def q_dq_gold_report(spark, sf_dir):
+    """The gold gate over all users' top-10."""
+    return dq.run_checks(top10(spark, sf_dir), _checks(GOLD_CHECKS), "gold_recommendations_check")
+
+
+@register("dq_referential", O.with_(*O.WAREHOUSE_CHAIN) + """
+ SELECT 'warehouse_post_load_check' AS stage, 'referential_integrity' AS "check", 'user_id' AS "column",
+        CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS BIGINT) AS observed,
+        'fk=user_id -> pk=user_id orphans=' || n AS detail
+ FROM (SELECT COUNT(*) AS n FROM wfact f LEFT JOIN (SELECT DISTINCT user_id FROM wdim) d ON f.user_id = d.user_id
+       WHERE d.user_id IS NULL)""")
+def q_dq_referential(spark, sf_dir):
+    """Fact rows without a dimension row (orphans)."""
+    dim_user, _, fact = warehouse_state(spark, sf_dir)
+    return dq.referential_report(fact, dim_user, "user_id", "user_id", "warehouse_post_load_check")
+
+
+@register("dq_users_without_recs", O.with_(*O.WAREHOUSE_CHAIN) + """
+ SELECT user_id, user_name FROM wdim d WHERE is_current AND NOT EXISTS (SELECT 1 FROM wfact f WHERE f.user_id = d.user_id)""")
+def q_dq_users_without_recs(spark, sf_dir):
+    """D15 in bulk: current users with no recommendation."""
+    dim_user, _, fact = warehouse_state(spark, sf_dir)
+    return dq.users_without_recommendations(scd2.current_rows(dim_user).select("user_id", "user_name"), fact)
+
+
+@register("dataset_profile", O.with_(O.DIRTY_FOODS) + """,
+n AS (SELECT COUNT(*) AS row_count FROM raw_foods)
+SELECT ordinal, column_name, data_type, row_count, 9 AS column_count, null_count FROM (
+  SELECT 1 AS ordinal, 'label' AS column_name, 'string' AS data_type, COUNT(*) FILTER (WHERE label IS NULL) AS null_count FROM raw_foods
+  UNION ALL SELECT 2, 'weight', 'string', COUNT(*) FILTER (WHERE weight IS NULL) FROM raw_foods
+  UNION ALL SELECT 3, 'calories', 'string', COUNT(*) FILTER (WHERE calories IS NULL) FROM raw_foods
+  UNION ALL SELECT 4, 'protein', 'string', COUNT(*) FILTER (WHERE protein IS NULL) FROM raw_foods
+  UNION ALL SELECT 5, 'carbohydrates', 'string', COUNT(*) FILTER (WHERE carbohydrates IS NULL) FROM raw_foods
+  UNION ALL SELECT 6, 'fats', 'string', COUNT(*) FILTER (WHERE fats IS NULL) FROM raw_foods
+  UNION ALL SELECT 7, 'fiber', 'string', COUNT(*) FILTER (WHERE fiber IS NULL) FROM raw_foods
+  UNION ALL SELECT 8, 'sugars', 'string', COUNT(*) FILTER (WHERE sugars IS NULL) FROM raw_foods
+  UNION ALL SELECT 9, 'sodium', 'string', COUNT(*) FILTER (WHERE sodium IS NULL) FROM raw_foods
+) c, n""")
+def q_dataset_profile(spark, sf_dir):
+    """Shape, types and null counts of the raw food rows in one pass."""
+    raw = cleanse.normalise_columns(adapters.dirty_raw_foods(adapters.table(spark, sf_dir, "part")))
+    return cleanse.dataset_profile(raw)
+
+
+@register("next_ids", O.with_(*O.FOODS_CHAIN, O.USERS, O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + """,
+ids AS (SELECT user_id FROM dim WHERE regexp_matches(user_id, '^U[0-9]+$')
+        UNION SELECT user_id FROM ev WHERE regexp_matches(user_id, '^U[0-9]+$')),
+hw AS (SELECT coalesce(max(CAST(substr(user_id, 2) AS BIGINT)), 0) AS high_water FROM ids),
+req AS (SELECT c_custkey, c_name FROM customer c
+        WHERE NOT EXISTS (SELECT 1 FROM ids WHERE ids.user_id = printf('U%03d', c.c_custkey)))
+SELECT c_custkey, c_name, printf('U%03d', high_water + row_number() OVER (ORDER BY c_custkey)) AS user_id
+FROM req, hw""")
+def q_next_ids(spark, sf_dir):
+    """E14 (J11, A5, C17, C18): ids for new profile requests past the high-water mark."""
+    ev = profile_events(spark, sf_dir)
+    ids = wh.known_ids(dimension(spark, sf_dir), ev)
+    customers = adapters.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    requests = customers.join(ids, cleanse.format_user_id("c_custkey") == ids["user_id"], "left_anti")
+    return wh.allocate_ids(requests, ["c_custkey"], wh.high_water_mark(ids)).select("c_custkey", "c_name", "user_id")

@@ -34,6 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         b = b.master(master)
     conf = dict(SCALE_CONF)
+    if master and master.startswith("local"):
+        conf.setdefault("spark.driver.memory", os.environ.get("TIERFLOW_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
