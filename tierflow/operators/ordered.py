@@ -10,8 +10,9 @@ than ``block_size`` rows of one key when ids are unique):
 
 1. one window per ``(key, block)`` computes the local row number, running
    sums, lead / lag and last-non-null values (bounded groups, one shuffle);
-2. a per-block summary (count, sums, first / last values) is aggregated on
-   the same partitioning; it has one row per non-empty block;
+2. a per-block summary (count, sums, first / last values) is aggregated from
+   the same input with map-side partial aggregation, so it shuffles about one
+   row per block and map task; it has one row per non-empty block;
 3. a per-key window over the summary turns it into block offsets and the
    values that cross block edges (a hot key has ``rows / block_size`` summary
    rows, e.g. 33 k rows for 33 G events at the default block size);
@@ -19,6 +20,12 @@ than ``block_size`` rows of one key when ids are unique):
    measured size allows, otherwise it is a co-partitioned sort-merge join).
 
 Results equal the unblocked window for every row; the tests check that.
+
+The input is read twice (rows and summary). Pass an input that is cheap to
+recompute (a scan with projections) or a materialised one: chained scans
+materialise in between with ``materialize`` (a reliable checkpoint in the
+shared ``spark.checkpoint.dir``), whose output keeps the ``(key, block)``
+partitioning, so the next scan over the same key needs no new shuffle.
 """
 
 from __future__ import annotations
@@ -96,7 +103,7 @@ def ordered_scan(
         local[f"__l_cy_{out}"] = F.last(f"__in_cy_{out}", ignorenulls=True).over(upto)
     windowed = d.withColumns(local)
 
-    # per-block summary (same (key, block) partitioning as the window above)
+    # per-block summary, aggregated from the input (partial aggregation map-side)
     ord_struct = F.struct(*[F.col(c) for c in order])
     aggs = [F.count(F.lit(1)).alias(_CNT)]
     for out in running_sum:
@@ -110,7 +117,7 @@ def ordered_scan(
     for out in carry:
         c = F.col(f"__in_cy_{out}")
         aggs.append(F.max_by(c, F.when(c.isNotNull(), ord_struct)).alias(f"__b_cy_{out}"))
-    summary = windowed.groupBy(*key, _BLK).agg(*aggs)
+    summary = d.groupBy(*key, _BLK).agg(*aggs)
 
     ws = Window.partitionBy(*key).orderBy(_BLK)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
@@ -150,3 +157,14 @@ def ordered_scan(
 def time_block(ts: Column | str, width_seconds: int) -> Column:
     """Monotone block id for a timestamp ordering (``width_seconds`` wide)."""
     return F.floor(F.unix_micros(_col(ts).cast("timestamp")) / F.lit(width_seconds * 1_000_000))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of an intermediate result: a reliable checkpoint in the
+    shared checkpoint folder (never a machine-local one). Survives executor
+    loss, keeps the output partitioning, and lets a frame that is read twice
+    (rows + block summary) be computed once."""
+    from tierflow.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

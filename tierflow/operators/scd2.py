@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.features import age_calendar, goal_type
-from tierflow.operators.ordered import ordered_scan, time_block
+from tierflow.operators.ordered import materialize, ordered_scan, time_block
 from tierflow.operators.validate import PAYLOAD_FIELDS, validate_events
 
 DIM_COLUMNS = ["user_profile_key", "user_id", "user_name", "gender", "birth_date", "age",
@@ -77,7 +77,7 @@ def merge_patches(events: DataFrame, keep_block: bool = True) -> DataFrame:
 
 
 def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
-         validated: bool = False) -> DataFrame:
+         validated: bool = False, checkpoint: bool = True) -> DataFrame:
     """The dimension rows produced by replaying ``events`` in event-id order.
 
     ``events``: event_id, ts, event_type, user_id and the payload fields
@@ -85,6 +85,10 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
     result is the complete new dimension: untouched users keep their rows,
     users with a delete in ``events`` lose their old rows, other touched users
     keep their history and get their current row expired.
+
+    With ``checkpoint`` the inputs of the second and third scan are
+    materialised (``ordered.materialize``), so each scan reads its input
+    instead of recomputing the chain before it.
     """
     v = events if validated else validate_events(events, as_of)
     v = v.filter(F.col("route").isin("create", "update", "delete") & F.col("is_valid"))
@@ -97,9 +101,10 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
         b = _base_as_events(base.join(touched, "user_id", "left_semi")).withColumn("is_valid", F.lit(True))
         v = v.unionByName(b)
 
+    mat = materialize if checkpoint else (lambda x: x)
     m = merge_patches(v)
-    cand = m.filter((F.col("seg") == F.col("last_seg")) & (F.col("event_type") != "delete")
-                    & F.col("current_weight_lb").isNotNull() & F.col("target_weight_lb").isNotNull())
+    cand = mat(m.filter((F.col("seg") == F.col("last_seg")) & (F.col("event_type") != "delete")
+                        & F.col("current_weight_lb").isNotNull() & F.col("target_weight_lb").isNotNull()))
     is_create = F.col("event_type").isin("create", "base").cast("long")
     c = ordered_scan(cand, ["user_id"], ["event_id"], row_number="__pos",
                      running_sum={"__creates": is_create}, keep_block=True)
@@ -108,7 +113,7 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
                  ((F.col("event_type") == "update") & (F.col("__creates") >= 1))
     else:
         accept = (F.col("__pos") == 1) | (F.col("event_type") == "update")
-    acc = c.filter(accept).drop("__pos", "__creates")
+    acc = mat(c.filter(accept).drop("__pos", "__creates"))
     base_off = F.coalesce(F.col("base_version").cast("long") - 1, F.lit(0))
     s = ordered_scan(acc, ["user_id"], ["event_id"], row_number="__v", lead={"effective_end": "ts"},
                      key_sum={"__base_off": base_off})
@@ -127,7 +132,7 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
     if base is None:
         return dim
     base = base.select(*DIM_COLUMNS)
-    erased = m.filter(F.col("last_seg") > 0).select("user_id").distinct()
+    erased = v.filter(F.col("event_type") == "delete").select("user_id").distinct()
     untouched = base.join(touched, "user_id", "left_anti")
     history = (base.filter(~F.col("is_current"))
                .join(touched, "user_id", "left_semi")
@@ -142,7 +147,7 @@ def unknown_user_rejects(events: DataFrame, as_of) -> DataFrame:
                                               & F.col("is_valid"))
     is_del = (F.col("event_type") == "delete").cast("long")
     s = ordered_scan(v, ["user_id"], ["event_id"], running_sum={"__del_upto": is_del}, keep_block=True)
-    s = s.withColumn("seg", F.col("__del_upto") - is_del)
+    s = materialize(s.withColumn("seg", F.col("__del_upto") - is_del))
     is_create = F.col("event_type") == "create"
     s2 = ordered_scan(s, ["user_id"], ["event_id"], carry={"__create_seg": F.when(is_create, F.col("seg"))})
     exists = F.coalesce(F.col("__create_seg") == F.col("seg"), F.lit(False))

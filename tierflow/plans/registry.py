@@ -156,6 +156,7 @@ def q_goal_topk_table(spark, sf_dir):
 # --------------------------------------------------------------------------- events, SCD2
 
 from tierflow.operators import scd2, validate  # noqa: E402
+from tierflow.operators.ordered import materialize  # noqa: E402
 
 
 def profile_events(spark, sf_dir):
@@ -163,7 +164,8 @@ def profile_events(spark, sf_dir):
 
 
 def dimension(spark, sf_dir, strict=False):
-    return scd2.fold(profile_events(spark, sf_dir), adapters.AS_OF, strict=strict)
+    """The event-built dimension, materialised once (it feeds several joins)."""
+    return materialize(scd2.fold(profile_events(spark, sf_dir), adapters.AS_OF, strict=strict))
 
 
 @register("route_events", O.with_(O.EVENTS, O.VALIDATED) + """
@@ -300,8 +302,8 @@ def warehouse_state(spark, sf_dir):
     cur = scd2.current_rows(dim_ev).select("user_id", "goal_type")
     fact_ev = rec.fact_rows(rec.recommend(cur, silver))
     w = wh.load(dim_ev, fact_ev, silver, gold_users, gold_recs, adapters.RUN_TS)
-    dim_user = to_warehouse_decimal(w.dim_user, ["height_cm", "current_weight_lb", "target_weight_lb"])
-    fact = to_warehouse_decimal(w.fact, ["recommendation_score"])
+    dim_user = materialize(to_warehouse_decimal(w.dim_user, ["height_cm", "current_weight_lb", "target_weight_lb"]))
+    fact = materialize(to_warehouse_decimal(w.fact, ["recommendation_score"]))
     return dim_user, w.dim_food, fact
 
 
