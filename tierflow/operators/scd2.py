@@ -7,15 +7,14 @@ create is refused; an update of an unknown user upserts, or is refused in
 strict mode) are evaluated for the whole log at once as ordered scans per
 user (``operators.ordered``), with no per-event state:
 
-1. one scan per user over the log: running and total delete counts (the
-   segment of each event), the id of the last delete so far, and the last
-   supplied value of every payload field (patch merge, E9);
-2. keep the events of each user's last segment — everything before the last
-   delete was erased (E4) — that are valid after merging;
-3. a scan over those: position and running create count decide acceptance
-   (n = 1 or update; strict: only after an accepted create);
-4. a scan over accepted events: version = position (+ base version), end of
-   validity = start of the next version (E5), current = no next version.
+1. one scan per user over the log: running and total delete counts; keep
+   each user's last segment — everything before the last delete was erased
+   (E4);
+2. a scan over those: the running count of profile-opening events decides
+   acceptance (the first opener, then updates; later creates are refused);
+3. a scan over accepted events: last supplied value of every payload field
+   (patch merge, E9), version = position (+ base version), end of validity =
+   start of the next version (E5), current = no next version.
 
 Every scan is keyed by user and blocked by event id, so a user holding a
 third of the log is spread over many tasks. An existing dimension (``base``)
@@ -52,28 +51,56 @@ def _base_as_events(base: DataFrame) -> DataFrame:
     )
 
 
-def merge_patches(events: DataFrame, keep_block: bool = True) -> DataFrame:
-    """E9 + segmentation (step 1).
+def _valid_events(events: DataFrame, as_of, validated: bool) -> DataFrame:
+    v = events if validated else validate_events(events, as_of)
+    v = v.filter(F.col("route").isin("create", "update", "delete") & F.col("is_valid"))
+    return v.select("event_id", "ts", "event_type", "user_id", *PAYLOAD_FIELDS,
+                    F.lit(None).cast("long").alias("base_key"), F.lit(None).cast("int").alias("base_version"))
+
 
-    Input: validated events (``event_type`` in create / update / delete /
-    base, ``is_valid``). Adds ``seg`` (deletes before the row), ``last_seg``
-    (deletes of the user) and replaces every payload field of create / update
-    rows by the last value supplied since the last delete.
+def accepted_versions(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
+                      validated: bool = False, checkpoint: bool = True) -> DataFrame:
+    """Steps 1-4 of the fold: the accepted events of each user's last segment
+    with merged payload (E9), version position, base offset and end of validity.
+
+    Acceptance: the first *eligible* event opens the profile — a create, or
+    (non-strict) an update that carries both weights (upsert); later creates
+    are refused; updates after it are accepted. A patch is merged against the
+    state it updates: every payload field is the last value supplied by an
+    accepted event (the modelled API merges with the current row).
     """
+    mat = materialize if checkpoint else (lambda x: x)
+    v = _valid_events(events, as_of, validated)
+    if base is not None:
+        touched = v.select("user_id").distinct()
+        v = v.unionByName(_base_as_events(base.join(touched, "user_id", "left_semi")))
     is_del = (F.col("event_type") == "delete").cast("long")
-    contributes = F.col("event_type").isin("create", "update", "base") & F.col("is_valid")
-    carry = {f"__m_{f}": F.when(contributes & F.col(f).isNotNull(), F.struct(F.col("event_id").alias("id"),
-                                                                              F.col(f).alias("v")))
-             for f in PAYLOAD_FIELDS}
-    carry["__last_del"] = F.when(is_del == 1, F.col("event_id"))
-    s = ordered_scan(events, ["user_id"], ["event_id"], running_sum={"__del_upto": is_del},
-                     key_sum={"last_seg": is_del}, carry=carry, keep_block=keep_block)
-    since = F.coalesce(F.col("__last_del"), F.lit(-(1 << 62)))
-    merged = {f: F.when(F.col("event_type").isin("create", "update", "base"),
-                        F.when(F.col(f"__m_{f}.id") > since, F.col(f"__m_{f}.v"))).otherwise(F.col(f))
-              for f in PAYLOAD_FIELDS}
-    merged["seg"] = F.col("__del_upto") - is_del
-    return s.withColumns(merged).drop(*carry.keys(), "__del_upto")
+    a = ordered_scan(v, ["user_id"], ["event_id"], running_sum={"__del_upto": is_del},
+                     key_sum={"__del_total": is_del}, keep_block=True)
+    last = mat(a.filter((F.col("__del_upto") == F.col("__del_total")) & (F.col("event_type") != "delete"))
+               .drop("__del_upto", "__del_total"))
+    opens = F.col("event_type").isin("create", "base")
+    if not strict:
+        opens = opens | ((F.col("event_type") == "update") & F.col("current_weight_lb").isNotNull()
+                         & F.col("target_weight_lb").isNotNull())
+    b = ordered_scan(last.withColumn("__opens", opens), ["user_id"], ["event_id"],
+                     running_sum={"__opened": F.col("__opens").cast("long")}, keep_block=True)
+    acc = mat(b.filter((F.col("__opens") & (F.col("__opened") == 1))
+                       | ((F.col("event_type") == "update") & (F.col("__opened") >= 1)))
+              .drop("__opens", "__opened"))
+    base_off = F.coalesce(F.col("base_version").cast("long") - 1, F.lit(0))
+    c = ordered_scan(acc, ["user_id"], ["event_id"], row_number="__v", lead={"effective_end": "ts"},
+                     key_sum={"__base_off": base_off},
+                     carry={f"__m_{f}": F.col(f) for f in PAYLOAD_FIELDS})
+    return c.withColumns({f: F.col(f"__m_{f}") for f in PAYLOAD_FIELDS}).drop(
+        *[f"__m_{f}" for f in PAYLOAD_FIELDS])
+
+
+def merge_patches(events: DataFrame, as_of, strict: bool = False, checkpoint: bool = True) -> DataFrame:
+    """Accepted updates completed with the state they patch."""
+    acc = accepted_versions(events, as_of, strict=strict, checkpoint=checkpoint)
+    return acc.filter(F.col("event_type") == "update").select(
+        "event_id", "user_id", "event_type", "ts", *PAYLOAD_FIELDS)
 
 
 def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
@@ -90,38 +117,12 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
     materialised (``ordered.materialize``), so each scan reads its input
     instead of recomputing the chain before it.
     """
-    v = events if validated else validate_events(events, as_of)
-    v = v.filter(F.col("route").isin("create", "update", "delete") & F.col("is_valid"))
-    v = v.select("event_id", "ts", "event_type", "user_id", *PAYLOAD_FIELDS,
-                 F.lit(None).cast("long").alias("base_key"), F.lit(None).cast("int").alias("base_version"),
-                 F.lit(True).alias("is_valid"))
-    touched = None
-    if base is not None:
-        touched = v.select("user_id").distinct()
-        b = _base_as_events(base.join(touched, "user_id", "left_semi")).withColumn("is_valid", F.lit(True))
-        v = v.unionByName(b)
-
-    mat = materialize if checkpoint else (lambda x: x)
-    m = merge_patches(v)
-    cand = mat(m.filter((F.col("seg") == F.col("last_seg")) & (F.col("event_type") != "delete")
-                        & F.col("current_weight_lb").isNotNull() & F.col("target_weight_lb").isNotNull()))
-    is_create = F.col("event_type").isin("create", "base").cast("long")
-    c = ordered_scan(cand, ["user_id"], ["event_id"], row_number="__pos",
-                     running_sum={"__creates": is_create}, keep_block=True)
-    if strict:
-        accept = ((is_create == 1) & (F.col("__creates") == 1)) | \
-                 ((F.col("event_type") == "update") & (F.col("__creates") >= 1))
-    else:
-        accept = (F.col("__pos") == 1) | (F.col("event_type") == "update")
-    acc = mat(c.filter(accept).drop("__pos", "__creates"))
-    base_off = F.coalesce(F.col("base_version").cast("long") - 1, F.lit(0))
-    s = ordered_scan(acc, ["user_id"], ["event_id"], row_number="__v", lead={"effective_end": "ts"},
-                     key_sum={"__base_off": base_off})
+    s = accepted_versions(events, as_of, strict=strict, base=base, validated=validated, checkpoint=checkpoint)
+    birth = F.col("birth_date").cast("string").try_cast("date")
     dim = s.select(
         F.coalesce(F.col("base_key"), F.col("event_id")).alias("user_profile_key"),
-        "user_id", "user_name", "gender",
-        F.col("birth_date").cast("string").try_cast("date").alias("birth_date"),
-        age_calendar(F.col("birth_date").cast("string").try_cast("date"), as_of).alias("age"),
+        "user_id", "user_name", "gender", birth.alias("birth_date"),
+        age_calendar(birth, as_of).alias("age"),
         "height_cm", "current_weight_lb", "target_weight_lb",
         goal_type().alias("goal_type"),
         F.col("ts").alias("effective_start"),
@@ -131,6 +132,8 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
     )
     if base is None:
         return dim
+    v = _valid_events(events, as_of, validated)
+    touched = v.select("user_id").distinct()
     base = base.select(*DIM_COLUMNS)
     erased = v.filter(F.col("event_type") == "delete").select("user_id").distinct()
     untouched = base.join(touched, "user_id", "left_anti")

@@ -224,39 +224,34 @@ validated AS (
     FROM routed))"""
 
 _FIELDS = ["user_name", "gender", "birth_date", "height_cm", "current_weight_lb", "target_weight_lb"]
-_MERGED = ",\n    ".join(
-    f"CASE WHEN event_type IN ('create', 'update') THEN last_value({f} IGNORE NULLS) OVER "
-    f"(PARTITION BY user_id, seg ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
-    f"ELSE {f} END AS {f}" for f in _FIELDS)
 
-MERGED = f"""
+
+def fold_sql(strict: bool) -> str:
+    opens = ("event_type = 'create'" if strict else
+             "event_type = 'create' OR (event_type = 'update' AND current_weight_lb IS NOT NULL "
+             "AND target_weight_lb IS NOT NULL)")
+    merged = ",\n    ".join(
+        f"last_value({f} IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {f}" for f in _FIELDS)
+    return f"""
 ok AS (SELECT event_id, ts, event_type, user_id, {', '.join(_FIELDS)} FROM validated
        WHERE route IN ('create', 'update', 'delete') AND is_valid),
 segd AS (
   SELECT *,
     SUM(CASE WHEN event_type = 'delete' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - CASE WHEN event_type = 'delete' THEN 1 ELSE 0 END AS seg,
-    SUM(CASE WHEN event_type = 'delete' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) AS last_seg
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS del_upto,
+    SUM(CASE WHEN event_type = 'delete' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) AS del_total
   FROM ok),
+lastseg AS (SELECT *, ({opens}) AS opens FROM segd WHERE del_upto = del_total AND event_type <> 'delete'),
+opened AS (
+  SELECT *, SUM(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_open
+  FROM lastseg),
+acc AS (SELECT * FROM opened WHERE (opens AND n_open = 1) OR (event_type = 'update' AND n_open >= 1)),
 merged AS (
-  SELECT event_id, ts, event_type, user_id, seg, last_seg,
-    {_MERGED}
-  FROM segd)"""
-
-
-def fold_sql(strict: bool) -> str:
-    accept = ("(event_type = 'create' AND creates = 1) OR (event_type = 'update' AND creates >= 1)"
-              if strict else "pos = 1 OR event_type = 'update'")
-    return f"""
-cand AS (
-  SELECT *,
-    row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos,
-    SUM(CASE WHEN event_type = 'create' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS creates
-  FROM merged
-  WHERE seg = last_seg AND event_type <> 'delete'
-    AND current_weight_lb IS NOT NULL AND target_weight_lb IS NOT NULL),
-acc AS (SELECT * FROM cand WHERE {accept}),
+  SELECT event_id, ts, event_type, user_id,
+    {merged}
+  FROM acc),
 dim AS (
   SELECT event_id AS user_profile_key, user_id, user_name, gender,
     TRY_CAST(birth_date AS DATE) AS birth_date,
@@ -271,7 +266,7 @@ dim AS (
     lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS effective_end,
     lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) IS NULL AS is_current,
     CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS INTEGER) AS version_number
-  FROM acc)"""
+  FROM merged)"""
 
 
 FOLD = fold_sql(False)
@@ -330,7 +325,7 @@ wfood AS (
          calorie_band, protein_band, carb_band, fat_band, is_high_protein_low_calorie, is_high_fiber, is_low_sugar
   FROM silver)"""
 
-WAREHOUSE_CHAIN = (*FOODS_CHAIN, USERS, EVENTS, VALIDATED, MERGED, FOLD, WAREHOUSE)
+WAREHOUSE_CHAIN = (*FOODS_CHAIN, USERS, EVENTS, VALIDATED, FOLD, WAREHOUSE)
 
 REPORT = """
 report AS (

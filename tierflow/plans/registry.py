@@ -184,26 +184,21 @@ def q_validate_profiles(spark, sf_dir):
         "event_id", "user_id", "event_type", "route", "errors", "is_valid")
 
 
-@register("patch_merge", O.with_(O.EVENTS, O.VALIDATED, O.MERGED) + """
- SELECT event_id, user_id, event_type, CAST(seg AS BIGINT) AS seg, user_name, gender, birth_date, height_cm,
+@register("patch_merge", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + """
+ SELECT event_id, user_id, event_type, ts, user_name, gender, birth_date, height_cm,
         current_weight_lb, target_weight_lb FROM merged WHERE event_type = 'update'""")
 def q_patch_merge(spark, sf_dir):
-    """Update patches completed with the last supplied values since the last delete."""
-    v = validate.validate_events(profile_events(spark, sf_dir), adapters.AS_OF)
-    v = v.filter(F.col("route").isin("create", "update", "delete") & F.col("is_valid"))
-    m = scd2.merge_patches(v.select("event_id", "ts", "event_type", "user_id", *validate.PAYLOAD_FIELDS,
-                                    "is_valid"), keep_block=False)
-    return m.filter(F.col("event_type") == "update").select(
-        "event_id", "user_id", "event_type", F.col("seg").cast("long").alias("seg"), *validate.PAYLOAD_FIELDS)
+    """Accepted update patches completed with the state they patch."""
+    return scd2.merge_patches(profile_events(spark, sf_dir), adapters.AS_OF)
 
 
-@register("scd2_fold", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + " SELECT * FROM dim")
+@register("scd2_fold", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + " SELECT * FROM dim")
 def q_scd2_fold(spark, sf_dir):
     """The SCD2 dimension from the whole event log (update of unknown user upserts)."""
     return dimension(spark, sf_dir)
 
 
-@register("scd2_fold_strict", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD_STRICT) + " SELECT * FROM dim")
+@register("scd2_fold_strict", O.with_(O.EVENTS, O.VALIDATED, O.FOLD_STRICT) + " SELECT * FROM dim")
 def q_scd2_fold_strict(spark, sf_dir):
     """E2-E6 strict: updates before a create are refused."""
     return dimension(spark, sf_dir, strict=True)
@@ -223,7 +218,7 @@ def q_reject_unknown_users(spark, sf_dir):
     return scd2.unknown_user_rejects(profile_events(spark, sf_dir), adapters.AS_OF)
 
 
-@register("point_in_time", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + """
+@register("point_in_time", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + """
  SELECT * FROM dim WHERE effective_start <= TIMESTAMP '2024-01-28 00:00:00'
    AND (effective_end IS NULL OR effective_end > TIMESTAMP '2024-01-28 00:00:00')""")
 def q_point_in_time(spark, sf_dir):
@@ -231,7 +226,7 @@ def q_point_in_time(spark, sf_dir):
     return scd2.point_in_time(dimension(spark, sf_dir), "2024-01-28 00:00:00")
 
 
-@register("range_join_events_versions", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + """
+@register("range_join_events_versions", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + """
  SELECT e.event_id, e.user_id, e.ts, e.value, d.user_profile_key
  FROM (SELECT event_id, printf('U%03d', user_id) AS user_id, CAST(ts AS TIMESTAMP) AS ts, value FROM events) e
  LEFT JOIN dim d ON d.user_id = e.user_id AND d.effective_start <= e.ts
@@ -269,7 +264,7 @@ def q_backfill_history(spark, sf_dir):
     return scd2.backfill_history(cur, readings)
 
 
-@register("dq_scd2_invariants", O.with_(O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + """,
+@register("dq_scd2_invariants", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + """,
 chk AS (SELECT user_id, is_current, effective_end, version_number,
                lead(effective_start) OVER (PARTITION BY user_id ORDER BY version_number) AS nxt,
                row_number() OVER (PARTITION BY user_id ORDER BY version_number) AS pos FROM dim)
@@ -311,7 +306,7 @@ DIM_OUT = ["user_id", "user_name", "gender", "birth_date", "age", "height_cm", "
            "target_weight_lb", "goal_type", "effective_start", "effective_end", "is_current", "version_number"]
 
 
-@register("decimal_boundary", O.with_(*O.FOODS_CHAIN, O.USERS, O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD,
+@register("decimal_boundary", O.with_(*O.FOODS_CHAIN, O.USERS, O.EVENTS, O.VALIDATED, O.FOLD,
                                       O.WAREHOUSE) + " SELECT * FROM wfood")
 def q_decimal_boundary(spark, sf_dir):
     """Warehouse food rows with DECIMAL(10,2) numbers."""
@@ -331,8 +326,8 @@ def q_load_fact(spark, sf_dir):
 
 
 @register("recommend_changed_users", O.with_(*O.FOODS_CHAIN, O.USERS, O.TOP_USERS, O.EVENTS, O.VALIDATED,
-                                             O.MERGED, O.FOLD) + f""",
-changed AS (SELECT DISTINCT user_id FROM merged),
+                                             O.FOLD) + f""",
+changed AS (SELECT DISTINCT user_id FROM ok),
 cur_ev AS (SELECT user_id, goal_type FROM dim WHERE is_current),
 {O.top_sql('cur_ev', 'fresh')}
 SELECT user_id, food_name, goal_type, recommendation_score, recommendation_rank, recommendation_reason
@@ -594,7 +589,7 @@ def q_dataset_profile(spark, sf_dir):
     return cleanse.dataset_profile(raw)
 
 
-@register("next_ids", O.with_(*O.FOODS_CHAIN, O.USERS, O.EVENTS, O.VALIDATED, O.MERGED, O.FOLD) + """,
+@register("next_ids", O.with_(*O.FOODS_CHAIN, O.USERS, O.EVENTS, O.VALIDATED, O.FOLD) + """,
 ids AS (SELECT user_id FROM dim WHERE regexp_matches(user_id, '^U[0-9]+$')
         UNION SELECT user_id FROM ev WHERE regexp_matches(user_id, '^U[0-9]+$')),
 hw AS (SELECT coalesce(max(CAST(substr(user_id, 2) AS BIGINT)), 0) AS high_water FROM ids),
