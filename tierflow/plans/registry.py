@@ -604,3 +604,89 @@ def q_next_ids(spark, sf_dir):
     customers = adapters.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     requests = customers.join(ids, cleanse.format_user_id("c_custkey") == ids["user_id"], "left_anti")
     return wh.allocate_ids(requests, ["c_custkey"], wh.high_water_mark(ids)).select("c_custkey", "c_name", "user_id")
+
+
+# --------------------------------------------------------------------------- streaming, codecs, archive
+
+import uuid as _uuid  # noqa: E402
+
+from tierflow.schemas import PROFILE_EVENT  # noqa: E402
+from tierflow.session import shared_dir  # noqa: E402
+from tierflow.sources import archive, events as envelope  # noqa: E402
+from tierflow.streaming import profile_stream  # noqa: E402
+
+RAW_EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def run_event_stream(spark, sf_dir, root=None, max_files_per_trigger=None, source_dir=None):
+    """Drive the profile stream over the events table to completion; returns the store."""
+    root = root or shared_dir(spark, "profile_stream", _uuid.uuid4().hex[:10])
+    src = source_dir or sf_dir
+    glob = None if source_dir else "events.parquet"
+    raw = envelope.read_event_files(spark, src, spark.read.parquet(f"{sf_dir}/events.parquet").schema, glob,
+                                    max_files_per_trigger)
+    stream = adapters.profile_events(raw)
+    store = profile_stream.SnapshotStore(spark, f"{root}/state")
+    q = profile_stream.start(stream, store, medallion.silver_foods(spark, sf_dir), adapters.AS_OF,
+                             f"{root}/checkpoint")
+    q.awaitTermination()
+    return store
+
+
+@register("stream_scd2_final", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + " SELECT * FROM dim")
+def q_stream_scd2_final(spark, sf_dir):
+    """S9 / E6 / R6 streaming: foreachBatch fold of the event stream; final dimension
+    (must equal the one-shot fold)."""
+    store = run_event_stream(spark, sf_dir)
+    return store.read("dim").select(*scd2.DIM_COLUMNS)
+
+
+@register("stream_fact_final", O.with_(*O.FOODS_CHAIN, O.EVENTS, O.VALIDATED, O.FOLD) + f""",
+cur_ev AS (SELECT user_id, goal_type FROM dim WHERE is_current),
+{O.top_sql('cur_ev', 'fresh')}
+SELECT user_id, food_name, goal_type, recommendation_score, recommendation_rank, recommendation_reason FROM fresh""")
+def q_stream_fact_final(spark, sf_dir):
+    """R6 streaming: recommendations kept current by the event stream."""
+    store = run_event_stream(spark, sf_dir)
+    return store.read("fact").select(*FACT_REC_COLUMNS)
+
+
+@register("stream_dedup", """
+SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) WHERE rn = 1""")
+def q_stream_dedup(spark, sf_dir):
+    """Streaming dedup of replayed deliveries by event id within a watermark."""
+    root = shared_dir(spark, "dedup", _uuid.uuid4().hex[:10])
+    raw = envelope.read_event_files(spark, sf_dir, spark.read.parquet(f"{sf_dir}/events.parquet").schema,
+                                    "events.parquet")
+    out = profile_stream.dedup_events(raw.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                                                 "user_id", "event_type", "value"))
+    q = (out.writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("json_roundtrip", O.with_(O.EVENTS) + """
+ SELECT event_id, ts, event_type, user_id, user_name, gender, birth_date, height_cm, current_weight_lb,
+        target_weight_lb, FALSE AS malformed FROM ev""")
+def q_json_roundtrip(spark, sf_dir):
+    """Events encoded to the JSON envelope (keyed by user) and decoded back."""
+    enc = envelope.encode(profile_events(spark, sf_dir))
+    dec = envelope.decode(enc)
+    return dec.select(*[f.name for f in PROFILE_EVENT.fields], "malformed")
+
+
+@register("archive_manifest", O.with_(*O.FOODS_CHAIN, O.USERS) + """
+ SELECT * FROM (VALUES ('bronze', 'food_nutrition', (SELECT COUNT(*) FROM bronze), 9),
+                       ('silver', 'food_nutrition_clean', (SELECT COUNT(*) FROM silver), 17),
+                       ('gold', 'user_profiles_enriched', (SELECT COUNT(*) FROM enriched), 9))
+   t(layer, table_name, row_count, column_count)""")
+def q_archive_manifest(spark, sf_dir):
+    """Layers copied to an archive location, manifest built from the copies."""
+    lay = medallion.layers(spark, sf_dir)
+    root = shared_dir(spark, "archive", _uuid.uuid4().hex[:10])
+    return archive.archive_layers({("bronze", "food_nutrition"): lay.bronze,
+                                   ("silver", "food_nutrition_clean"): lay.silver,
+                                   ("gold", "user_profiles_enriched"): lay.users}, root).select(
+        "layer", "table_name", "row_count", "column_count")
