@@ -91,9 +91,9 @@ def is_user_id(c: Column | str) -> Column:
 
 
 def user_id_number(c: Column | str) -> Column:
-    """C17: numeric part of a ``U<digits>`` id."""
+    """C17: numeric part of a ``U<digits>`` id (null for other shapes)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.substring(col, 2, 1 << 20).try_cast("long")
+    return F.when(is_user_id(col), F.substring(col, 2, 1 << 20).try_cast("long"))
 
 
 def format_user_id(n: Column | str) -> Column:
