@@ -42,7 +42,12 @@ def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
         if f.name == "ts":
             c = c.try_cast("timestamp_ntz")
         cols.append(c.alias(f.name))
-    return parsed.select(*cols, F.col("e").isNull().alias("malformed"), "raw_value")
+    # PERMISSIVE parsing yields a struct of nulls for text that is not a JSON object
+    all_null = F.lit(True)
+    for f in PROFILE_EVENT.fields:
+        all_null = all_null & F.col(f"e.{f.name}").isNull()
+    malformed = F.col("e").isNull() | all_null
+    return parsed.select(*cols, malformed.alias("malformed"), "raw_value")
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest") -> DataFrame:

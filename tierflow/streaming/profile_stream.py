@@ -30,7 +30,7 @@ from tierflow.constants import FACT_REC_COLUMNS
 from tierflow.operators import recommend as rec
 from tierflow.operators.scd2 import DIM_COLUMNS, current_rows, fold
 from tierflow.operators.validate import validate_events
-from tierflow.schemas import DIM_USER_PROFILE
+from tierflow.schemas import DIM_USER_PROFILE, PROFILE_EVENT
 from tierflow.sources.files import _fs, _read_text, _write_text
 
 BUCKETS = 64
@@ -44,7 +44,14 @@ FACT_SCHEMA = T.StructType([
     T.StructField("recommendation_reason", T.StringType()),
 ])
 
-SCHEMAS = {"dim": DIM_USER_PROFILE, "fact": FACT_SCHEMA}
+LOG_SCHEMA = T.StructType(PROFILE_EVENT.fields + [
+    T.StructField("route", T.StringType()),
+    T.StructField("reject_reason", T.StringType()),
+    T.StructField("errors", T.StringType()),
+    T.StructField("is_valid", T.BooleanType()),
+])
+
+SCHEMAS = {"dim": DIM_USER_PROFILE, "fact": FACT_SCHEMA, "log": LOG_SCHEMA}
 
 
 def bucket_of(user_id, buckets: int = BUCKETS):
@@ -106,7 +113,13 @@ class SnapshotStore:
 def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: DataFrame, as_of,
                 strict: bool = False) -> bool:
     """Fold one micro-batch of profile events into the store. Returns False
-    when the batch was already committed (replay)."""
+    when the batch was already committed (replay).
+
+    Late data: a user whose batch holds an event older than one already
+    logged for that user is re-folded from the (compacted) event log plus the
+    batch, so arrival order never changes the result; other users are folded
+    incrementally on top of their current rows.
+    """
     manifest = store.manifest()
     if batch_id <= manifest["batch"]:
         return False
@@ -114,17 +127,25 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
     v = validate_events(events, as_of).persist()
     try:
         v.filter(~F.col("is_valid")).write.mode("overwrite").parquet(f"{store.root}/rejects/batch={batch_id}")
-        ok = v.filter(F.col("is_valid") & F.col("route").isin("create", "update", "delete"))
-        ok.drop("errors", "is_valid", "reject_reason").write.mode("overwrite").parquet(
-            f"{store.root}/event_log/batch={batch_id}")
+        ok = v.filter(F.col("is_valid") & F.col("route").isin("create", "update", "delete")).select(
+            *[f.name for f in LOG_SCHEMA.fields])
         touched_users = ok.select("user_id").distinct()
         # bounded by the bucket count, so reading it on the driver is cheap
         touched = sorted(r[0] for r in touched_users.select(bucket_of("user_id", store.buckets).alias("b"))
                          .distinct().collect())
         if touched:
-            base_dim = store.read("dim", touched, manifest)
-            new_dim = fold(ok, as_of, strict=strict, base=base_dim, validated=True).select(*DIM_COLUMNS)
-            store.write("dim", new_dim, version)
+            old_log = store.read("log", touched, manifest)
+            logged_hw = (old_log.join(touched_users, "user_id", "left_semi").groupBy("user_id")
+                         .agg(F.max("event_id").alias("__hw")))
+            late = (ok.groupBy("user_id").agg(F.min("event_id").alias("__lo"))
+                    .join(logged_hw, "user_id").filter(F.col("__lo") < F.col("__hw")).select("user_id"))
+            base_dim = store.read("dim", touched, manifest).join(late, "user_id", "left_anti")
+            on_time = fold(ok.join(late, "user_id", "left_anti"), as_of, strict=strict, base=base_dim,
+                           validated=True).select(*DIM_COLUMNS)
+            replay = old_log.join(late, "user_id", "left_semi").unionByName(ok.join(late, "user_id", "left_semi"))
+            refolded = fold(replay, as_of, strict=strict, validated=True).select(*DIM_COLUMNS)
+            store.write("dim", on_time.unionByName(refolded), version)
+            store.write("log", compact_event_log(old_log.unionByName(ok)), version)
             # read back what was written instead of recomputing the fold
             dim_now = store.spark.read.schema(DIM_USER_PROFILE).parquet(f"{store.root}/dim/v={version}")
             base_fact = store.read("fact", touched, manifest)
@@ -158,11 +179,12 @@ def dedup_events(stream: DataFrame, key: str = "event_id", ts: str = "ts", delay
 
 
 def compact_event_log(log: DataFrame) -> DataFrame:
-    """E4 for the log: events of a user up to and including their last delete
-    are erased (one aggregate + anti join; the id high-water mark is kept
-    separately by ``warehouse.high_water_mark`` before compaction)."""
+    """E4 for the log: events of a user before their last delete are erased;
+    the delete itself is kept as the user's event high-water mark (one
+    aggregate + anti join; the id high-water mark of the id allocator is
+    kept separately by ``warehouse.high_water_mark``)."""
     last_del = (log.filter(F.col("event_type") == "delete").groupBy("user_id")
                 .agg(F.max("event_id").alias("__last_del")))
-    erased = log.join(last_del, "user_id").filter(F.col("event_id") <= F.col("__last_del")).select(
+    erased = log.join(last_del, "user_id").filter(F.col("event_id") < F.col("__last_del")).select(
         "user_id", "event_id")
     return log.join(erased, ["user_id", "event_id"], "left_anti")
