@@ -35,7 +35,12 @@ def recommendation_report(fact: DataFrame, dim_user: DataFrame, dim_food: DataFr
     splits skewed food names in the sort-merge join.
     """
     users = current_rows(dim_user).select(*REPORT_USER_COLS)
-    r = fact.select("user_id", *REPORT_REC_COLS)
+    # the food join multiplies every fact row by the servings of its food; spread
+    # the fact over the full shuffle width by user (the key of the user join) so
+    # the expanded output is produced by many tasks, not the few a small fact
+    # would be coalesced into
+    width = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = fact.select("user_id", *REPORT_REC_COLS).repartition(width, "user_id")
     tie = ["serving_description", "calories_kcal", "protein_g", "carbohydrates_g", "fat_g", "fiber_g",
            "sugar_g", "sodium_mg"]
     foods = dim_food.select("food_name", *REPORT_FOOD_COLS,
