@@ -92,6 +92,23 @@ def test_fold_matches_sequential_model(spark, strict):
     assert scd2.invariant_violations(got).count() == 0
 
 
+def test_hot_user_spread_over_blocks(spark):
+    """A user holding a third of the log, tiny blocks: same result as the model."""
+    rows = random_log(n_users=20, max_events=8, seed=21)
+    rnd = random.Random(2)
+    eid = max(r[0] for r in rows)
+    hot = []
+    for i in range(len(rows) // 2):
+        eid += 1
+        t = "create" if i == 0 else rnd.choice(["update", "update", "update", "delete", "create"])
+        payload = [None] * 6 if t == "delete" else ["hot", "male", "1980-05-01", 170.0,
+                                                     float(rnd.randrange(150, 250)), 180.0]
+        hot.append((eid, T0 + dt.timedelta(minutes=eid), t, "UHOT", *payload))
+    rows += hot
+    got = scd2.fold(spark.createDataFrame(rows, PROFILE_EVENT), AS_OF, block_size=4)
+    assert as_set(got) == model(rows, False)
+
+
 def test_incremental_batches_equal_one_shot(spark):
     rows = random_log(seed=11)
     ev = spark.createDataFrame(rows, PROFILE_EVENT)

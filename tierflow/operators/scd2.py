@@ -7,17 +7,16 @@ create is refused; an update of an unknown user upserts, or is refused in
 strict mode) are evaluated for the whole log at once as ordered scans per
 user (``operators.ordered``), with no per-event state:
 
-1. one scan per user over the log: running and total delete counts; keep
-   each user's last segment — everything before the last delete was erased
-   (E4);
-2. a scan over those: the running count of profile-opening events decides
-   acceptance (the first opener, then updates; later creates are refused);
-3. a scan over accepted events: last supplied value of every payload field
-   (patch merge, E9), version = position (+ base version), end of validity =
-   start of the next version (E5), current = no next version.
-
-Every scan is keyed by user and blocked by event id, so a user holding a
-third of the log is spread over many tasks. An existing dimension (``base``)
+1. the last delete of each user (an aggregate): everything up to it was
+   erased (E4), so only the last segment is kept;
+2. the first profile-opening event of that segment (an aggregate) decides
+   acceptance: the opener, then updates; later creates are refused;
+3. one ordered scan over accepted events: last supplied value of every
+   payload field (patch merge, E9), version = position (+ base version), end
+   of validity = start of the next version (E5), current = no next version.
+
+The scan is keyed by user and blocked by event id, so a user holding a third
+of the log is spread over many tasks; the aggregates combine map-side. An existing dimension (``base``)
 is folded in by prepending its current row as the first event of the user.
 """
 
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.features import age_calendar, goal_type
-from tierflow.operators.ordered import materialize, ordered_scan, time_block
+from tierflow.operators.ordered import DEFAULT_BLOCK_SIZE, materialize, ordered_scan, time_block
 from tierflow.operators.validate import PAYLOAD_FIELDS, validate_events
 
 DIM_COLUMNS = ["user_profile_key", "user_id", "user_name", "gender", "birth_date", "age",
@@ -59,38 +58,49 @@ def _valid_events(events: DataFrame, as_of, validated: bool) -> DataFrame:
 
 
 def accepted_versions(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
-                      validated: bool = False, checkpoint: bool = True) -> DataFrame:
-    """Steps 1-4 of the fold: the accepted events of each user's last segment
+                      validated: bool = False, checkpoint: bool = True,
+                      block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """Steps 1-3 of the fold: the accepted events of each user's last segment
     with merged payload (E9), version position, base offset and end of validity.
 
-    Acceptance: the first *eligible* event opens the profile — a create, or
-    (non-strict) an update that carries both weights (upsert); later creates
-    are refused; updates after it are accepted. A patch is merged against the
-    state it updates: every payload field is the last value supplied by an
-    accepted event (the modelled API merges with the current row).
+    Acceptance: the first *opening* event of the last segment opens the
+    profile — a create, or (non-strict) an update that carries both weights
+    (upsert); later creates are refused; updates after it are accepted. A
+    patch is merged against the state it updates: every payload field is the
+    last value supplied by an accepted event (the modelled API merges with the
+    current row).
+
+    The last delete and the first opener of each user are plain aggregates
+    (partially aggregated map-side, so a hot user costs one row per map task)
+    joined back on the user — AQE broadcasts them when their measured size
+    allows and splits a hot user's partition otherwise. Only the accepted
+    events go through the ordered scan. With ``checkpoint`` the validated
+    events are materialised once, so the aggregates, joins and the scan's two
+    reads start from that copy instead of re-deriving the events.
     """
-    mat = materialize if checkpoint else (lambda x: x)
     v = _valid_events(events, as_of, validated)
     if base is not None:
         touched = v.select("user_id").distinct()
         v = v.unionByName(_base_as_events(base.join(touched, "user_id", "left_semi")))
-    is_del = (F.col("event_type") == "delete").cast("long")
-    a = ordered_scan(v, ["user_id"], ["event_id"], running_sum={"__del_upto": is_del},
-                     key_sum={"__del_total": is_del}, keep_block=True)
-    last = mat(a.filter((F.col("__del_upto") == F.col("__del_total")) & (F.col("event_type") != "delete"))
-               .drop("__del_upto", "__del_total"))
+    if checkpoint:
+        v = materialize(v)
+    is_del = F.col("event_type") == "delete"
+    last_del = v.filter(is_del).groupBy("user_id").agg(F.max("event_id").alias("__last_del"))
+    last = (v.join(last_del, "user_id", "left")
+            .filter(~is_del & (F.col("__last_del").isNull() | (F.col("event_id") > F.col("__last_del"))))
+            .drop("__last_del"))
     opens = F.col("event_type").isin("create", "base")
     if not strict:
         opens = opens | ((F.col("event_type") == "update") & F.col("current_weight_lb").isNotNull()
                          & F.col("target_weight_lb").isNotNull())
-    b = ordered_scan(last.withColumn("__opens", opens), ["user_id"], ["event_id"],
-                     running_sum={"__opened": F.col("__opens").cast("long")}, keep_block=True)
-    acc = mat(b.filter((F.col("__opens") & (F.col("__opened") == 1))
-                       | ((F.col("event_type") == "update") & (F.col("__opened") >= 1)))
-              .drop("__opens", "__opened"))
+    first_open = last.filter(opens).groupBy("user_id").agg(F.min("event_id").alias("__first"))
+    acc = (last.join(first_open, "user_id", "inner")
+           .filter((F.col("event_id") == F.col("__first"))
+                   | ((F.col("event_type") == "update") & (F.col("event_id") > F.col("__first"))))
+           .drop("__first"))
     base_off = F.coalesce(F.col("base_version").cast("long") - 1, F.lit(0))
-    c = ordered_scan(acc, ["user_id"], ["event_id"], row_number="__v", lead={"effective_end": "ts"},
-                     key_sum={"__base_off": base_off},
+    c = ordered_scan(acc, ["user_id"], ["event_id"], block_size=block_size, row_number="__v",
+                     lead={"effective_end": "ts"}, key_sum={"__base_off": base_off},
                      carry={f"__m_{f}": F.col(f) for f in PAYLOAD_FIELDS})
     return c.withColumns({f: F.col(f"__m_{f}") for f in PAYLOAD_FIELDS}).drop(
         *[f"__m_{f}" for f in PAYLOAD_FIELDS])
@@ -104,7 +114,7 @@ def merge_patches(events: DataFrame, as_of, strict: bool = False, checkpoint: bo
 
 
 def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
-         validated: bool = False, checkpoint: bool = True) -> DataFrame:
+         validated: bool = False, checkpoint: bool = True, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """The dimension rows produced by replaying ``events`` in event-id order.
 
     ``events``: event_id, ts, event_type, user_id and the payload fields
@@ -117,7 +127,8 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
     materialised (``ordered.materialize``), so each scan reads its input
     instead of recomputing the chain before it.
     """
-    s = accepted_versions(events, as_of, strict=strict, base=base, validated=validated, checkpoint=checkpoint)
+    s = accepted_versions(events, as_of, strict=strict, base=base, validated=validated, checkpoint=checkpoint,
+                          block_size=block_size)
     birth = F.col("birth_date").cast("string").try_cast("date")
     dim = s.select(
         F.coalesce(F.col("base_key"), F.col("event_id")).alias("user_profile_key"),
