@@ -31,7 +31,7 @@ from tierflow.operators import recommend as rec
 from tierflow.operators.scd2 import DIM_COLUMNS, current_rows, fold
 from tierflow.operators.validate import validate_events
 from tierflow.schemas import DIM_USER_PROFILE, PROFILE_EVENT
-from tierflow.sources.files import _fs, _read_text, _write_text
+from tierflow.sources.files import _fs, _read_text, _write_text, replace_file
 
 BUCKETS = 64
 
@@ -105,11 +105,7 @@ class SnapshotStore:
         new["batch"] = batch_id
         tmp = f"{self.manifest_path}.{version}.tmp"
         _write_text(self.spark, tmp, json.dumps(new, sort_keys=True))
-        fs, src = _fs(self.spark, tmp)
-        _, dst = _fs(self.spark, self.manifest_path)
-        if fs.exists(dst):
-            fs.delete(dst, False)
-        fs.rename(src, dst)
+        replace_file(self.spark, tmp, self.manifest_path)
 
 
 def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: DataFrame, as_of,
