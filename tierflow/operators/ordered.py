@@ -24,8 +24,7 @@ Results equal the unblocked window for every row; the tests check that.
 The input is read twice (rows and summary). Pass an input that is cheap to
 recompute (a scan with projections) or a materialised one: chained scans
 materialise in between with ``materialize`` (a reliable checkpoint in the
-shared ``spark.checkpoint.dir``), whose output keeps the ``(key, block)``
-partitioning, so the next scan over the same key needs no new shuffle.
+shared ``spark.checkpoint.dir``) so nothing before them is recomputed.
 """
 
 from __future__ import annotations
@@ -73,8 +72,8 @@ def ordered_scan(
     * ``carry``: {out: expr} — last non-null expr at or before this row.
 
     Key columns must be non-null. With ``keep_block`` the block column
-    ``__blk`` stays in the output; a later scan over the same key finds it and
-    reuses the existing ``(key, __blk)`` partitioning instead of shuffling again.
+    ``__blk`` stays in the output and a later scan over the same key reuses it
+    (same blocks, and the exchange is skipped when the partitioning survived).
     """
     key = list(key)
     order = [order] if isinstance(order, str) else list(order)
