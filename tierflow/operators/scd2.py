@@ -155,19 +155,24 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
 
 
 def unknown_user_rejects(events: DataFrame, as_of) -> DataFrame:
-    """Updates and deletes of a user that has no accepted create earlier
-    in its current segment (what the API's existence gate refuses)."""
-    v = validate_events(events, as_of).filter(F.col("route").isin("create", "update", "delete")
-                                              & F.col("is_valid"))
-    is_del = (F.col("event_type") == "delete").cast("long")
-    s = ordered_scan(v, ["user_id"], ["event_id"], running_sum={"__del_upto": is_del}, keep_block=True)
-    s = materialize(s.withColumn("seg", F.col("__del_upto") - is_del))
-    is_create = F.col("event_type") == "create"
-    s2 = ordered_scan(s, ["user_id"], ["event_id"], carry={"__create_seg": F.when(is_create, F.col("seg"))})
-    exists = F.coalesce(F.col("__create_seg") == F.col("seg"), F.lit(False))
-    return (s2.filter(F.col("event_type").isin("update", "delete") & ~exists)
-            .select("event_id", "user_id", "event_type",
-                    F.lit("user not found").alias("reject_reason")))
+    """Updates and deletes of a user that does not exist at that point
+    (what the API's existence gate refuses).
+
+    A user exists after a (valid) create until the next delete. An update
+    sees the user if the last create-or-delete before it is a create (carried
+    forward); a delete sees the user if the create-or-delete right before it
+    is a create (``lag`` over those rows). Two independent ordered scans, no
+    chaining.
+    """
+    v = _valid_events(events, as_of, validated=False)
+    state = F.when(F.col("event_type").isin("create", "delete"), F.col("event_type"))
+    upd = ordered_scan(v, ["user_id"], ["event_id"], carry={"__state": state}).filter(
+        (F.col("event_type") == "update") & ~F.coalesce(F.col("__state") == "create", F.lit(False)))
+    dels = ordered_scan(v.filter(F.col("event_type").isin("create", "delete")), ["user_id"], ["event_id"],
+                        lag={"__prev": "event_type"}).filter(
+        (F.col("event_type") == "delete") & ~F.coalesce(F.col("__prev") == "create", F.lit(False)))
+    cols = ["event_id", "user_id", "event_type", F.lit("user not found").alias("reject_reason")]
+    return upd.select(*cols).unionByName(dels.select(*cols))
 
 
 def point_in_time(dim: DataFrame, at: Column | str) -> DataFrame:
