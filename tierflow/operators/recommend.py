@@ -66,15 +66,16 @@ def top_k_by_goal(foods: DataFrame, k: int = TOP_K) -> DataFrame:
     return rank_top_k(best_serving(candidate_scores(foods)), ["goal_type"], k)
 
 
-def recommend(users: DataFrame, foods: DataFrame, k: int = TOP_K,
-              user_cols: list[str] | None = None) -> DataFrame:
+def recommend(users: DataFrame, foods: DataFrame | None, k: int = TOP_K,
+              user_cols: list[str] | None = None, top: DataFrame | None = None) -> DataFrame:
     """Top-k foods per user via goal factoring.
 
     ``users`` needs ``user_id`` and ``goal_type``. The broadcast side is the
-    per-goal ranking, bounded by ``len(GOALS) * k`` rows whatever the data size.
+    per-goal ranking, bounded by ``len(GOALS) * k`` rows whatever the data size;
+    pass it as ``top`` when it is already computed (e.g. once per stream).
     """
     user_cols = user_cols or ["user_id", "goal_type"]
-    top = top_k_by_goal(foods, k)
+    top = top if top is not None else top_k_by_goal(foods, k)
     u = users.select(*user_cols)
     return u.join(F.broadcast(top), "goal_type", "inner")
 
@@ -84,8 +85,8 @@ def fact_rows(recs: DataFrame) -> DataFrame:
     return recs.select(*FACT_REC_COLUMNS)
 
 
-def recommend_changed(fact: DataFrame | None, changed_users: DataFrame, foods: DataFrame,
-                      k: int = TOP_K) -> DataFrame:
+def recommend_changed(fact: DataFrame | None, changed_users: DataFrame, foods: DataFrame | None,
+                      k: int = TOP_K, top: DataFrame | None = None) -> DataFrame:
     """Rebuild the fact rows of changed users, keep everyone else's.
 
     ``changed_users`` has (user_id, goal_type) of users whose current profile
@@ -93,7 +94,7 @@ def recommend_changed(fact: DataFrame | None, changed_users: DataFrame, foods: D
     ``union`` — no per-user loop.
     """
     live = changed_users.filter(F.col("goal_type").isNotNull())
-    fresh = fact_rows(recommend(live, foods, k))
+    fresh = fact_rows(recommend(live, foods, k, top=top))
     if fact is None:
         return fresh
     kept = fact.join(changed_users.select("user_id"), "user_id", "left_anti")

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from tierflow.constants import FACT_REC_COLUMNS
 from tierflow.operators import recommend as rec
+from tierflow.operators.ordered import materialize
 from tierflow.operators.scd2 import DIM_COLUMNS, current_rows, fold
 from tierflow.operators.validate import validate_events
 from tierflow.schemas import DIM_USER_PROFILE, PROFILE_EVENT
@@ -108,8 +109,8 @@ class SnapshotStore:
         replace_file(self.spark, tmp, self.manifest_path)
 
 
-def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: DataFrame, as_of,
-                strict: bool = False) -> bool:
+def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: DataFrame | None, as_of,
+                strict: bool = False, top: DataFrame | None = None) -> bool:
     """Fold one micro-batch of profile events into the store. Returns False
     when the batch was already committed (replay).
 
@@ -138,20 +139,22 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
             late = (ok.groupBy("user_id").agg(F.min("event_id").alias("__lo"))
                     .join(logged_hw, "user_id").filter(F.col("__lo") < F.col("__hw")).select("user_id"))
             base_dim = store.read("dim", touched, manifest).join(late, "user_id", "left_anti")
+            # the micro-batch is persisted, so the fold reads it instead of checkpointing
             on_time = fold(ok.join(late, "user_id", "left_anti"), as_of, strict=strict, base=base_dim,
-                           validated=True).select(*DIM_COLUMNS)
+                           validated=True, checkpoint=False).select(*DIM_COLUMNS)
             new_dim = on_time
             if not late.isEmpty():
                 replay = old_log.join(late, "user_id", "left_semi").unionByName(
                     ok.join(late, "user_id", "left_semi"))
-                new_dim = new_dim.unionByName(fold(replay, as_of, strict=strict, validated=True).select(*DIM_COLUMNS))
+                new_dim = new_dim.unionByName(fold(replay, as_of, strict=strict, validated=True,
+                                                   checkpoint=False).select(*DIM_COLUMNS))
             store.write("dim", new_dim, version)
             store.write("log", compact_event_log(old_log.unionByName(ok)), version)
             # read back what was written instead of recomputing the fold
             dim_now = store.spark.read.schema(DIM_USER_PROFILE).parquet(f"{store.root}/dim/v={version}")
             base_fact = store.read("fact", touched, manifest)
             changed = touched_users.join(current_rows(dim_now).select("user_id", "goal_type"), "user_id", "left")
-            new_fact = rec.recommend_changed(base_fact, changed, foods).select(*FACT_REC_COLUMNS)
+            new_fact = rec.recommend_changed(base_fact, changed, foods, top=top).select(*FACT_REC_COLUMNS)
             store.write("fact", new_fact, version)
         store.commit(batch_id, version, touched, manifest)
         return True
@@ -161,9 +164,15 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
 
 def start(stream: DataFrame, store: SnapshotStore, foods: DataFrame, as_of, checkpoint: str,
           strict: bool = False, available_now: bool = True, processing_time: str | None = None):
-    """Run the profile stream; returns the ``StreamingQuery``."""
+    """Run the profile stream; returns the ``StreamingQuery``.
+
+    The per-goal ranking depends only on the foods, so it is computed once and
+    materialised (at most ``len(GOALS) * k`` rows) for all micro-batches.
+    """
+    top = materialize(rec.top_k_by_goal(foods))
+
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        apply_batch(store, batch_df, batch_id, foods, as_of, strict)
+        apply_batch(store, batch_df, batch_id, foods, as_of, strict, top=top)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
