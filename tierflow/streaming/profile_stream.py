@@ -136,18 +136,18 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
             old_log = store.read("log", touched, manifest)
             logged_hw = (old_log.join(touched_users, "user_id", "left_semi").groupBy("user_id")
                          .agg(F.max("event_id").alias("__hw")))
-            late = (ok.groupBy("user_id").agg(F.min("event_id").alias("__lo"))
-                    .join(logged_hw, "user_id").filter(F.col("__lo") < F.col("__hw")).select("user_id"))
+            late = materialize(ok.groupBy("user_id").agg(F.min("event_id").alias("__lo"))
+                               .join(logged_hw, "user_id").filter(F.col("__lo") < F.col("__hw")).select("user_id"))
             base_dim = store.read("dim", touched, manifest).join(late, "user_id", "left_anti")
-            # the micro-batch is persisted, so the fold reads it instead of checkpointing
+            # the fold materialises its input (batch events + touched users' current rows) once
             on_time = fold(ok.join(late, "user_id", "left_anti"), as_of, strict=strict, base=base_dim,
-                           validated=True, checkpoint=False).select(*DIM_COLUMNS)
+                           validated=True).select(*DIM_COLUMNS)
             new_dim = on_time
             if not late.isEmpty():
                 replay = old_log.join(late, "user_id", "left_semi").unionByName(
                     ok.join(late, "user_id", "left_semi"))
-                new_dim = new_dim.unionByName(fold(replay, as_of, strict=strict, validated=True,
-                                                   checkpoint=False).select(*DIM_COLUMNS))
+                new_dim = new_dim.unionByName(fold(replay, as_of, strict=strict, validated=True)
+                                              .select(*DIM_COLUMNS))
             store.write("dim", new_dim, version)
             store.write("log", compact_event_log(old_log.unionByName(ok)), version)
             # read back what was written instead of recomputing the fold
