@@ -293,9 +293,10 @@ def warehouse_state(spark, sf_dir):
     silver = medallion.silver_foods(spark, sf_dir)
     dim_ev = dimension(spark, sf_dir)
     gold_users = medallion.enriched_users(spark, sf_dir)
-    gold_recs = rec.recommend(gold_users, silver)
+    top = materialize(rec.top_k_by_goal(silver))  # bounded (3 x 10 rows), ranked once for both loads
+    gold_recs = rec.recommend(gold_users, silver, top=top)
     cur = scd2.current_rows(dim_ev).select("user_id", "goal_type")
-    fact_ev = rec.fact_rows(rec.recommend(cur, silver))
+    fact_ev = rec.fact_rows(rec.recommend(cur, silver, top=top))
     w = wh.load(dim_ev, fact_ev, silver, gold_users, gold_recs, adapters.RUN_TS)
     dim_user = materialize(to_warehouse_decimal(w.dim_user, ["height_cm", "current_weight_lb", "target_weight_lb"]))
     fact = materialize(to_warehouse_decimal(w.fact, ["recommendation_score"]))
