@@ -103,7 +103,9 @@ def ordered_scan(
     windowed = d.withColumns(local)
 
     # per-block summary, aggregated from the input (partial aggregation map-side)
-    ord_struct = F.struct(*[F.col(c) for c in order])
+    # a single ordering column keeps the aggregation buffers fixed-width (hash
+    # aggregation); several need a struct (sort-based partial aggregation)
+    ord_struct = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     aggs = [F.count(F.lit(1)).alias(_CNT)]
     for out in running_sum:
         aggs.append(F.sum(f"__in_rs_{out}").alias(f"__b_rs_{out}"))
