@@ -51,3 +51,15 @@ def test_time_blocks_and_struct_lead(spark):
     exp = df.select("*", F.row_number().over(w).cast("long").alias("rn"),
                     F.lead(F.struct("x", "t")).over(w).alias("nx"))
     assert sorted(got.collect()) == sorted(exp.select(*got.columns).collect())
+
+
+def test_range_blocks_match_window(spark):
+    df = _frame(spark, n=900, seed=9)
+    got = ordered_scan(df, ["k"], ["o"], block="range", row_number="rn", lead={"ld": "v"},
+                       carry={"cy": "v"}, keep_block=True)
+    w = Window.partitionBy("k").orderBy("o")
+    exp = df.select("*", F.row_number().over(w).cast("long").alias("rn"), F.lead("v").over(w).alias("ld"),
+                    F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cy"))
+    cols = ["k", "o", "v", "w", "rn", "ld", "cy"]
+    assert sorted(got.select(*cols).collect()) == sorted(exp.select(*cols).collect())
+    assert got.filter(F.col("k") == "hot").select("__blk").distinct().count() > 1

@@ -50,7 +50,7 @@ def ordered_scan(
     key: Sequence[str],
     order: Sequence[str] | str,
     *,
-    block: Column | None = None,
+    block: Column | str | None = None,
     block_size: int = DEFAULT_BLOCK_SIZE,
     row_number: str | None = None,
     running_sum: Mapping[str, Column | str] | None = None,
@@ -63,7 +63,10 @@ def ordered_scan(
     """Add ordered-within-key columns to ``df``.
 
     ``order`` must be unique within a key (add tie-breakers) and ``block`` a
-    non-decreasing function of it; by default ``floor(order[0] / block_size)``.
+    non-decreasing function of it; by default ``floor(order[0] / block_size)``
+    (exact bound for unique integer ids). ``block="range"`` derives the blocks
+    from a sampled range partitioning on (key, order): bounded blocks for any
+    order type, at the price of one more shuffle.
 
     * ``row_number``: 1-based position within the key.
     * ``running_sum``: {out: expr} — sum of expr over rows up to and including this one.
@@ -85,9 +88,17 @@ def ordered_scan(
         for out, expr in spec.items():
             inputs[f"__in_{prefix}_{out}"] = _col(expr)
     reuse = _BLK in df.columns and block is None
-    if block is None and not reuse:
-        block = F.floor(F.col(order[0]) / F.lit(block_size))
-    d = df.withColumns(inputs if reuse else {_BLK: block, **inputs})
+    if isinstance(block, str) and block == "range":
+        # data-adaptive blocks: range-partition by (key, order) — the sampled
+        # bounds split a hot key over many partitions — and use the partition
+        # index, which is non-decreasing along (key, order), as the block
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        d = (df.repartitionByRange(width, *key, *order)
+             .withColumns({_BLK: F.spark_partition_id().cast("long"), **inputs}))
+    else:
+        if block is None and not reuse:
+            block = F.floor(F.col(order[0]) / F.lit(block_size))
+        d = df.withColumns(inputs if reuse else {_BLK: block, **inputs})
 
     wl = Window.partitionBy(*key, _BLK).orderBy(*order)
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)

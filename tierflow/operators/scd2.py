@@ -188,15 +188,17 @@ def current_rows(dim: DataFrame) -> DataFrame:
 
 
 def as_of_versions(facts: DataFrame, dim: DataFrame, ts_col: str = "ts",
-                   block_seconds: int = 86_400) -> DataFrame:
+                   block_seconds: int | None = None) -> DataFrame:
     """J7 generalised: attach to every fact row the version valid at its time.
 
     Versions of a user are contiguous, so the valid version is the last one
     that started at or before the fact's time (and is still open or ends
     after it). Facts and version starts are merged into one ordered stream
     per user and the last version key is carried forward — linear work, no
-    pairing of every fact with every version of its user. Blocks are
-    ``block_seconds`` wide so a hot user is spread over many tasks.
+    pairing of every fact with every version of its user. Blocks come from a
+    sampled range partitioning on (user, time), so a hot user is spread over
+    many tasks whatever its time profile; ``block_seconds`` switches to fixed
+    time buckets instead (one shuffle less, bounded per user and bucket).
     """
     f = facts.select("*", F.col(ts_col).alias("__t"), F.lit(1).alias("__side"),
                      F.lit(None).cast("long").alias("__tie"),
@@ -209,20 +211,20 @@ def as_of_versions(facts: DataFrame, dim: DataFrame, ts_col: str = "ts",
     vcols = vcols.withColumns({c: F.lit(None).cast(facts.schema[c].dataType) for c in fact_cols})
     both = f.unionByName(vcols)
     # facts never carry a value, so ties among them need no order; versions tie on their key
-    s = ordered_scan(both, ["user_id"], ["__t", "__side", "__tie"], block=time_block("__t", block_seconds),
-                     carry={"__cur": "__ver"})
+    blocks = "range" if block_seconds is None else time_block("__t", block_seconds)
+    s = ordered_scan(both, ["user_id"], ["__t", "__side", "__tie"], block=blocks, carry={"__cur": "__ver"})
     valid = F.col("__cur").isNotNull() & (F.col("__cur.end").isNull() | (F.col("__cur.end") > F.col("__t")))
     return (s.filter(F.col("__side") == 1)
             .select("user_id", *fact_cols, F.when(valid, F.col("__cur.k")).alias("user_profile_key")))
 
 
-def backfill_history(current: DataFrame, readings: DataFrame, block_seconds: int = 30 * 86_400) -> DataFrame:
+def backfill_history(current: DataFrame, readings: DataFrame, block_seconds: int | None = None) -> DataFrame:
     """Rebuild the version chain from older readings plus the current row.
 
     ``current``: one dimension row per user; ``readings``: user_id, reading_id,
     effective_start, current_weight_lb. Every reading becomes an expired version
     carrying the current row's other fields; versions are renumbered by start,
-    each ends where the next starts (ordered scan, blocked by time).
+    each ends where the next starts (ordered scan, range-partitioned blocks).
     """
     attrs = [c for c in current.columns if c not in
              ("current_weight_lb", "effective_start", "effective_end", "is_current", "version_number",
@@ -233,8 +235,8 @@ def backfill_history(current: DataFrame, readings: DataFrame, block_seconds: int
     cur = current.select(*attrs, "current_weight_lb", "effective_start",
                          F.lit(None).cast("long").alias("__src"), F.lit(1).alias("__cur"))
     both = hist.unionByName(cur)
-    s = ordered_scan(both, ["user_id"], ["effective_start", "__cur", "__src"],
-                     block=time_block("effective_start", block_seconds),
+    blocks = "range" if block_seconds is None else time_block("effective_start", block_seconds)
+    s = ordered_scan(both, ["user_id"], ["effective_start", "__cur", "__src"], block=blocks,
                      row_number="__v", lead={"effective_end": "effective_start"})
     return s.select(*attrs, "current_weight_lb", goal_type().alias("goal_type"), "effective_start",
                     "effective_end", F.col("effective_end").isNull().alias("is_current"),
