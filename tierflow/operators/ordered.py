@@ -66,7 +66,8 @@ def ordered_scan(
     non-decreasing function of it; by default ``floor(order[0] / block_size)``
     (exact bound for unique integer ids). ``block="range"`` derives the blocks
     from a sampled range partitioning on (key, order): bounded blocks for any
-    order type, at the price of one more shuffle.
+    order type, at the price of one more shuffle and a checkpoint of the
+    block assignment.
 
     * ``row_number``: 1-based position within the key.
     * ``running_sum``: {out: expr} — sum of expr over rows up to and including this one.
@@ -92,9 +93,12 @@ def ordered_scan(
         # data-adaptive blocks: range-partition by (key, order) — the sampled
         # bounds split a hot key over many partitions — and use the partition
         # index, which is non-decreasing along (key, order), as the block
+        # index, which is non-decreasing along (key, order), as the block. The
+        # assignment depends on the sampled bounds, so it is materialised once:
+        # rows and block summary must see the same blocks.
         width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        d = (df.repartitionByRange(width, *key, *order)
-             .withColumns({_BLK: F.spark_partition_id().cast("long"), **inputs}))
+        d = materialize(df.repartitionByRange(width, *key, *order)
+                        .withColumns({_BLK: F.spark_partition_id().cast("long"), **inputs}))
     else:
         if block is None and not reuse:
             block = F.floor(F.col(order[0]) / F.lit(block_size))
