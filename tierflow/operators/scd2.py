@@ -58,7 +58,7 @@ def _valid_events(events: DataFrame, as_of, validated: bool) -> DataFrame:
 
 
 def accepted_versions(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
-                      validated: bool = False, checkpoint: bool = True,
+                      validated: bool = False, checkpoint: bool = False,
                       block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """Steps 1-3 of the fold: the accepted events of each user's last segment
     with merged payload (E9), version position, base offset and end of validity.
@@ -74,9 +74,11 @@ def accepted_versions(events: DataFrame, as_of, *, strict: bool = False, base: D
     (partially aggregated map-side, so a hot user costs one row per map task)
     joined back on the user — AQE broadcasts them when their measured size
     allows and splits a hot user's partition otherwise. Only the accepted
-    events go through the ordered scan. With ``checkpoint`` the validated
-    events are materialised once, so the aggregates, joins and the scan's two
-    reads start from that copy instead of re-deriving the events.
+    events go through the ordered scan. The plan reads the events a few times
+    (aggregates, rows and block summary; identical exchanges are reused),
+    which for a columnar log is cheaper than writing a copy; pass
+    ``checkpoint=True`` when deriving the events is expensive (their
+    validated form is then materialised once).
     """
     v = _valid_events(events, as_of, validated)
     if base is not None:
@@ -106,7 +108,7 @@ def accepted_versions(events: DataFrame, as_of, *, strict: bool = False, base: D
         *[f"__m_{f}" for f in PAYLOAD_FIELDS])
 
 
-def merge_patches(events: DataFrame, as_of, strict: bool = False, checkpoint: bool = True) -> DataFrame:
+def merge_patches(events: DataFrame, as_of, strict: bool = False, checkpoint: bool = False) -> DataFrame:
     """Accepted updates completed with the state they patch."""
     acc = accepted_versions(events, as_of, strict=strict, checkpoint=checkpoint)
     return acc.filter(F.col("event_type") == "update").select(
@@ -114,7 +116,7 @@ def merge_patches(events: DataFrame, as_of, strict: bool = False, checkpoint: bo
 
 
 def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
-         validated: bool = False, checkpoint: bool = True, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+         validated: bool = False, checkpoint: bool = False, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """The dimension rows produced by replaying ``events`` in event-id order.
 
     ``events``: event_id, ts, event_type, user_id and the payload fields
@@ -123,9 +125,7 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
     users with a delete in ``events`` lose their old rows, other touched users
     keep their history and get their current row expired.
 
-    With ``checkpoint`` the inputs of the second and third scan are
-    materialised (``ordered.materialize``), so each scan reads its input
-    instead of recomputing the chain before it.
+    ``checkpoint``: see ``accepted_versions``.
     """
     s = accepted_versions(events, as_of, strict=strict, base=base, validated=validated, checkpoint=checkpoint,
                           block_size=block_size)

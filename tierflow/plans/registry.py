@@ -163,9 +163,16 @@ def profile_events(spark, sf_dir):
     return adapters.profile_events(adapters.table(spark, sf_dir, "events"))
 
 
+def event_log(spark, sf_dir):
+    """The profile events as a log table would hold them: the adapter output
+    (string formatting, JSON extraction) is materialised once, so the fold's
+    repeated reads are plain scans as they would be on a stored log."""
+    return materialize(profile_events(spark, sf_dir))
+
+
 def dimension(spark, sf_dir, strict=False):
     """The event-built dimension, materialised once (it feeds several joins)."""
-    return materialize(scd2.fold(profile_events(spark, sf_dir), adapters.AS_OF, strict=strict))
+    return materialize(scd2.fold(event_log(spark, sf_dir), adapters.AS_OF, strict=strict))
 
 
 @register("route_events", O.with_(O.EVENTS, O.VALIDATED) + """
@@ -189,7 +196,7 @@ def q_validate_profiles(spark, sf_dir):
         current_weight_lb, target_weight_lb FROM merged WHERE event_type = 'update'""")
 def q_patch_merge(spark, sf_dir):
     """Accepted update patches completed with the state they patch."""
-    return scd2.merge_patches(profile_events(spark, sf_dir), adapters.AS_OF)
+    return scd2.merge_patches(event_log(spark, sf_dir), adapters.AS_OF)
 
 
 @register("scd2_fold", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + " SELECT * FROM dim")
@@ -215,7 +222,7 @@ SELECT event_id, user_id, event_type, 'user not found' AS reject_reason FROM e
 WHERE event_type IN ('update', 'delete') AND NOT user_exists""")
 def q_reject_unknown_users(spark, sf_dir):
     """Updates / deletes of users that do not exist at that point."""
-    return scd2.unknown_user_rejects(profile_events(spark, sf_dir), adapters.AS_OF)
+    return scd2.unknown_user_rejects(event_log(spark, sf_dir), adapters.AS_OF)
 
 
 @register("point_in_time", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + """

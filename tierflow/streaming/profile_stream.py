@@ -141,12 +141,12 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
             base_dim = store.read("dim", touched, manifest).join(late, "user_id", "left_anti")
             # the fold materialises its input (batch events + touched users' current rows) once
             on_time = fold(ok.join(late, "user_id", "left_anti"), as_of, strict=strict, base=base_dim,
-                           validated=True).select(*DIM_COLUMNS)
+                           validated=True, checkpoint=True).select(*DIM_COLUMNS)
             new_dim = on_time
             if not late.isEmpty():
                 replay = old_log.join(late, "user_id", "left_semi").unionByName(
                     ok.join(late, "user_id", "left_semi"))
-                new_dim = new_dim.unionByName(fold(replay, as_of, strict=strict, validated=True)
+                new_dim = new_dim.unionByName(fold(replay, as_of, strict=strict, validated=True, checkpoint=True)
                                               .select(*DIM_COLUMNS))
             store.write("dim", new_dim, version)
             store.write("log", compact_event_log(old_log.unionByName(ok)), version)
