@@ -4,8 +4,8 @@ E13, E16, E17, J7-J9).
 The sequential consumer rules (create inserts version 1; update expires the
 current version and inserts max+1; delete erases every version; a second
 create is refused; an update of an unknown user upserts, or is refused in
-strict mode) are evaluated for the whole log at once as ordered scans per
-user (``operators.ordered``), with no per-event state:
+strict mode) are evaluated for the whole log at once, with no per-event
+state:
 
 1. the last delete of each user (an aggregate): everything up to it was
    erased (E4), so only the last segment is kept;
@@ -15,9 +15,10 @@ user (``operators.ordered``), with no per-event state:
    payload field (patch merge, E9), version = position (+ base version), end
    of validity = start of the next version (E5), current = no next version.
 
-The scan is keyed by user and blocked by event id, so a user holding a third
-of the log is spread over many tasks; the aggregates combine map-side. An existing dimension (``base``)
-is folded in by prepending its current row as the first event of the user.
+The scan is keyed by user and blocked by event id (``operators.ordered``), so
+a user holding a third of the log is spread over many tasks; the aggregates
+combine map-side. An existing dimension (``base``) is folded in by prepending
+its current row as the first event of the user.
 """
 
 from __future__ import annotations
