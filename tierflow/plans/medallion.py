@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from tierflow.constants import BAND_VALUES, RAW_FOOD_COLUMNS
 from tierflow.functions.cleanse import normalise_columns, raw_to_bronze
 from tierflow.functions.features import bronze_to_silver, user_features
+from tierflow.operators import quality as dq
 from tierflow.operators.recommend import recommend
-from tierflow.sources import adapters
+from tierflow.sources import adapters, files
 
 
 @dataclass
@@ -48,13 +51,6 @@ def layers(spark: SparkSession, sf_dir: str, as_of: str = adapters.AS_OF, dirty:
 
 # --------------------------------------------------------------------------- batch run with gates
 
-from pyspark.sql import Observation  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-from tierflow.constants import BAND_VALUES, RAW_FOOD_COLUMNS  # noqa: E402
-from tierflow.operators import quality as dq  # noqa: E402
-from tierflow.sources import files  # noqa: E402
-
 
 def _gate(df: DataFrame, checks, stage: str, reports: list, fail: bool) -> None:
     rep = dq.run_checks(df, checks, stage)

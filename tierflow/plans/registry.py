@@ -6,16 +6,27 @@ adapters, so its work grows with the data.
 
 from __future__ import annotations
 
+import uuid as _uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.constants import FACT_REC_COLUMNS
+from tierflow.constants import BAND_VALUES, FACT_REC_COLUMNS
 from tierflow.functions import cleanse, features
+from tierflow.functions.cleanse import to_warehouse_decimal
+from tierflow.operators import quality as dq
 from tierflow.operators import recommend as rec
-from tierflow.plans import medallion, oracle as O
-from tierflow.sources import adapters
+from tierflow.operators import scd2, validate
+from tierflow.operators import warehouse as wh
+from tierflow.operators.ordered import materialize
+from tierflow.plans import medallion, reports
+from tierflow.plans import oracle as O
+from tierflow.schemas import PROFILE_EVENT
+from tierflow.session import shared_dir
+from tierflow.sources import adapters, archive
+from tierflow.sources import events as envelope
+from tierflow.streaming import profile_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,8 +166,6 @@ def q_goal_topk_table(spark, sf_dir):
 
 # --------------------------------------------------------------------------- events, SCD2
 
-from tierflow.operators import scd2, validate  # noqa: E402
-from tierflow.operators.ordered import materialize  # noqa: E402
 
 
 def profile_events(spark, sf_dir):
@@ -288,11 +297,6 @@ def q_dq_scd2_invariants(spark, sf_dir):
 
 # --------------------------------------------------------------------------- warehouse, reports, DQ
 
-from tierflow.functions.cleanse import to_warehouse_decimal  # noqa: E402
-from tierflow.operators import quality as dq  # noqa: E402
-from tierflow.operators import warehouse as wh  # noqa: E402
-from tierflow.plans import reports  # noqa: E402
-from tierflow.constants import BAND_VALUES  # noqa: E402
 
 
 def warehouse_state(spark, sf_dir):
@@ -616,14 +620,6 @@ def q_next_ids(spark, sf_dir):
 
 # --------------------------------------------------------------------------- streaming, codecs, archive
 
-import uuid as _uuid  # noqa: E402
-
-from tierflow.schemas import PROFILE_EVENT  # noqa: E402
-from tierflow.session import shared_dir  # noqa: E402
-from tierflow.sources import archive, events as envelope  # noqa: E402
-from tierflow.streaming import profile_stream  # noqa: E402
-
-RAW_EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def run_event_stream(spark, sf_dir, root=None, max_files_per_trigger=None, source_dir=None):
