@@ -50,10 +50,19 @@ def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.select(*cols, malformed.alias("malformed"), "raw_value")
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest") -> DataFrame:
-    """S9 on a broker (needs the Kafka connector on the classpath)."""
-    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
+def read_topic(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest",
+               group_id: str | None = None, max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """S9 on a broker (needs the Kafka connector on the classpath): earliest
+    offsets by default, offsets tracked by the query checkpoint (exactly-once
+    with the idempotent ``foreachBatch``), optional consumer group id and a
+    bound on the records per micro-batch."""
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic).option("startingOffsets", starting_offsets))
+    if group_id:
+        r = r.option("kafka.group.id", group_id)
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load()
 
 
 def write_topic(events: DataFrame, servers: str, topic: str) -> None:
