@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from tierflow.operators import scd2
+from tierflow.operators import scd2, validate
 from tierflow.plans import medallion, registry
 from tierflow.sources import adapters
 from tierflow.streaming import profile_stream as ps
@@ -41,3 +41,28 @@ def test_dedup_and_log_compaction(spark):
     log = spark.createDataFrame([(1, "U1", "create"), (2, "U1", "delete"), (3, "U1", "create"), (4, "U2", "create")],
                                 "event_id long, user_id string, event_type string")
     assert sorted(r.event_id for r in ps.compact_event_log(log).collect()) == [2, 3, 4]
+
+
+def test_log_segments_append_and_compact(spark, tmpdir_path, monkeypatch):
+    """The log grows by one segment per batch and bucket; a bucket is
+    rewritten (erased events dropped) once it reaches the segment limit; the
+    logical log is the same either way."""
+    monkeypatch.setattr(ps, "LOG_SEGMENTS_MAX", 3)
+    events = registry.profile_events(spark, SF001)
+    foods = medallion.silver_foods(spark, SF001)
+    store = ps.SnapshotStore(spark, tmpdir_path + "/seg", buckets=4)
+    cuts = [0, 300, 500, 700, 900, 10 ** 9]
+    for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        batch = events.filter((F.col("event_id") >= lo) & (F.col("event_id") < hi))
+        assert ps.apply_batch(store, batch, i, foods, adapters.AS_OF)
+    segs = store.manifest()["tables"]["log"]
+    # five batches, each touching every bucket: without compaction each bucket would hold five segments
+    assert segs and all(1 <= len(v) <= 2 for v in segs.values())
+    ok = validate.validate_events(events, adapters.AS_OF)
+    ok = ok.filter(F.col("is_valid") & F.col("route").isin("create", "update", "delete"))
+    want = {(r.user_id, r.event_id) for r in ps.compact_event_log(ok).select("user_id", "event_id").collect()}
+    got = {(r.user_id, r.event_id) for r in store.read_log().select("user_id", "event_id").collect()}
+    assert got == want
+    hw = {r.user_id: r.hw_event_id for r in store.read("hw").collect()}
+    assert hw == {r.user_id: r.m for r in ok.groupBy("user_id").agg(F.max("event_id").alias("m")).collect()}
+    assert _as_set(store.read("dim")) == _as_set(scd2.fold(events, adapters.AS_OF))

@@ -7,13 +7,24 @@ the SCD2 dimension together with the *touched users' current rows only*, the
 touched users' recommendations are rebuilt for their new goal, and the
 dimension and fact are published together.
 
-State layout: both tables are hash-bucketed by user (``BUCKETS`` buckets). A
-micro-batch rewrites only the buckets it touches into a directory named by
-the batch id and then commits one small manifest (bucket -> directory for
-each table, plus the last committed batch id) by write-then-rename. Readers
-follow the manifest, so dimension and fact always switch together; a replayed
-batch id (restart after a crash) is skipped; a crash before the commit leaves
-the previous state untouched and the batch is re-run into the same directory.
+State layout: every table is hash-bucketed by user (``BUCKETS`` buckets; size
+it so a bucket of the dimension stays around a few hundred MB). A micro-batch
+writes into a directory named by the batch id and then commits one small
+manifest (bucket -> directory for each table, plus the last committed batch
+id) by write-then-rename. Readers follow the manifest, so dimension and fact
+always switch together; a replayed batch id (restart after a crash) is
+skipped; a crash before the commit leaves the previous state untouched and
+the batch is re-run into the same directory.
+
+* ``dim``, ``fact``, ``hw``: copy-on-write per touched bucket (the touched
+  users' rows change; ``hw`` holds one high-water event id per user, so late
+  data is detected without reading the log).
+* ``log``: append-only. A batch adds one segment per touched bucket (work
+  proportional to the batch, not to the log). Erasure (E4) is logical on read
+  (``compact_event_log``: events before a user's last delete are dropped);
+  a bucket is rewritten physically only when it has collected
+  ``LOG_SEGMENTS_MAX`` segments, so the rewrite cost is amortised.
+
 On a table format with MERGE, the same per-batch fold output feeds MERGE on
 the touched users instead.
 """
@@ -21,6 +32,7 @@ the touched users instead.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +47,7 @@ from tierflow.schemas import DIM_USER_PROFILE, PROFILE_EVENT
 from tierflow.sources.files import _fs, _read_text, _write_text, replace_file
 
 BUCKETS = 64
+LOG_SEGMENTS_MAX = 16
 
 FACT_SCHEMA = T.StructType([
     T.StructField("user_id", T.StringType()),
@@ -52,7 +65,13 @@ LOG_SCHEMA = T.StructType(PROFILE_EVENT.fields + [
     T.StructField("is_valid", T.BooleanType()),
 ])
 
-SCHEMAS = {"dim": DIM_USER_PROFILE, "fact": FACT_SCHEMA, "log": LOG_SCHEMA}
+HW_SCHEMA = T.StructType([
+    T.StructField("user_id", T.StringType()),
+    T.StructField("hw_event_id", T.LongType()),
+])
+
+SCHEMAS = {"dim": DIM_USER_PROFILE, "fact": FACT_SCHEMA, "log": LOG_SCHEMA, "hw": HW_SCHEMA}
+APPEND_ONLY = {"log"}
 
 
 def bucket_of(user_id, buckets: int = BUCKETS):
@@ -80,29 +99,46 @@ class SnapshotStore:
         m = manifest or self.manifest()
         entries = m["tables"].get(table, {})
         keep = None if buckets is None else {str(b) for b in buckets}
-        return [f"{self.root}/{table}/v={ver}/bucket={b}" for b, ver in sorted(entries.items())
-                if ver and (keep is None or b in keep)]
+        out = []
+        for b, vers in sorted(entries.items()):
+            if keep is not None and b not in keep:
+                continue
+            for ver in (vers if isinstance(vers, list) else [vers]):
+                if ver:
+                    out.append(f"{self.root}/{table}/v={ver}/bucket={b}")
+        return out
 
     def read(self, table: str, buckets: list[int] | None = None, manifest: dict | None = None) -> DataFrame:
+        """The stored rows; for the log, the physical segments (see ``read_log``)."""
         schema = SCHEMAS[table]
         paths = self.paths(table, buckets, manifest)
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def read_log(self, buckets: list[int] | None = None, manifest: dict | None = None) -> DataFrame:
+        """The event log as the consumer rules define it: erased events removed."""
+        return compact_event_log(self.read("log", buckets, manifest))
+
     def write(self, table: str, df: DataFrame, version: str) -> None:
         # rebalance by bucket: few files per bucket, and AQE splits a bucket
         # that a hot user makes too large instead of writing it from one task
         (df.withColumn("bucket", bucket_of("user_id", self.buckets)).hint("rebalance", "bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{table}/v={version}"))
 
-    def commit(self, batch_id: int, version: str, touched: list[int], manifest: dict) -> None:
+    def commit(self, batch_id: int, version: str, touched: list[int], manifest: dict,
+               compacted: list[int] = ()) -> None:
         new = json.loads(json.dumps(manifest))
         for table in SCHEMAS:
             entries = new["tables"].setdefault(table, {})
             for b in touched:
                 fs, p = _fs(self.spark, f"{self.root}/{table}/v={version}/bucket={b}")
-                entries[str(b)] = version if fs.exists(p) else None
+                ver = version if fs.exists(p) else None
+                if table in APPEND_ONLY:
+                    old = [] if b in compacted else [x for x in (entries.get(str(b)) or []) if x]
+                    entries[str(b)] = old + ([ver] if ver else [])
+                else:
+                    entries[str(b)] = ver
         new["batch"] = batch_id
         tmp = f"{self.manifest_path}.{version}.tmp"
         _write_text(self.spark, tmp, json.dumps(new, sort_keys=True))
@@ -114,54 +150,77 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
     """Fold one micro-batch of profile events into the store. Returns False
     when the batch was already committed (replay).
 
-    Late data: a user whose batch holds an event older than one already
-    logged for that user is re-folded from the (compacted) event log plus the
-    batch, so arrival order never changes the result; other users are folded
-    incrementally on top of their current rows.
+    Late data: a user whose batch holds an event older than the user's
+    high-water event id is re-folded from the (logically compacted) event log
+    plus the batch, so arrival order never changes the result; other users
+    are folded incrementally on top of their current rows.
+
+    The dead-letter write and the log append do not depend on the fold; they
+    run as concurrent Spark jobs next to the dimension -> fact chain.
     """
     manifest = store.manifest()
     if batch_id <= manifest["batch"]:
         return False
     version = f"b{batch_id:010d}"
     v = validate_events(events, as_of).persist()
+    pool = ThreadPoolExecutor(max_workers=2)
     try:
-        v.filter(~F.col("is_valid")).write.mode("overwrite").parquet(f"{store.root}/rejects/batch={batch_id}")
         ok = v.filter(F.col("is_valid") & F.col("route").isin("create", "update", "delete")).select(
             *[f.name for f in LOG_SCHEMA.fields])
         touched_users = ok.select("user_id").distinct()
         # bounded by the bucket count, so reading it on the driver is cheap
         touched = sorted(r[0] for r in touched_users.select(bucket_of("user_id", store.buckets).alias("b"))
                          .distinct().collect())
+        side = [pool.submit(lambda: v.filter(~F.col("is_valid")).write.mode("overwrite")
+                            .parquet(f"{store.root}/rejects/batch={batch_id}"))]
+        compacted = [b for b in touched
+                     if len(manifest["tables"].get("log", {}).get(str(b)) or []) >= LOG_SEGMENTS_MAX - 1]
         if touched:
-            old_log = store.read("log", touched, manifest)
-            logged_hw = (old_log.join(touched_users, "user_id", "left_semi").groupBy("user_id")
-                         .agg(F.max("event_id").alias("__hw")))
+            side.append(pool.submit(_append_log, store, ok, version, compacted, manifest))
+            hw_old = store.read("hw", touched, manifest)
             late = materialize(ok.groupBy("user_id").agg(F.min("event_id").alias("__lo"))
-                               .join(logged_hw, "user_id").filter(F.col("__lo") < F.col("__hw")).select("user_id"))
+                               .join(hw_old, "user_id").filter(F.col("__lo") < F.col("hw_event_id"))
+                               .select("user_id"))
             base_dim = store.read("dim", touched, manifest).join(late, "user_id", "left_anti")
             # the fold materialises its input (batch events + touched users' current rows) once
-            on_time = fold(ok.join(late, "user_id", "left_anti"), as_of, strict=strict, base=base_dim,
+            new_dim = fold(ok.join(late, "user_id", "left_anti"), as_of, strict=strict, base=base_dim,
                            validated=True, checkpoint=True).select(*DIM_COLUMNS)
-            new_dim = on_time
             if not late.isEmpty():
-                replay = old_log.join(late, "user_id", "left_semi").unionByName(
+                replay = store.read_log(touched, manifest).join(late, "user_id", "left_semi").unionByName(
                     ok.join(late, "user_id", "left_semi"))
                 new_dim = new_dim.unionByName(fold(replay, as_of, strict=strict, validated=True, checkpoint=True)
                                               .select(*DIM_COLUMNS))
             store.write("dim", new_dim, version)
-            store.write("log", compact_event_log(old_log.unionByName(ok)), version)
+            hw_new = (hw_old.unionByName(ok.select("user_id", F.col("event_id").alias("hw_event_id")))
+                      .groupBy("user_id").agg(F.max("hw_event_id").alias("hw_event_id")))
+            side.append(pool.submit(store.write, "hw", hw_new, version))
             # read back what was written instead of recomputing the fold
             dim_now = store.spark.read.schema(DIM_USER_PROFILE).parquet(f"{store.root}/dim/v={version}")
             base_fact = store.read("fact", touched, manifest)
             changed = touched_users.join(current_rows(dim_now).select("user_id", "goal_type"), "user_id", "left")
             new_fact = rec.recommend_changed(base_fact, changed, foods, top=top).select(*FACT_REC_COLUMNS)
             store.write("fact", new_fact, version)
-        store.commit(batch_id, version, touched, manifest)
+        for f in side:
+            f.result()
+        store.commit(batch_id, version, touched, manifest, compacted)
         return True
     finally:
+        pool.shutdown(wait=True)
         v.unpersist()
 
 
+def _append_log(store: SnapshotStore, ok: DataFrame, version: str, compacted: list[int], manifest: dict) -> None:
+    """The batch's accepted events as a new log segment per touched bucket;
+    buckets that reached the segment limit are rewritten whole (old segments
+    plus the batch, erased events dropped) into the same version."""
+    out = ok
+    if compacted:
+        in_c = bucket_of("user_id", store.buckets).isin(compacted)
+        old = store.read("log", compacted, manifest)
+        out = ok.filter(~in_c).unionByName(compact_event_log(old.unionByName(ok.filter(in_c))))
+    store.write("log", out, version)
+
+
 def start(stream: DataFrame, store: SnapshotStore, foods: DataFrame, as_of, checkpoint: str,
           strict: bool = False, available_now: bool = True, processing_time: str | None = None):
     """Run the profile stream; returns the ``StreamingQuery``.
@@ -191,10 +250,11 @@ def dedup_events(stream: DataFrame, key: str = "event_id", ts: str = "ts", delay
 def compact_event_log(log: DataFrame) -> DataFrame:
     """E4 for the log: events of a user before their last delete are erased;
     the delete itself is kept as the user's event high-water mark (one
-    aggregate + anti join; the id high-water mark of the id allocator is
-    kept separately by ``warehouse.high_water_mark``)."""
+    aggregate, partially combined map-side, and one join back on the user;
+    the id high-water mark of the id allocator is kept separately by
+    ``warehouse.high_water_mark``)."""
     last_del = (log.filter(F.col("event_type") == "delete").groupBy("user_id")
                 .agg(F.max("event_id").alias("__last_del")))
-    erased = log.join(last_del, "user_id").filter(F.col("event_id") < F.col("__last_del")).select(
-        "user_id", "event_id")
-    return log.join(erased, ["user_id", "event_id"], "left_anti")
+    return (log.join(last_del, "user_id", "left")
+            .filter(F.col("__last_del").isNull() | (F.col("event_id") >= F.col("__last_del")))
+            .drop("__last_del"))
