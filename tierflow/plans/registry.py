@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid as _uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -299,19 +300,50 @@ def q_dq_scd2_invariants(spark, sf_dir):
 
 
 
-def warehouse_state(spark, sf_dir):
-    """(dim_user, dim_food, fact): event-built dimension + batch load of new users."""
-    silver = medallion.silver_foods(spark, sf_dir)
-    dim_ev = dimension(spark, sf_dir)
-    gold_users = medallion.enriched_users(spark, sf_dir)
-    top = materialize(rec.top_k_by_goal(silver))  # bounded (3 x 10 rows), ranked once for both loads
-    gold_recs = rec.recommend(gold_users, silver, top=top)
-    cur = scd2.current_rows(dim_ev).select("user_id", "goal_type")
-    fact_ev = rec.fact_rows(rec.recommend(cur, silver, top=top))
-    w = wh.load(dim_ev, fact_ev, silver, gold_users, gold_recs, adapters.RUN_TS)
-    dim_user = materialize(to_warehouse_decimal(w.dim_user, ["height_cm", "current_weight_lb", "target_weight_lb"]))
-    fact = materialize(to_warehouse_decimal(w.fact, ["recommendation_score"]))
-    return dim_user, w.dim_food, fact
+class WarehouseState:
+    """(dim_user, dim_food, fact): event-built dimension + batch load of new
+    users. Each table is built and materialised on first use only, so a
+    query over the dimension never computes the fact."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def _silver(self):
+        return medallion.silver_foods(self.spark, self.sf_dir)
+
+    @cached_property
+    def dim_events(self):
+        """The dimension folded from the event log (before the batch load)."""
+        return dimension(self.spark, self.sf_dir)
+
+    def _load(self, top):
+        silver = self._silver
+        dim_ev = self.dim_events
+        gold_users = medallion.enriched_users(self.spark, self.sf_dir)
+        gold_recs = rec.recommend(gold_users, silver, top=top)
+        cur = scd2.current_rows(dim_ev).select("user_id", "goal_type")
+        fact_ev = rec.fact_rows(rec.recommend(cur, silver, top=top))
+        return wh.load(dim_ev, fact_ev, silver, gold_users, gold_recs, adapters.RUN_TS)
+
+    @cached_property
+    def dim_user(self):
+        # the dimension side of the load does not read the recommendations
+        w = self._load(rec.top_k_by_goal(self._silver))
+        return materialize(to_warehouse_decimal(w.dim_user, ["height_cm", "current_weight_lb", "target_weight_lb"]))
+
+    @cached_property
+    def dim_food(self):
+        return wh.dim_food(self._silver)
+
+    @cached_property
+    def fact(self):
+        top = materialize(rec.top_k_by_goal(self._silver))  # bounded (3 x 10 rows), ranked once for both loads
+        return materialize(to_warehouse_decimal(self._load(top).fact, ["recommendation_score"]))
+
+
+def warehouse_state(spark, sf_dir) -> WarehouseState:
+    return WarehouseState(spark, sf_dir)
 
 
 DIM_OUT = ["user_id", "user_name", "gender", "birth_date", "age", "height_cm", "current_weight_lb",
@@ -328,13 +360,13 @@ def q_decimal_boundary(spark, sf_dir):
 @register("load_dim_user", O.with_(*O.WAREHOUSE_CHAIN) + " SELECT * FROM wdim")
 def q_load_dim_user(spark, sf_dir):
     """Dimension after the batch load (existing users skipped, new ones stamped)."""
-    return warehouse_state(spark, sf_dir)[0].select(*DIM_OUT)
+    return warehouse_state(spark, sf_dir).dim_user.select(*DIM_OUT)
 
 
 @register("load_fact", O.with_(*O.WAREHOUSE_CHAIN) + " SELECT * FROM wfact")
 def q_load_fact(spark, sf_dir):
     """Fact after the batch load (new users' recommendations appended)."""
-    return warehouse_state(spark, sf_dir)[2].select(*FACT_REC_COLUMNS)
+    return warehouse_state(spark, sf_dir).fact.select(*FACT_REC_COLUMNS)
 
 
 @register("recommend_changed_users", O.with_(*O.FOODS_CHAIN, O.USERS, O.TOP_USERS, O.EVENTS, O.VALIDATED,
@@ -362,7 +394,8 @@ def q_recommend_changed_users(spark, sf_dir):
 @register("report", O.with_(*O.WAREHOUSE_CHAIN, O.REPORT) + " SELECT * FROM report")
 def q_report(spark, sf_dir):
     """V1 (J2 + J3): flat recommendation report; fans out over servings like the modelled view."""
-    dim_user, dim_food, fact = warehouse_state(spark, sf_dir)
+    w = warehouse_state(spark, sf_dir)
+    dim_user, dim_food, fact = w.dim_user, w.dim_food, w.fact
     return reports.recommendation_report(fact, dim_user, dim_food)
 
 
@@ -377,7 +410,8 @@ SELECT u.user_id, u.user_name, u.gender, u.age, u.goal_type, u.height_cm, u.curr
 FROM wfact r JOIN wdim u ON r.user_id = u.user_id AND u.is_current LEFT JOIN fbest f ON r.food_name = f.food_name""")
 def q_report_best_serving(spark, sf_dir):
     """V1 option: one report row per recommendation (first serving of each food)."""
-    dim_user, dim_food, fact = warehouse_state(spark, sf_dir)
+    w = warehouse_state(spark, sf_dir)
+    dim_user, dim_food, fact = w.dim_user, w.dim_food, w.fact
     return reports.recommendation_report(fact, dim_user, dim_food, best_serving_only=True)
 
 
@@ -387,7 +421,7 @@ def q_report_best_serving(spark, sf_dir):
  FROM wdim WHERE is_current""")
 def q_goal_summary(spark, sf_dir):
     """V2 (C15, J9)."""
-    return reports.goal_summary(warehouse_state(spark, sf_dir)[0])
+    return reports.goal_summary(warehouse_state(spark, sf_dir).dim_user)
 
 
 @register("food_profile", O.with_(*O.WAREHOUSE_CHAIN) + """
@@ -395,7 +429,7 @@ def q_goal_summary(spark, sf_dir):
         protein_band, carb_band, fat_band, is_high_protein_low_calorie, is_high_fiber, is_low_sugar FROM wfood""")
 def q_food_profile(spark, sf_dir):
     """V3."""
-    return reports.food_profile(warehouse_state(spark, sf_dir)[1])
+    return reports.food_profile(warehouse_state(spark, sf_dir).dim_food)
 
 
 HIST_COLS = ["user_id", "user_name", "gender", "age", "goal_type", "height_cm", "current_weight_lb",
@@ -406,7 +440,7 @@ HIST_COLS = ["user_id", "user_name", "gender", "age", "goal_type", "height_cm",
 @register("progress_history", O.with_(*O.WAREHOUSE_CHAIN, O.HISTORY) + f" SELECT {', '.join(HIST_COLS)} FROM hist")
 def q_progress_history(spark, sf_dir):
     """V4 (W4, W5, C15): progress status per version."""
-    return reports.progress_history(warehouse_state(spark, sf_dir)[0]).select(*HIST_COLS)
+    return reports.progress_history(warehouse_state(spark, sf_dir).dim_user).select(*HIST_COLS)
 
 
 @register("user_history", O.with_(*O.WAREHOUSE_CHAIN, O.HISTORY) + """
@@ -415,14 +449,14 @@ def q_progress_history(spark, sf_dir):
         total_versions FROM hist""")
 def q_user_history(spark, sf_dir):
     """V7 (+ A6): history rows with the user's version count."""
-    return reports.user_history(warehouse_state(spark, sf_dir)[0])
+    return reports.user_history(warehouse_state(spark, sf_dir).dim_user)
 
 
 @register("list_users", O.with_(*O.WAREHOUSE_CHAIN) + """
  SELECT user_id, user_name, goal_type FROM wdim WHERE is_current ORDER BY user_id""")
 def q_list_users(spark, sf_dir):
     """V5."""
-    return reports.list_users(warehouse_state(spark, sf_dir)[0])
+    return reports.list_users(warehouse_state(spark, sf_dir).dim_user)
 
 
 @register("current_profile", O.with_(*O.WAREHOUSE_CHAIN) + """
@@ -430,7 +464,7 @@ def q_list_users(spark, sf_dir):
         effective_start, version_number FROM wdim WHERE is_current""")
 def q_current_profile(spark, sf_dir):
     """V6."""
-    return reports.current_profile(warehouse_state(spark, sf_dir)[0])
+    return reports.current_profile(warehouse_state(spark, sf_dir).dim_user)
 
 
 @register("recs_for_users", O.with_(*O.WAREHOUSE_CHAIN) + """
@@ -439,8 +473,9 @@ def q_current_profile(spark, sf_dir):
  ORDER BY user_id, recommendation_rank""")
 def q_recs_for_users(spark, sf_dir):
     """Recommendations of a user set (here: event-built users aiming to gain)."""
-    dim_user, _, fact = warehouse_state(spark, sf_dir)
-    sel = scd2.current_rows(dimension(spark, sf_dir)).filter(F.col("goal_type") == "weight_gain")
+    w = warehouse_state(spark, sf_dir)
+    fact = w.fact
+    sel = scd2.current_rows(w.dim_events).filter(F.col("goal_type") == "weight_gain")
     return reports.recs_for_users(fact, sel)
 
 
@@ -453,7 +488,7 @@ def q_recs_for_users(spark, sf_dir):
  FROM hist""")
 def q_weight_journey(spark, sf_dir):
     """V9 (C20): chart series."""
-    return reports.weight_journey(reports.progress_history(warehouse_state(spark, sf_dir)[0]))
+    return reports.weight_journey(reports.progress_history(warehouse_state(spark, sf_dir).dim_user))
 
 
 SEARCH_TERMS = ["u01", "#000000", "user_4"]
@@ -465,7 +500,7 @@ terms AS (SELECT * FROM (VALUES {', '.join(f"('{t}')" for t in SEARCH_TERMS)}) t
  WHERE u.is_current AND (contains(lower(u.user_id), t.term) OR contains(lower(coalesce(u.user_name, '')), t.term))""")
 def q_search_users(spark, sf_dir):
     """Case-insensitive substring search on id or name for a list of terms."""
-    return reports.search_users(warehouse_state(spark, sf_dir)[0], SEARCH_TERMS)
+    return reports.search_users(warehouse_state(spark, sf_dir).dim_user, SEARCH_TERMS)
 
 
 @register("top_foods_by_goal", O.with_(*O.WAREHOUSE_CHAIN) + """
@@ -474,7 +509,7 @@ def q_search_users(spark, sf_dir):
  FROM wfact GROUP BY goal_type, food_name""")
 def q_top_foods_by_goal(spark, sf_dir):
     """A8."""
-    return reports.top_foods_by_goal(warehouse_state(spark, sf_dir)[2])
+    return reports.top_foods_by_goal(warehouse_state(spark, sf_dir).fact)
 
 
 @register("rank_distribution", O.with_(*O.WAREHOUSE_CHAIN, O.REPORT) + """
@@ -482,7 +517,8 @@ def q_top_foods_by_goal(spark, sf_dir):
  FROM report GROUP BY recommendation_rank""")
 def q_rank_distribution(spark, sf_dir):
     """A8 over V1."""
-    dim_user, dim_food, fact = warehouse_state(spark, sf_dir)
+    w = warehouse_state(spark, sf_dir)
+    dim_user, dim_food, fact = w.dim_user, w.dim_food, w.fact
     return reports.rank_distribution(reports.recommendation_report(fact, dim_user, dim_food))
 
 
@@ -491,7 +527,7 @@ def q_rank_distribution(spark, sf_dir):
  FROM wfact GROUP BY 1, 2""")
 def q_score_distribution(spark, sf_dir):
     """A8."""
-    return reports.score_distribution(warehouse_state(spark, sf_dir)[2])
+    return reports.score_distribution(warehouse_state(spark, sf_dir).fact)
 
 
 @register("flag_kpis", O.with_(*O.WAREHOUSE_CHAIN, O.REPORT) + """
@@ -501,7 +537,8 @@ def q_score_distribution(spark, sf_dir):
  FROM report GROUP BY goal_type""")
 def q_flag_kpis(spark, sf_dir):
     """A8 over V1."""
-    dim_user, dim_food, fact = warehouse_state(spark, sf_dir)
+    w = warehouse_state(spark, sf_dir)
+    dim_user, dim_food, fact = w.dim_user, w.dim_food, w.fact
     return reports.flag_kpis(reports.recommendation_report(fact, dim_user, dim_food))
 
 
@@ -570,7 +607,8 @@ def q_dq_gold_report(spark, sf_dir):
        WHERE d.user_id IS NULL)""")
 def q_dq_referential(spark, sf_dir):
     """Fact rows without a dimension row (orphans)."""
-    dim_user, _, fact = warehouse_state(spark, sf_dir)
+    w = warehouse_state(spark, sf_dir)
+    dim_user, fact = w.dim_user, w.fact
     return dq.referential_report(fact, dim_user, "user_id", "user_id", "warehouse_post_load_check")
 
 
@@ -578,7 +616,8 @@ def q_dq_referential(spark, sf_dir):
  SELECT user_id, user_name FROM wdim d WHERE is_current AND NOT EXISTS (SELECT 1 FROM wfact f WHERE f.user_id = d.user_id)""")
 def q_dq_users_without_recs(spark, sf_dir):
     """D15 in bulk: current users with no recommendation."""
-    dim_user, _, fact = warehouse_state(spark, sf_dir)
+    w = warehouse_state(spark, sf_dir)
+    dim_user, fact = w.dim_user, w.fact
     return dq.users_without_recommendations(scd2.current_rows(dim_user).select("user_id", "user_name"), fact)
 
 
