@@ -163,7 +163,7 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
         return False
     version = f"b{batch_id:010d}"
     v = validate_events(events, as_of).persist()
-    pool = ThreadPoolExecutor(max_workers=2)
+    pool = ThreadPoolExecutor(max_workers=4)
     try:
         ok = v.filter(F.col("is_valid") & F.col("route").isin("create", "update", "delete")).select(
             *[f.name for f in LOG_SCHEMA.fields])
@@ -178,26 +178,32 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
         if touched:
             side.append(pool.submit(_append_log, store, ok, version, compacted, manifest))
             hw_old = store.read("hw", touched, manifest)
-            late = materialize(ok.groupBy("user_id").agg(F.min("event_id").alias("__lo"))
-                               .join(hw_old, "user_id").filter(F.col("__lo") < F.col("hw_event_id"))
-                               .select("user_id"))
-            base_dim = store.read("dim", touched, manifest).join(late, "user_id", "left_anti")
+            late = (ok.groupBy("user_id").agg(F.min("event_id").alias("__lo"))
+                    .join(hw_old, "user_id").filter(F.col("__lo") < F.col("hw_event_id")).select("user_id"))
+            base_dim = store.read("dim", touched, manifest)
+            # usual case: nobody is late and the batch folds on top of the current rows
+            has_late = not late.isEmpty()
+            if has_late:
+                late = materialize(late)
+                base_dim = base_dim.join(late, "user_id", "left_anti")
             # the fold materialises its input (batch events + touched users' current rows) once
-            new_dim = fold(ok.join(late, "user_id", "left_anti"), as_of, strict=strict, base=base_dim,
-                           validated=True, checkpoint=True).select(*DIM_COLUMNS)
-            if not late.isEmpty():
+            new_dim = fold(ok.join(late, "user_id", "left_anti") if has_late else ok, as_of, strict=strict,
+                           base=base_dim, validated=True, checkpoint=True).select(*DIM_COLUMNS)
+            if has_late:
                 replay = store.read_log(touched, manifest).join(late, "user_id", "left_semi").unionByName(
                     ok.join(late, "user_id", "left_semi"))
                 new_dim = new_dim.unionByName(fold(replay, as_of, strict=strict, validated=True, checkpoint=True)
                                               .select(*DIM_COLUMNS))
-            store.write("dim", new_dim, version)
+            # the fold result is materialised once; the dimension write and the
+            # recommendations of the touched users (which need only their new
+            # current rows) then run as concurrent jobs
+            new_dim = materialize(new_dim)
+            side.append(pool.submit(store.write, "dim", new_dim, version))
             hw_new = (hw_old.unionByName(ok.select("user_id", F.col("event_id").alias("hw_event_id")))
                       .groupBy("user_id").agg(F.max("hw_event_id").alias("hw_event_id")))
             side.append(pool.submit(store.write, "hw", hw_new, version))
-            # read back what was written instead of recomputing the fold
-            dim_now = store.spark.read.schema(DIM_USER_PROFILE).parquet(f"{store.root}/dim/v={version}")
             base_fact = store.read("fact", touched, manifest)
-            changed = touched_users.join(current_rows(dim_now).select("user_id", "goal_type"), "user_id", "left")
+            changed = touched_users.join(current_rows(new_dim).select("user_id", "goal_type"), "user_id", "left")
             new_fact = rec.recommend_changed(base_fact, changed, foods, top=top).select(*FACT_REC_COLUMNS)
             store.write("fact", new_fact, version)
         for f in side:
