@@ -97,11 +97,12 @@ def allocate_ids(requests: DataFrame, order_by: list[str], start: DataFrame,
     """
     from pyspark.sql import Window
 
+    from tierflow.operators.ordered import materialize
+
     high_water = int(start.first()["high_water"])
-    ordered = (requests.sort(*order_by)
-               .withColumn("__pid", F.spark_partition_id())
-               .withColumn("__mid", F.monotonically_increasing_id())
-               .checkpoint(eager=True))
+    ordered = materialize(requests.sort(*order_by)
+                          .withColumn("__pid", F.spark_partition_id())
+                          .withColumn("__mid", F.monotonically_increasing_id()))
     pos = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
     counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

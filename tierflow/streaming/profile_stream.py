@@ -126,14 +126,22 @@ class SnapshotStore:
         (df.withColumn("bucket", bucket_of("user_id", self.buckets)).hint("rebalance", "bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{table}/v={version}"))
 
+    def _written_buckets(self, table: str, version: str) -> set[int]:
+        """Bucket directories present under one version (one listing call)."""
+        fs, p = _fs(self.spark, f"{self.root}/{table}/v={version}")
+        if not fs.exists(p):
+            return set()
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        return {int(n.split("=", 1)[1]) for n in names if n.startswith("bucket=")}
+
     def commit(self, batch_id: int, version: str, touched: list[int], manifest: dict,
                compacted: list[int] = ()) -> None:
         new = json.loads(json.dumps(manifest))
         for table in SCHEMAS:
             entries = new["tables"].setdefault(table, {})
+            written = self._written_buckets(table, version)
             for b in touched:
-                fs, p = _fs(self.spark, f"{self.root}/{table}/v={version}/bucket={b}")
-                ver = version if fs.exists(p) else None
+                ver = version if b in written else None
                 if table in APPEND_ONLY:
                     old = [] if b in compacted else [x for x in (entries.get(str(b)) or []) if x]
                     entries[str(b)] = old + ([ver] if ver else [])
