@@ -23,8 +23,8 @@ HEADLINE = ["top10_by_goal", "scd2_fold", "report", "dq_report", "progress_histo
 def operational(spark, sf_dir: str) -> dict:
     """The two operational figures the modelled system documents: a full
     gated batch run raw -> gold (with atomic publication), and the latency
-    from a few new profile events to visible recommendations (one
-    micro-batch folded into existing state)."""
+    from a few new profile events to visible recommendations (micro-batches
+    folded into existing state; median of three)."""
     import uuid
 
     from pyspark.sql import functions as F
@@ -48,11 +48,18 @@ def operational(spark, sf_dir: str) -> dict:
     from tierflow.operators.ordered import materialize
     from tierflow.operators.recommend import top_k_by_goal
     top = materialize(top_k_by_goal(foods))  # computed once per stream
-    ps.apply_batch(store, events.filter(F.col("event_id") <= last_id - 5), 0, foods, adapters.AS_OF, top=top)
-    t0 = time.perf_counter()
-    ps.apply_batch(store, events.filter(F.col("event_id") > last_id - 5), 1, foods, adapters.AS_OF, top=top)
-    store.read("fact").write.format("noop").mode("overwrite").save()
-    out["event_latency"] = round(time.perf_counter() - t0, 3)
+    # state = everything but the last 15 events; then three micro-batches of 5
+    # new events each, timed from arrival to the recommendations being readable
+    ps.apply_batch(store, events.filter(F.col("event_id") <= last_id - 15), 0, foods, adapters.AS_OF, top=top)
+    lat = []
+    for i in range(3):
+        lo, hi = last_id - 15 + 5 * i, last_id - 10 + 5 * i
+        t0 = time.perf_counter()
+        ps.apply_batch(store, events.filter((F.col("event_id") > lo) & (F.col("event_id") <= hi)), 1 + i, foods,
+                       adapters.AS_OF, top=top)
+        store.read("fact").write.format("noop").mode("overwrite").save()
+        lat.append(time.perf_counter() - t0)
+    out["event_latency"] = round(sorted(lat)[1], 3)  # median of three micro-batches
     return out
 
 
