@@ -655,7 +655,8 @@ FROM req, hw""")
 def q_next_ids(spark, sf_dir):
     """E14 (J11, A5, C17, C18): ids for new profile requests past the high-water mark."""
     ev = profile_events(spark, sf_dir)
-    ids = wh.known_ids(dimension(spark, sf_dir), ev)
+    # the id set is read twice (high-water mark, anti join): materialise it, not the dimension
+    ids = materialize(wh.known_ids(scd2.fold(event_log(spark, sf_dir), adapters.AS_OF), ev))
     customers = adapters.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     requests = customers.join(ids, cleanse.format_user_id("c_custkey") == ids["user_id"], "left_anti")
     return wh.allocate_ids(requests, ["c_custkey"], wh.high_water_mark(ids)).select("c_custkey", "c_name", "user_id")
