@@ -80,3 +80,23 @@ def test_out_of_order_batches_with_compaction(spark, tmpdir_path, monkeypatch):
         batch = events.filter((F.col("event_id") >= lo) & (F.col("event_id") < hi))
         assert ps.apply_batch(store, batch, i, foods, adapters.AS_OF)
     assert _as_set(store.read("dim")) == _as_set(scd2.fold(events, adapters.AS_OF))
+
+
+def test_compaction_matches_sequential_model_with_hot_user(spark):
+    """Erasure on read equals a sequential model (each delete clears the
+    user's earlier events) on a random log where one user holds a third of it."""
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for eid in range(1, 1501):
+        user = "U1" if eid % 3 == 0 else f"U{rnd.randint(2, 60)}"
+        rows.append((eid, user, rnd.choice(["create", "update", "update", "delete"])))
+    kept: dict[str, list[int]] = {}
+    for eid, user, kind in rows:
+        if kind == "delete":
+            kept[user] = []
+        kept.setdefault(user, []).append(eid)
+    want = sorted(e for ids in kept.values() for e in ids)
+    log = spark.createDataFrame(rows, "event_id long, user_id string, event_type string")
+    assert sorted(r.event_id for r in ps.compact_event_log(log).collect()) == want
