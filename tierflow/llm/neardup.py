@@ -10,8 +10,10 @@ check, exact check on whole shingle sets, and components by alternating stars.
 3. Pairs pass a check on the signatures, then an exact one on the full shingle
    sets. Links are joined into components.
 4. Members of one bucket that are still in different components are compared in
-   blocks of bounded size, and what passes both checks adds links: so no linked
-   pair that shares a bucket is lost. Two texts of similarity 0.8 share a bucket
+   blocks of bounded size, on longer signatures (512 minima): two rounds with
+   each member's best partner only, which join most of them, and a last one
+   with every pair that is left. What passes both checks adds links: so no
+   linked pair that shares a bucket is lost. Two texts of similarity 0.8 share a bucket
    with probability 1 - (1 - 0.8^4)^32 = 1 - 5e-8.
 """
 
@@ -29,26 +31,27 @@ from tierflow.llm.common import lower_words, mix, shingle_hashes, shingle_set, s
 from tierflow.llm.components import components
 
 BANDS, ROWS, HUBS, BLOCK, SALTS = 32, 4, 8, 1024, 32
+SHORT, LONG = BANDS * ROWS, 512
 _RNG = np.random.Generator(np.random.PCG64(7))
-_A = _RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
+_A = _RNG.integers(1, 2**63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _RNG.integers(1, 2**63, LONG, dtype=np.uint64)
 
 
 def minima(shingles: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(texts, 128) minima of the multiply-shift hashes; texts without shingles get the largest value."""
+    """(texts, LONG) minima of the multiply-shift hashes; texts without shingles get the largest value."""
     n = np.diff(offsets)
-    out = np.full((len(n), BANDS * ROWS), 0xFFFFFFFF, np.uint32)
+    out = np.full((len(n), LONG), 0xFFFFFFFF, np.uint32)
     some = np.flatnonzero(n > 0)
     if len(some):
         starts = offsets[some]
-        for k in range(BANDS * ROWS):
+        for k in range(LONG):
             out[some, k] = np.minimum.reduceat(((shingles * _A[k] + _B[k]) >> np.uint64(32)).astype(np.uint32), starts)
     return out
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
     """(texts, 32) 64-bit bucket keys; the band is part of the key."""
-    parts = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
+    parts = sig[:, :SHORT].reshape(len(sig), BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _A[0], parts.shape[:2]).copy()
     for r in range(ROWS):
         key = mix(key ^ (parts[:, :, r] * _A[r + 1] + _B[r]))
@@ -78,11 +81,11 @@ def _signed(k: int):
 
 
 def _similar_signatures(least: int):
-    """Keep pairs whose signatures agree in at least ``least`` of 128 places."""
+    """Keep pairs whose short signatures agree in at least ``least`` places."""
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for c in ("su", "sv"))
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SHORT) for c in ("su", "sv"))
                 yield batch.filter(pa.array((a == b).sum(axis=1) >= least)).select(["u", "v"])
     return run
 
@@ -116,38 +119,48 @@ def _exact(k: int, percent: int):
     return run
 
 
-def _rest_pairs(least: int):
+def _rest_pairs(least: int, best: bool):
     """Rows sorted by unit (bucket, block, block): pairs of different components
-    whose signatures agree. A unit has at most some thousand rows (BLOCK)."""
+    whose long signatures agree; with ``best`` only each member's best partner. A
+    unit has some thousand rows at most (BLOCK)."""
     def pairs(rows):
-        sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, BANDS * ROWS)
-        label = np.array([hash(r[2]) for r in rows])
-        own = np.array([r[4] for r in rows])
-        one = rows[0][0][1] == rows[0][0][2]
-        for i in range(len(rows) - 1):
-            near = (sig[i + 1:] == sig[i]).sum(axis=1) >= least
-            near &= label[i + 1:] != label[i]
-            if not one:
-                near &= own[i + 1:] != own[i]
-            for j in np.flatnonzero(near) + i + 1:
-                a, b = rows[i][1], rows[j][1]
-                yield (a, b) if a < b else (b, a)
+        sig = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, LONG)
+        label = np.unique(np.array([r[1] for r in rows], dtype=object), return_inverse=True)[1]
+        own = np.array([r[3] for r in rows])
+        both = own.min() != own.max()
+        found = set()
+        for i in range(len(rows)):
+            after = 0 if best else i + 1
+            may = label[after:] != label[i]
+            if both:
+                may &= own[after:] != own[i]
+            may = np.flatnonzero(may) + after
+            if len(may):
+                agree = (sig[may] == sig[i]).sum(axis=1)
+                near = may[agree >= least]
+                if best and len(near):
+                    near = may[[int(agree.argmax())]]
+                for j in near:
+                    a, b = rows[i][0], rows[j][0]
+                    found.add((a, b) if a < b else (b, a))
+        return found
+
+    def out(got):
+        got = list(got)
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in got], pa.binary()) for k in (0, 1)], names=["u", "v"])
 
     def run(batches):
         unit, rows = None, []
         for batch in batches:
-            u, v = [], []
             cols = [batch.column(c).to_pylist() for c in ("bk", "i", "j", "node", "label", "sig", "own")]
-            for bk, i, j, node, label, sig, own in zip(*cols):
+            for bk, i, j, *row in zip(*cols):
                 if (bk, i, j) != unit:
-                    for a, b in (pairs(rows) if len(rows) > 1 else ()):
-                        u.append(a), v.append(b)
+                    if len(rows) > 1:
+                        yield out(pairs(rows))
                     unit, rows = (bk, i, j), []
-                rows.append(((bk, i, j), node, label, sig, own))
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+                rows.append(row)
         if len(rows) > 1:
-            got = list(pairs(rows))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in got], pa.binary()), pa.array([x[1] for x in got], pa.binary())], names=["u", "v"])
+            yield out(pairs(rows))
     return run
 
 
@@ -193,30 +206,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = rows.groupBy("bk").agg(F.min(hub).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = stage(rows.join(buckets, "bk").select("bk", F.col("cls").alias("node"), F.col("hub.cls").alias("hub"), "m"), "members")
 
-    # chance that a pair of the wanted similarity falls below the signature bound: under 1e-7
-    least = int(BANDS * ROWS * (percent / 100) - 5.2 * (BANDS * ROWS * percent / 100 * (1 - percent / 100)) ** 0.5)
-    sig = classes.select("cls", "sig")
-
-    def checked(pairs):
-        p = pairs.join(sig.select(F.col("cls").alias("v"), F.col("sig").alias("sv")), "v").join(sig.select(F.col("cls").alias("u"), F.col("sig").alias("su")), "u")
-        return p.select("u", "v", "su", "sv").mapInArrow(_similar_signatures(least), "u binary, v binary")
+    def bound(places, sigmas):
+        """Agreement below which a pair of the wanted similarity falls with a chance of under 1e-5."""
+        return int(places * percent / 100 - sigmas * (places * percent / 100 * (1 - percent / 100)) ** 0.5)
 
-    pairs = stage(checked(members.filter("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()), "pairs")
-    links = _verified(pairs, classes, src, shingle_words, percent, "hub")
+    sig = classes.select("cls", "sig")
+    short = classes.select("cls", F.substring("sig", 1, SHORT).alias("sig"))
+    pairs = members.filter("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
+    pairs = (pairs.join(short.select(F.col("cls").alias("v"), F.col("sig").alias("sv")), "v").join(short.select(F.col("cls").alias("u"), F.col("sig").alias("su")), "u")
+             .select("u", "v", "su", "sv").mapInArrow(_similar_signatures(bound(SHORT, 4.5)), "u binary, v binary"))
+    links = _verified(stage(pairs, "pairs"), classes, src, shingle_words, percent, "hub")
     label = components(links)
 
-    # members of one bucket that are in different components and were not paired with each other
-    open_rows = (members.filter("hub <> node and m > 2").join(label.withColumnRenamed("u", "node").withColumnRenamed("v", "label"), "node", "left")
-                 .withColumn("label", F.coalesce("label", "node")))
-    split = (open_rows.groupBy("bk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("left"))
-             .filter("lo <> hi").select("bk", F.ceil(F.col("left") / BLOCK).cast("int").alias("blocks")))
-    rest = open_rows.join(split, "bk").join(sig.withColumnRenamed("cls", "node"), "node")
-    rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("bk", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label", "sig", "own")
-    more = (rest.repartition(width(docs.sparkSession), "bk", "i", "j").sortWithinPartitions("bk", "i", "j")
-            .mapInArrow(_rest_pairs(least), "u binary, v binary").distinct())
-    more = stage(more, "rest")
-    if not more.isEmpty():
+    for best in (True, True, False):
+        # members of one bucket that are in different components; buckets of two were compared above
+        named = label.withColumnRenamed("u", "node").withColumnRenamed("v", "label")
+        open_rows = members.filter("m > 2").join(named, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        split = (open_rows.groupBy("bk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("left"))
+                 .filter("lo <> hi").select("bk", F.ceil(F.col("left") / BLOCK).cast("int").alias("blocks")))
+        rest = open_rows.join(split, "bk").join(sig.withColumnRenamed("cls", "node"), "node")
+        rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rest = rest.select("bk", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label", "sig", "own")
+        more = stage(rest.repartition(width(docs.sparkSession), "bk", "i", "j").sortWithinPartitions("bk", "i", "j")
+                     .mapInArrow(_rest_pairs(bound(LONG, 4.5), best), "u binary, v binary").distinct(), "rest")
+        if more.isEmpty():
+            break
         more_links = _verified(more, classes, src, shingle_words, percent, "rest")
         if not more_links.isEmpty():
             label = components(label.union(more_links.select("u", "v")))
