@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontam, mixing, neardup, sharding, toxicity
+from tierflow.llm import decontam, exactdup, mixing, neardup, ngram_lm, pii, sharding, tokencount, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,10 +40,37 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(_table(spark, sf_dir, "pages"))
+    records = warc.read_archives(manifest, payload=False)
+
+    def ident(column):
+        return F.regexp_extract(column, "^<urn:x-page:(-?[0-9]+)>$", 1).try_cast("long")
+    return records.select(ident("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", ident("refers_to").alias("refers_to"), "digest_ok")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.length_histogram(tokencount.token_counts(_table(spark, sf_dir, "documents").select("text")))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_duplicates(_table(spark, sf_dir, "documents"), keep="max")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.pii_spans(_table(spark, sf_dir, "documents")))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = ngram_lm.fit(docs.filter(~ngram_lm.held_out(F.col("doc_id"))))
+    return ngram_lm.lm_scores(docs, model).withColumn("held_out", ngram_lm.held_out(F.col("doc_id")))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.reshard(_table(spark, sf_dir, "documents"))
 
@@ -53,5 +80,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_neardup, op3_toxicity, op6_decontamination, op10_sharding, pipeline)}
-ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_neardup, op3_toxicity, op4_warc, op5_token_counts, op6_decontamination,
+                                                     op7_exact_dedup, op8_pii, op9_lm_scoring, op10_sharding, pipeline)}
+ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_warc": warc.ORACLE, "op7_exact_dedup": exactdup.ORACLE}
