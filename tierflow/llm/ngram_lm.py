@@ -32,7 +32,7 @@ from tierflow.llm.common import mix, scratch, text_slices, width, word_hashes
 
 ORDER, DISCOUNT, LEAST, DELTA = 3, 0.75, 2, 0.1
 END = np.uint64(0x9E3779B97F4A7C15)  # the hash that stands for a text's end
-SLICE = 8 << 20  # bytes of text whose n-grams are counted together
+SLICE = 4 << 20  # bytes of text whose n-grams are counted together
 
 
 # ------------------------------------------------------------------ files
@@ -278,19 +278,33 @@ def _count_ngrams(paths, sizes, order: int):
 
 
 def _shards(batches):
-    """Rows sorted by shard -> (shard, rows' blobs)."""
+    """Rows sorted by shard -> (shard, a list of its rows' blobs, to be emptied by the caller)."""
     shard, held = None, []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "a", "b", "n"))):
-            if row[0] != shard:
+        for i, own in enumerate(batch.column("shard").to_pylist()):
+            if own != shard:
                 if held:
                     yield shard, held
-                shard, held = row[0], []
-            held.append(row[1:])
+                shard, held = own, []
+            held.append([batch.column(c)[i].as_buffer() for c in ("a", "b", "n")])
     if held:
         yield shard, held
 
 
+def _joined(held: list, kinds: list) -> list[np.ndarray]:
+    """The blobs' columns, each as one array of 64-bit numbers."""
+    size = [sum(len(h[i]) for h in held) // np.dtype(t).itemsize for i, t in enumerate(kinds)]
+    out = [np.empty(n, np.uint64 if t is np.uint64 else np.int64) for n, t in zip(size, kinds)]
+    at = [0] * len(kinds)
+    while held:
+        row = held.pop()
+        for i, t in enumerate(kinds):
+            got = np.frombuffer(row[i], t)
+            out[i][at[i]:at[i] + len(got)] = got
+            at[i] += len(got)
+    return out
+
+
 def _summed(keys: np.ndarray, n: np.ndarray):
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -309,8 +323,8 @@ def _made(rows):
 def _write_words(root: str):
     def run(batches):
         for shard, held in _shards(batches):
-            keys, n = _summed(np.concatenate([np.frombuffer(h[0], np.uint64) for h in held]),
-                              np.concatenate([np.frombuffer(h[2], np.int32) for h in held]).astype(np.int64))
+            keys, _, n = _joined(held, [np.uint64, np.int64, np.int32])
+            keys, n = _summed(keys, n)
             path = f"{root}/words-{shard:05d}"
             yield _made([(shard, path, len(keys), int(n.sum()), save_arrays(path, {"hash": keys, "count": n}))])
     return run
@@ -337,12 +351,16 @@ def _write_trie(root: str, sizes: list[int], order: int, least: int, discount: f
 
     def run(batches):
         for shard, held in _shards(batches):
-            a = np.concatenate([np.frombuffer(h[0], np.int64) for h in held])
-            b = np.concatenate([np.frombuffer(h[1], np.int64 if base >= 2**31 else np.int32) for h in held]).astype(np.int64)
-            n = np.concatenate([np.frombuffer(h[2], np.int32) for h in held]).astype(np.int64)
+            a, b, n = _joined(held, [np.int64, np.int64 if base >= 2**31 else np.int32, np.int32])
             contexts, rank = np.unique(a, return_inverse=True)
-            keys, n = _summed(rank * base + b, n)
+            del a
+            rank *= base
+            rank += b
+            del b
+            keys, n = _summed(rank, n)
+            del rank
             ctx, word = keys // base, keys % base
+            del keys
             total = np.bincount(ctx, n, len(contexts)).astype(np.int64)
             local = int(sizes[shard]) + (shard == len(sizes) - 1)  # the start of texts is the last shard's last word
             arrays: dict[str, np.ndarray] = {}
