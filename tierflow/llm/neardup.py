@@ -59,9 +59,6 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _signed(k: int):
-    schema = pa.schema([("id", pa.null()), ("cls", pa.binary()), ("n_shingles", pa.int64()), ("sig", pa.binary()),
-                        ("bands", pa.list_(pa.int64()))])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
@@ -76,7 +73,7 @@ def _signed(k: int):
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), pa.array(cls, pa.binary()), pa.array(distinct), pa.array([r.tobytes() for r in low], pa.binary()), bands],
-                    names=schema.names)
+                    names=["id", "cls", "n_shingles", "sig", "bands"])
     return run
 
 
@@ -121,14 +118,16 @@ def _exact(k: int, percent: int):
 
 def _rest_pairs(least: int, best: bool):
     """Rows sorted by unit (bucket, block, block): pairs of different components
-    whose long signatures agree; with ``best`` only each member's best partner. A
-    unit has some thousand rows at most (BLOCK)."""
-    def pairs(rows):
+    whose long signatures agree, each in the first band that the two share; with
+    ``best`` only each member's best partner. A unit has some thousand rows at most (BLOCK)."""
+    def pairs(unit, rows):
         sig = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, LONG)
         label = np.unique(np.array([r[1] for r in rows], dtype=object), return_inverse=True)[1]
         own = np.array([r[3] for r in rows])
         both = own.min() != own.max()
         found = set()
+        bands = np.array([r[4] for r in rows], np.int64).reshape(-1, BANDS)
+        band = int(np.flatnonzero(bands[0] == unit[0])[0])
         for i in range(len(rows)):
             after = 0 if best else i + 1
             may = label[after:] != label[i]
@@ -140,6 +139,8 @@ def _rest_pairs(least: int, best: bool):
                 near = may[agree >= least]
                 if best and len(near):
                     near = may[[int(agree.argmax())]]
+                elif band:
+                    near = near[~(bands[near, :band] == bands[i, :band]).any(axis=1)]
                 for j in near:
                     a, b = rows[i][0], rows[j][0]
                     found.add((a, b) if a < b else (b, a))
@@ -152,15 +153,15 @@ def _rest_pairs(least: int, best: bool):
     def run(batches):
         unit, rows = None, []
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("bk", "i", "j", "node", "label", "sig", "own")]
+            cols = [batch.column(c).to_pylist() for c in ("bk", "i", "j", "node", "label", "sig", "own", "bands")]
             for bk, i, j, *row in zip(*cols):
                 if (bk, i, j) != unit:
                     if len(rows) > 1:
-                        yield out(pairs(rows))
+                        yield out(pairs(unit, rows))
                     unit, rows = (bk, i, j), []
                 rows.append(row)
         if len(rows) > 1:
-            yield out(pairs(rows))
+            yield out(pairs(unit, rows))
     return run
 
 
@@ -210,7 +211,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         """Agreement below which a pair of the wanted similarity falls with a chance of under 1e-5."""
         return int(places * percent / 100 - sigmas * (places * percent / 100 * (1 - percent / 100)) ** 0.5)
 
-    sig = classes.select("cls", "sig")
     short = classes.select("cls", F.substring("sig", 1, SHORT).alias("sig"))
     pairs = members.filter("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
     pairs = (pairs.join(short.select(F.col("cls").alias("v"), F.col("sig").alias("sv")), "v").join(short.select(F.col("cls").alias("u"), F.col("sig").alias("su")), "u")
@@ -224,9 +224,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         open_rows = members.filter("m > 2").join(named, "node", "left").withColumn("label", F.coalesce("label", "node"))
         split = (open_rows.groupBy("bk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("left"))
                  .filter("lo <> hi").select("bk", F.ceil(F.col("left") / BLOCK).cast("int").alias("blocks")))
-        rest = open_rows.join(split, "bk").join(sig.withColumnRenamed("cls", "node"), "node")
+        rest = open_rows.join(split, "bk").join(classes.select(F.col("cls").alias("node"), "sig", "bands"), "node")
         rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rest = rest.select("bk", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label", "sig", "own")
+        rest = rest.select("bk", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label", "sig", "own", "bands")
         more = stage(rest.repartition(width(docs.sparkSession), "bk", "i", "j").sortWithinPartitions("bk", "i", "j")
                      .mapInArrow(_rest_pairs(bound(LONG, 4.5), best), "u binary, v binary").distinct(), "rest")
         if more.isEmpty():

@@ -168,8 +168,8 @@ def toxicity_scores(docs: DataFrame, model: DataFrame, text_col: str = "text", o
     column of that name. Whole texts count; null and empty texts get the score
     of the bias alone. Rows are scored one by one, so repeated rows, ties, null
     ids and an empty table need no rule; all other columns pass through."""
-    row = model.first()  # one row of fixed size
-    held = docs.sparkSession.sparkContext.broadcast((row["weight"], row["bias"]))
+    row = model.first()  # one row of fixed size; none without labels
+    held = docs.sparkSession.sparkContext.broadcast((row["weight"], row["bias"]) if row else (np.zeros(BUCKETS).tobytes(), 0.0))
     docs = docs.drop(out_col)
     at = docs.columns.index(text_col)
 
