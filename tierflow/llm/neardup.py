@@ -10,7 +10,7 @@ check, exact check on whole shingle sets, and components by alternating stars.
 3. Pairs pass a check on the signatures, then an exact one on the full shingle
    sets. Links are joined into components.
 4. Members of one bucket that are still in different components are compared in
-   blocks of bounded size, on longer signatures (512 minima): two rounds with
+   blocks of bounded size, on longer signatures (1024 minima): two rounds with
    each member's best partner only, which join most of them, and a last one
    with every pair that is left. What passes both checks adds links: so no
    linked pair that shares a bucket is lost. Two texts of similarity 0.8 share a bucket
@@ -31,7 +31,7 @@ from tierflow.llm.common import lower_words, mix, shingle_hashes, shingle_set, s
 from tierflow.llm.components import components
 
 BANDS, ROWS, HUBS, BLOCK, SALTS = 32, 4, 8, 1024, 32
-SHORT, LONG = BANDS * ROWS, 512
+SHORT, LONG = BANDS * ROWS, 1024
 _RNG = np.random.Generator(np.random.PCG64(7))
 _A = _RNG.integers(1, 2**63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(1, 2**63, LONG, dtype=np.uint64)
@@ -208,7 +208,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stage(rows.join(buckets, "bk").select("bk", F.col("cls").alias("node"), F.col("hub.cls").alias("hub"), "m"), "members")
 
     def bound(places, sigmas):
-        """Agreement below which a pair of the wanted similarity falls with a chance of under 1e-5."""
+        """Agreement below which a pair of the wanted similarity falls with a chance of about 1e-5."""
         return int(places * percent / 100 - sigmas * (places * percent / 100 * (1 - percent / 100)) ** 0.5)
 
     short = classes.select("cls", F.substring("sig", 1, SHORT).alias("sig"))
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rest = rest.select("bk", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label", "sig", "own", "bands")
         more = stage(rest.repartition(width(docs.sparkSession), "bk", "i", "j").sortWithinPartitions("bk", "i", "j")
-                     .mapInArrow(_rest_pairs(bound(LONG, 4.5), best), "u binary, v binary").distinct(), "rest")
+                     .mapInArrow(_rest_pairs(bound(LONG, 4.2), best), "u binary, v binary").distinct(), "rest")
         if more.isEmpty():
             break
         more_links = _verified(more, classes, src, shingle_words, percent, "rest")
