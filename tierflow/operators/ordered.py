@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK_SIZE = 1 << 20
 
 _BLK = "__blk"
+NULL_BLOCK = -(1 << 62)
 _RN = "__rn"
 _CNT = "__cnt"
 
@@ -92,7 +93,6 @@ def ordered_scan(
     if isinstance(block, str) and block == "range":
         # data-adaptive blocks: range-partition by (key, order) — the sampled
         # bounds split a hot key over many partitions — and use the partition
-        # index, which is non-decreasing along (key, order), as the block
         # index, which is non-decreasing along (key, order), as the block. The
         # assignment depends on the sampled bounds, so it is materialised once:
         # rows and block summary must see the same blocks.
@@ -102,7 +102,8 @@ def ordered_scan(
     else:
         if block is None and not reuse:
             block = F.floor(F.col(order[0]) / F.lit(block_size))
-        d = df.withColumns(inputs if reuse else {_BLK: block, **inputs})
+        # rows whose ordering value is null come first, in a block of their own
+        d = df.withColumns(inputs if reuse else {_BLK: F.coalesce(block, F.lit(NULL_BLOCK)), **inputs})
 
     wl = Window.partitionBy(*key, _BLK).orderBy(*order)
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)

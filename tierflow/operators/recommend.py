@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.constants import FACT_REC_COLUMNS, GOALS, TOP_K
+from tierflow.constants import FACT_REC_COLUMNS, GOALS, NUTRIENT_COLUMNS, TOP_K
 from tierflow.functions.features import reason, score_for
 
 
@@ -40,7 +40,8 @@ def _best_first(score: Column, *ties: Column) -> Column:
 def best_serving(scored: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Keep the highest-scoring serving per (group, food_name).
 
-    Tie-break: serving description, then serving size. An aggregate
+    Tie-break: serving description, serving size, then the nutrients, so that
+    the winner's columns are determined. An aggregate
     (``min_by`` on a sort key) rather than a window, so duplicates of a hot
     food are combined map-side before the shuffle.
     """
@@ -48,7 +49,8 @@ def best_serving(scored: DataFrame, group: list[str] | None = None) -> DataFrame
     keys = group + ["food_name"]
     others = [c for c in scored.columns if c not in keys]
     sort_key = _best_first(F.col("recommendation_score"), F.col("serving_description"),
-                           F.col("serving_size_value"))
+                           F.col("serving_size_value"),
+                           *[F.col(c) for c in NUTRIENT_COLUMNS if c in scored.columns])
     best = scored.groupBy(*keys).agg(F.min_by(F.struct(*others), sort_key).alias("__b"))
     return best.select(*keys, *[F.col(f"__b.{c}").alias(c) for c in others])
 

@@ -201,10 +201,12 @@ def as_of_versions(facts: DataFrame, dim: DataFrame, ts_col: str = "ts",
     many tasks whatever its time profile; ``block_seconds`` switches to fixed
     time buckets instead (one shuffle less, bounded per user and bucket).
     """
-    f = facts.select("*", F.col(ts_col).alias("__t"), F.lit(1).alias("__side"),
+    # a fact without user or time has no version; it stays, with a null key
+    known = F.col("user_id").isNotNull() & F.col(ts_col).isNotNull()
+    f = facts.filter(known).select("*", F.col(ts_col).alias("__t"), F.lit(1).alias("__side"),
                      F.lit(None).cast("long").alias("__tie"),
                      F.lit(None).cast("struct<k:bigint,end:timestamp_ntz>").alias("__ver"))
-    vcols = dim.select("user_id", F.col("effective_start").alias("__t"), F.lit(0).alias("__side"),
+    vcols = dim.filter("user_id is not null").select("user_id", F.col("effective_start").alias("__t"), F.lit(0).alias("__side"),
                        F.col("user_profile_key").alias("__tie"),
                        F.struct(F.col("user_profile_key").alias("k"),
                                 F.col("effective_end").alias("end")).alias("__ver"))
@@ -216,7 +218,8 @@ def as_of_versions(facts: DataFrame, dim: DataFrame, ts_col: str = "ts",
     s = ordered_scan(both, ["user_id"], ["__t", "__side", "__tie"], block=blocks, carry={"__cur": "__ver"})
     valid = F.col("__cur").isNotNull() & (F.col("__cur.end").isNull() | (F.col("__cur.end") > F.col("__t")))
     return (s.filter(F.col("__side") == 1)
-            .select("user_id", *fact_cols, F.when(valid, F.col("__cur.k")).alias("user_profile_key")))
+            .select("user_id", *fact_cols, F.when(valid, F.col("__cur.k")).alias("user_profile_key"))
+            .unionByName(facts.filter(~known).select("user_id", *fact_cols, F.lit(None).cast("long").alias("user_profile_key"))))
 
 
 def backfill_history(current: DataFrame, readings: DataFrame, block_seconds: int | None = None) -> DataFrame:

@@ -49,6 +49,10 @@ def route_events(events: DataFrame) -> DataFrame:
     return events.withColumns({"event_type": t, "route": route, "reject_reason": why})
 
 
+#: Dates are written YYYY-MM-DD; a cast alone would also take a year or a timestamp.
+ISO_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+
+
 def field_errors(required: Column | bool, as_of) -> list[Column]:
     """One message-or-null per payload field, in field order.
 
@@ -67,7 +71,7 @@ def field_errors(required: Column | bool, as_of) -> list[Column]:
     return [
         rule("user_name", (F.length(name) < 1) | (F.length(name) > NAME_MAX_LEN)),
         rule("gender", ~F.col("gender").isin(VALID_GENDERS)),
-        rule("birth_date", birth.isNull() | (birth >= d) | (F.year(birth) < BIRTH_YEAR_MIN)),
+        rule("birth_date", ~F.col("birth_date").cast("string").rlike(ISO_DATE) | birth.isNull() | (birth >= d) | (F.year(birth) < BIRTH_YEAR_MIN)),
         rule("height_cm", (F.col("height_cm") <= 0) | (F.col("height_cm") > HEIGHT_MAX)),
         rule("current_weight_lb", (F.col("current_weight_lb") <= 0) | (F.col("current_weight_lb") > WEIGHT_MAX)),
         rule("target_weight_lb", (F.col("target_weight_lb") <= 0) | (F.col("target_weight_lb") > WEIGHT_MAX)),

@@ -45,7 +45,7 @@ def recommendation_report(fact: DataFrame, dim_user: DataFrame, dim_food: DataFr
            "sugar_g", "sodium_mg"]
     foods = dim_food.select("food_name", *REPORT_FOOD_COLS,
                             *([c for c in tie if c not in REPORT_FOOD_COLS] if best_serving_only else []))
-    foods = foods.join(r.select("food_name").distinct(), "food_name", "left_semi")
+    foods = foods.join(fact.select("food_name").distinct(), "food_name", "left_semi")
     if best_serving_only:
         w_key = F.struct(*[F.col(c) for c in tie])
         foods = (foods.groupBy("food_name")

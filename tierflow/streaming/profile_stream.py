@@ -92,8 +92,11 @@ class SnapshotStore:
     def manifest(self) -> dict:
         text = _read_text(self.spark, self.manifest_path)
         if not text:
-            return {"batch": -1, "tables": {t: {} for t in SCHEMAS}}
-        return json.loads(text)
+            return {"batch": -1, "buckets": self.buckets, "tables": {t: {} for t in SCHEMAS}}
+        found = json.loads(text)
+        if found.setdefault("buckets", self.buckets) != self.buckets:
+            raise ValueError(f"{self.root} was written with {found['buckets']} buckets, not {self.buckets}")
+        return found
 
     def paths(self, table: str, buckets: list[int] | None = None, manifest: dict | None = None) -> list[str]:
         m = manifest or self.manifest()
