@@ -20,7 +20,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public pattern that goes with the vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-LENGTH_BLOCK = 4096
+LENGTH_BLOCK = 128
 
 
 def encoder(vocabulary: str = VOCABULARY) -> Callable[[str], int]:
