@@ -10,9 +10,9 @@ check, exact check on whole shingle sets, and components by alternating stars.
 3. Pairs pass a check on the signatures, then an exact one on the full shingle
    sets. Links are joined into components.
 4. Members of one bucket that are still in different components are compared in
-   blocks of bounded size, on longer signatures (1024 minima): two rounds with
+   blocks of bounded size, on longer signatures: two rounds (256 minima) with
    each member's best partner only, which join most of them, and a last one
-   with every pair that is left. What passes both checks adds links: so no
+   (1024 minima) with every pair that is left. What passes both checks adds links: so no
    linked pair that shares a bucket is lost. Two texts of similarity 0.8 share a bucket
    with probability 1 - (1 - 0.8^4)^32 = 1 - 5e-8.
 """
@@ -31,7 +31,7 @@ from tierflow.llm.common import lower_words, mix, shingle_hashes, shingle_set, s
 from tierflow.llm.components import components
 
 BANDS, ROWS, HUBS, BLOCK, SALTS = 32, 4, 8, 1024, 32
-SHORT, LONG = BANDS * ROWS, 1024
+SHORT, MIDDLE, LONG = BANDS * ROWS, 256, 1024
 _RNG = np.random.Generator(np.random.PCG64(7))
 _A = _RNG.integers(1, 2**63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(1, 2**63, LONG, dtype=np.uint64)
@@ -119,15 +119,16 @@ def _exact(k: int, percent: int):
 def _rest_pairs(least: int, best: bool):
     """Rows sorted by unit (bucket, block, block): pairs of different components
     whose long signatures agree, each in the first band that the two share; with
-    ``best`` only each member's best partner. A unit has some thousand rows at most (BLOCK)."""
+    ``best`` only each member's best partner, by the first MIDDLE places and
+    whatever the band (``bands`` is null). A unit has some thousand rows at most (BLOCK)."""
     def pairs(unit, rows):
-        sig = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, LONG)
+        sig = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
         label = np.unique(np.array([r[1] for r in rows], dtype=object), return_inverse=True)[1]
         own = np.array([r[3] for r in rows])
         both = own.min() != own.max()
         found = set()
-        bands = np.array([r[4] for r in rows], np.int64).reshape(-1, BANDS)
-        band = int(np.flatnonzero(bands[0] == unit[0])[0])
+        bands = None if best else np.array([r[4] for r in rows], np.int64).reshape(-1, BANDS)
+        band = 0 if best else int(np.flatnonzero(bands[0] == unit[0])[0])
         for i in range(len(rows)):
             after = 0 if best else i + 1
             may = label[after:] != label[i]
@@ -224,11 +225,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         open_rows = members.filter("m > 2").join(named, "node", "left").withColumn("label", F.coalesce("label", "node"))
         split = (open_rows.groupBy("bk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("left"))
                  .filter("lo <> hi").select("bk", F.ceil(F.col("left") / BLOCK).cast("int").alias("blocks")))
-        rest = open_rows.join(split, "bk").join(classes.select(F.col("cls").alias("node"), "sig", "bands"), "node")
+        # the best rounds need no more than a part of the signature, and no bands: a quarter of the bytes in the shuffle
+        places = MIDDLE if best else LONG
+        held = [F.substring("sig", 1, places).alias("sig"), (F.lit(None).cast("array<long>") if best else F.col("bands")).alias("bands")]
+        rest = open_rows.join(split, "bk").join(classes.select(F.col("cls").alias("node"), *held), "node")
         rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rest = rest.select("bk", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label", "sig", "own", "bands")
         more = stage(rest.repartition(width(docs.sparkSession), "bk", "i", "j").sortWithinPartitions("bk", "i", "j")
-                     .mapInArrow(_rest_pairs(bound(LONG, 4.2), best), "u binary, v binary").distinct(), "rest")
+                     .mapInArrow(_rest_pairs(bound(places, 4.2), best), "u binary, v binary").distinct(), "rest")
         if more.isEmpty():
             break
         more_links = _verified(more, classes, src, shingle_words, percent, "rest")
