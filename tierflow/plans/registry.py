@@ -523,7 +523,7 @@ def q_rank_distribution(spark, sf_dir):
     """A8 over V1."""
     w = warehouse_state(spark, sf_dir)
     dim_user, dim_food, fact = w.dim_user, w.dim_food, w.fact
-    return reports.rank_distribution(reports.recommendation_report(fact, dim_user, dim_food))
+    return reports.rank_distribution(reports.report_counts(fact, dim_user, dim_food))
 
 
 @register("score_distribution", O.with_(*O.WAREHOUSE_CHAIN) + """
@@ -543,7 +543,7 @@ def q_flag_kpis(spark, sf_dir):
     """A8 over V1."""
     w = warehouse_state(spark, sf_dir)
     dim_user, dim_food, fact = w.dim_user, w.dim_food, w.fact
-    return reports.flag_kpis(reports.recommendation_report(fact, dim_user, dim_food))
+    return reports.flag_kpis(reports.report_counts(fact, dim_user, dim_food))
 
 
 SILVER_CHECKS = [

@@ -140,21 +140,33 @@ def weight_journey(history: DataFrame) -> DataFrame:
 def search_users(dim_user: DataFrame, terms: list[str]) -> DataFrame:
     """J10 in bulk: (term, user) pairs where the term occurs, case-insensitively,
     in the id or the name of a current user. ``terms`` is a query parameter
-    list (expanded per row by a generator, not joined)."""
-    t = F.explode(F.array(*[F.lit(x.lower()) for x in terms])).alias("term")
-    u = current_rows(dim_user).select("user_id", "user_name", t)
-    hit = F.lower("user_id").contains(F.col("term")) | F.lower(F.coalesce("user_name", F.lit(""))).contains(
-        F.col("term"))
-    return u.filter(hit).select("term", "user_id", "user_name")
+    list; each user is expanded to the terms that hit only."""
+    name, ident = F.lower(F.coalesce("user_name", F.lit(""))), F.lower(F.coalesce("user_id", F.lit("")))
+    hits = F.filter(F.array(*[F.lit(x.lower()) for x in terms]), lambda t: ident.contains(t) | name.contains(t))
+    return current_rows(dim_user).select(F.explode(hits).alias("term"), "user_id", "user_name")
 
 
 # ---------------------------------------------------------------- A8 roll-ups
 
-def rank_distribution(report: DataFrame) -> DataFrame:
-    """Rows and score total per rank (mean = sum_score / n_rows)."""
-    return report.groupBy("recommendation_rank").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum("recommendation_score").cast("decimal(20,2)").alias("sum_score"))
+FLAGS = ["is_high_protein_low_calorie", "is_high_fiber", "is_low_sugar"]
+
+
+def report_counts(fact: DataFrame, dim_user: DataFrame, dim_food: DataFrame) -> DataFrame:
+    """The report (V1) before its fan-out: one row per recommendation of a
+    current user, with ``report_rows`` (how many servings it is joined to, 1 if
+    none) and the sums of the flags over them. Foods are counted per name
+    first, so roll-ups never build the report's rows."""
+    users = current_rows(dim_user).select("user_id", "goal_type")
+    foods = dim_food.groupBy("food_name").agg(F.count(F.lit(1)).alias("__n"), *[F.sum(c).alias(c) for c in FLAGS])
+    joined = fact.drop("goal_type").join(users, "user_id").join(foods, "food_name", "left")
+    return joined.withColumn("report_rows", F.coalesce("__n", F.lit(1))).drop("__n")
+
+
+def rank_distribution(counts: DataFrame) -> DataFrame:
+    """Rows and score total of the report per rank (mean = sum_score / n_rows), from ``report_counts``."""
+    return counts.groupBy("recommendation_rank").agg(
+        F.sum("report_rows").alias("n_rows"),
+        F.sum(F.col("recommendation_score") * F.col("report_rows")).cast("decimal(20,2)").alias("sum_score"))
 
 
 def top_foods_by_goal(fact: DataFrame) -> DataFrame:
@@ -172,11 +184,11 @@ def score_distribution(fact: DataFrame, width: float = 10.0) -> DataFrame:
     return fact.groupBy("goal_type", b).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def flag_kpis(report: DataFrame) -> DataFrame:
-    """Recommended rows with each nutrition flag, per goal (exact counts;
-    shares are count / n_rows)."""
-    return report.groupBy("goal_type").agg(
-        F.count(F.lit(1)).alias("n_rows"),
+def flag_kpis(counts: DataFrame) -> DataFrame:
+    """Rows of the report with each nutrition flag, per goal (exact counts;
+    shares are count / n_rows), from ``report_counts``."""
+    return counts.groupBy("goal_type").agg(
+        F.sum("report_rows").alias("n_rows"),
         F.sum("is_high_protein_low_calorie").cast("long").alias("n_high_protein_low_calorie"),
         F.sum("is_high_fiber").cast("long").alias("n_high_fiber"),
         F.sum("is_low_sugar").cast("long").alias("n_low_sugar"))
