@@ -25,9 +25,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
-    freezes what it holds, and outlives lost executors."""
+    freezes what it holds, and outlives lost executors. Spark deletes the shuffle
+    files of finished steps once the driver's JVM has collected their plans; an idle
+    driver seldom does, so it is asked to."""
     path = scratch(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
