@@ -10,7 +10,7 @@ check, exact check on whole shingle sets, and components by alternating stars.
 3. Pairs pass a check on the signatures, then an exact one on the full shingle
    sets. Links are joined into components.
 4. Members of one bucket that are still in different components are compared in
-   blocks of bounded size, on longer signatures: two rounds (256 minima) with
+   blocks of bounded size, on longer signatures made for them alone: two rounds (256 minima) with
    each member's best partner only, which join most of them, and a last one
    (1024 minima) with every pair that is left. What passes both checks adds links: so no
    linked pair that shares a bucket is lost. Two texts of similarity 0.8 share a bucket
@@ -37,21 +37,21 @@ _A = _RNG.integers(1, 2**63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1
 _B = _RNG.integers(1, 2**63, LONG, dtype=np.uint64)
 
 
-def minima(shingles: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(texts, LONG) minima of the multiply-shift hashes; texts without shingles get the largest value."""
+def minima(shingles: np.ndarray, offsets: np.ndarray, places: int) -> np.ndarray:
+    """(texts, ``places``) minima of the first multiply-shift hashes; texts without shingles get the largest value."""
     n = np.diff(offsets)
-    out = np.full((len(n), LONG), 0xFFFFFFFF, np.uint32)
+    out = np.full((len(n), places), 0xFFFFFFFF, np.uint32)
     some = np.flatnonzero(n > 0)
     if len(some):
         starts = offsets[some]
-        for k in range(LONG):
+        for k in range(places):
             out[some, k] = np.minimum.reduceat(((shingles * _A[k] + _B[k]) >> np.uint64(32)).astype(np.uint32), starts)
     return out
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
     """(texts, 32) 64-bit bucket keys; the band is part of the key."""
-    parts = sig[:, :SHORT].reshape(len(sig), BANDS, ROWS).astype(np.uint64)
+    parts = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _A[0], parts.shape[:2]).copy()
     for r in range(ROWS):
         key = mix(key ^ (parts[:, :, r] * _A[r + 1] + _B[r]))
@@ -66,7 +66,7 @@ def _signed(k: int):
                 words, offsets = word_hashes(texts)
                 shingles, at = shingle_hashes(words, offsets, k)
                 distinct = np.array([len(np.unique(shingles[a:b])) for a, b in zip(at[:-1], at[1:])], np.int64)
-                sig = minima(shingles, at)
+                sig = minima(shingles, at, SHORT)
                 low = np.ascontiguousarray(sig.astype(np.uint8))
                 cls = [hashlib.blake2b(b" ".join(t.as_py().encode().lower().split()), digest_size=16).digest() for t in texts]
                 keys = band_keys(sig)
@@ -77,6 +77,17 @@ def _signed(k: int):
     return run
 
 
+def _long_signed(k: int):
+    """(cls, text) -> (cls, long signature)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cls = batch.column("cls")
+            for lo, hi, texts in text_slices(batch):
+                sig = minima(*shingle_hashes(*word_hashes(texts), k), LONG).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([cls.slice(lo, hi - lo), pa.array([r.tobytes() for r in sig], pa.binary())], names=["cls", "sig"])
+    return run
+
+
 def _similar_signatures(least: int):
     """Keep pairs whose short signatures agree in at least ``least`` places."""
     def run(batches):
@@ -166,15 +177,21 @@ def _rest_pairs(least: int, best: bool):
     return run
 
 
+def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cls, text) of the classes in ``wanted``, from each one's representative;
+    a class comes more than once where rows repeat its id."""
+    reps = wanted.join(classes.select("cls", "rep"), "cls").select(F.col("rep").alias("_rep")).distinct()
+    rows = docs.join(reps, docs["id"].eqNullSafe(reps["_rep"]), "left_semi").select("id", "text")
+    return rows.mapInArrow(_class_texts, "cls binary, text string")
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
     """Links among ``pairs`` (u, v of classes), confirmed on the full texts.
     Only texts in a pair are shuffled; a hub's text goes to each of its salts
     once, so a hub with very many partners is dealt over many tasks."""
     spark = docs.sparkSession
     ends = pairs.select(F.col("u").alias("cls")).union(pairs.select(F.col("v").alias("cls"))).distinct()
-    wanted = ends.join(classes.select("cls", "rep"), "cls").select(F.col("rep").alias("_rep")).distinct()
-    texts = docs.join(wanted, docs["id"].eqNullSafe(wanted["_rep"]), "left_semi").select("id", "text")
-    texts = stage(texts.mapInArrow(_class_texts, "cls binary, text string"), f"{name}-texts")
+    texts = stage(_texts(ends, classes, docs), f"{name}-texts")
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
     hubs = (salted.select("u", "salt").distinct().join(texts.withColumnRenamed("cls", "u"), "u")
             .select("u", "salt", F.lit(None).cast("binary").alias("v"), "text"))
@@ -219,16 +236,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _verified(stage(pairs, "pairs"), classes, src, shingle_words, percent, "hub")
     label = components(links)
 
+    long = None
     for best in (True, True, False):
         # members of one bucket that are in different components; buckets of two were compared above
         named = label.withColumnRenamed("u", "node").withColumnRenamed("v", "label")
         open_rows = members.filter("m > 2").join(named, "node", "left").withColumn("label", F.coalesce("label", "node"))
         split = (open_rows.groupBy("bk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("left"))
                  .filter("lo <> hi").select("bk", F.ceil(F.col("left") / BLOCK).cast("int").alias("blocks")))
+        if long is None:  # only these classes, and in later rounds a part of them, need long signatures
+            wanted = stage(open_rows.join(split, "bk").select(F.col("node").alias("cls")).distinct(), "open")
+            long = (_texts(wanted, classes, src).join(wanted, "cls", "left_semi").mapInArrow(_long_signed(shingle_words), "cls binary, sig binary")
+                    .groupBy("cls").agg(F.min("sig").alias("sig")))
+            long = stage(long.withColumnRenamed("cls", "node"), "long")
         # the best rounds need no more than a part of the signature, and no bands: a quarter of the bytes in the shuffle
         places = MIDDLE if best else LONG
-        held = [F.substring("sig", 1, places).alias("sig"), (F.lit(None).cast("array<long>") if best else F.col("bands")).alias("bands")]
-        rest = open_rows.join(split, "bk").join(classes.select(F.col("cls").alias("node"), *held), "node")
+        held = long.select("node", F.substring("sig", 1, places).alias("sig"))
+        if best:
+            held = held.withColumn("bands", F.lit(None).cast("array<long>"))
+        else:
+            held = held.join(classes.select(F.col("cls").alias("node"), "bands"), "node")
+        rest = open_rows.join(split, "bk").join(held, "node")
         rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rest = rest.select("bk", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label", "sig", "own", "bands")
         more = stage(rest.repartition(width(docs.sparkSession), "bk", "i", "j").sortWithinPartitions("bk", "i", "j")
