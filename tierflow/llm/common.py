@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tierflow.session import shared_dir
 
 #: Bytes of text that one vectorised step works on.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 512 << 10
 
 
 def scratch(spark: SparkSession, name: str) -> str:
