@@ -88,9 +88,3 @@ def validate_events(events: DataFrame, as_of) -> DataFrame:
     errors = (F.when(F.col("route") == "rejected", F.col("reject_reason"))
               .when(is_payload, errs).otherwise(F.lit("")))
     return routed.withColumn("errors", errors).withColumn("is_valid", F.col("errors") == "")
-
-
-def split_valid(events: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) — the reject frame is the dead-letter output."""
-    v = validate_events(events, as_of)
-    return v.filter("is_valid"), v.filter(~F.col("is_valid"))

@@ -80,8 +80,3 @@ def read_event_files(spark: SparkSession, path: str, schema: T.StructType, glob:
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(path)
-
-
-def append_log(events: DataFrame, path: str) -> None:
-    """Append-only event log (one row per request)."""
-    events.write.mode("append").parquet(path)
