@@ -28,12 +28,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group (the smallest doc_id), shingles of five words."""
-    kept = common.stage(neardup.near_duplicates(docs, shingle_words=5).filter("kept").select(F.col("doc_id").alias("_kept_id")), "kept")
-    left = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
-    if kept.groupBy("_kept_id").count().filter("count > 1").isEmpty():
-        return left
-    return left.dropDuplicates(["doc_id"])  # rows that repeat an id: one stays
+    """One row of each group (the smallest doc_id; a null id only where the group
+    has no other), shingles of five words. Rows have a key of their own, so rows
+    that repeat an id, or have none, are judged by their texts; texts without
+    words are linked with nothing and all stay."""
+    rows = common.stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # written, so that a row keeps its key
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    found = neardup.near_duplicates(rows.select(key.alias("_key"), "text"), id_col="_key", shingle_words=5)
+    kept = common.stage(found.filter("kept").select(F.col("_key.row").alias("_row")), "kept")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

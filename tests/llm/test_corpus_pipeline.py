@@ -1,5 +1,7 @@
 """The pipeline's stages on sf0.001, each against what it must keep."""
 
+import random
+
 import corpus_pipeline
 from tierflow.llm import decontam, neardup, registry
 
@@ -31,5 +33,17 @@ def test_repeated_and_null_ids(spark):
         assert function(spark, docs.limit(0), SF).count() == 0
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(9999)}" for _ in range(40)) for _ in range(6)]
+    rows = [(None, t) for t in texts[:3]] + [(None, texts[0].upper()), (7, texts[3]), (7, texts[4]), (7, None), (None, ""), (None, " ")]
+    rows += [(2, texts[5]), (7, texts[5] + " more"), (9, texts[4]), (None, texts[5])]  # near copies
+    docs = spark.createDataFrame([(*r, "en", f"s{i}") for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(4), SF)
+    assert kept.columns == docs.columns
+    places = sorted(int(r.source[1:]) for r in kept.collect())
+    assert places in ([0, 1, 2, 4, 5, 6, 7, 8, 9], [1, 2, 3, 4, 5, 6, 7, 8, 9])  # either of the two null rows of one text
+
+
 def test_registered():
     assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in registry.QUERIES}
