@@ -137,6 +137,29 @@ def test_containment(spark, docs, no_docs, doc_rows):
     assert decontam.contaminated(no_docs, bench).count() == 0 and decontam.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_containment_of_repeated_small_and_short_items(spark):
+    rng = np.random.default_rng(12)
+
+    def line(n):
+        return " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    rows, items = [], []
+    for i in range(60):
+        unit, rest, three = line(20), line(300), line(3)
+        items += [(4 * i, " ".join([unit] * 60)), (4 * i + 1, " ".join([unit[:6]] * 90)), (4 * i + 2, three), (4 * i + 3, line(9 + i % 4))]
+        rows += [(2 * i, f"{rest} {unit} {unit} {three} {line(50)}"), (2 * i + 1, f"{rest} {unit[:6]} {unit[:6]} {unit[:6]} {unit[:6]} {unit[:6]} {items[-1][1]} {line(3)}")]
+    rows += [(900, line(2)), (901, items[2][1].upper()), (902, items[2][1] + " more"), (903, items[2][1].rsplit(" ", 1)[0])]
+    want = set()
+    for r, text in rows:
+        for i, t in items:
+            s = shingles(t, min(5, len(words(t))))
+            both = len(s & shingles(text, min(5, len(words(t)))))
+            if both and 100 * both >= 80 * len(s):
+                want.add((r, i, len(s), both))
+    got = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(tuple(r)[:4] for r in got) == sorted(want)
+    assert len({i for _, i, _, _ in want}) == len(items)
+
+
 def test_benchmark_in_blocks(spark, docs, monkeypatch):
     bench = docs.select(F.col("doc_id").alias("item_id"), "text").filter("length(text) < 2000")
     one = collections.Counter(decontam.contaminated(docs, bench).collect())
