@@ -182,6 +182,39 @@ def test_raking_meets_the_targets(docs, no_docs):
     assert mixing.mix(no_docs, dims).count() == 0
 
 
+@pytest.mark.parametrize("limit", [20_000, 10])
+def test_every_value_has_its_own_marginal(spark, monkeypatch, limit):
+    """The fitted weights of 90 sources on the driver, and as staged tables."""
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", limit)
+    rounds = 12 if limit > 10 else 2
+    monkeypatch.setattr(mixing._rake_cells, "__defaults__", (rounds,))
+    rows = [(i, " ".join(["w"] * (3 + i % 90)), f"s{i % 90}", ["en", "de", None][i % 7 % 3]) for i in range(600)] + [(999, "", "none", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    dims = {"source": F.col("source"), "lang": F.col("lang")}
+    cells = collections.Counter()
+    for _, t, s, la in rows:
+        cells[s, la or "(none)"] += len(t.split())
+    every = sum(cells.values())
+    share = [{v: sum(n for c, n in cells.items() if c[d] == v) / every for v in {c[d] for c in cells}} for d in (0, 1)]
+    flat = [{v: n**0.9 / sum(x**0.9 for x in s.values() if x) for v, n in s.items()} for s in share]
+    free = 1 - share[0]["s1"] - share[0]["s2"]
+    given = [{**share[0], "s1": (1 - free) * 0.75, "s2": (1 - free) * 0.25}, {"en": 0.5, "de": 0.2, "(none)": 0.3}]
+    asked = {"source": {"s1": 0.6, "s2": 0.2}, "lang": {"en": 0.5, "de": 0.2, mixing.OTHER: 0.3}}
+    for targets, want in ((None, flat), (asked, given)):
+        got = {(r.dim_source, r.dim_lang): r.probability for r in mixing.mix(docs, dims, targets).collect()}
+        assert set(got) == set(cells)  # no value is folded
+        fitted = dict(cells)
+        for _ in range(rounds):
+            for d in (0, 1):
+                total = collections.Counter()
+                for c, n in fitted.items():
+                    total[c[d]] += n
+                fitted = {c: n * want[d][c[d]] * every / total[c[d]] if total[c[d]] else 0.0 for c, n in fitted.items()}
+        factor = {c: fitted[c] / n if n else 1.0 for c, n in cells.items()}
+        top = max(f for c, f in factor.items() if cells[c])
+        assert got == pytest.approx({c: min(1.0, f / top) for c, f in factor.items()}, abs=2e-9) and min(got.values()) > 0
+
+
 def test_flow_moves_the_fewest_bytes():
     rng = np.random.default_rng(2)
     supply = [int(x) for x in rng.integers(0, 1000, 6)]

@@ -2,9 +2,9 @@
 weights to source, language and topic marginals, then sampling of documents by
 the calibrated probabilities.
 
-Only the table of cells goes to the driver. A dimension has at most
-``KEEP + 1`` values (what a target does not name is folded into ``OTHER``), which
-bounds the cells whatever the corpus.
+Every value of a dimension has a target of its own. A table of at most
+``DRIVER_CELLS`` cells is raked on the driver; a larger one stays a staged DataFrame
+and every step is an aggregate and joins on it, with the same result.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.llm.common import stage
+
 OTHER, NONE = "(other)", "(none)"
-KEEP = 64
+DRIVER_CELLS = 20_000
 ROUNDS = 12
 EXPONENT = 0.9
 SEED = "mix-1"
@@ -48,6 +50,23 @@ def tempered(cells: list[dict], dims: list[str], exponent: float = EXPONENT) ->
     return out
 
 
+def completed(cells: list[dict], targets: dict[str, dict[str, float]], dims: list[str]) -> dict[str, dict[str, float]]:
+    """Targets that name every value (see :func:`mix`)."""
+    out = {}
+    for d in dims:
+        named, total = targets.get(d, {}), {}
+        for c in cells:
+            total[c[d]] = total.get(c[d], 0.0) + c["tokens"]
+        rest = {v: n for v, n in total.items() if v not in named or v == OTHER}
+        every, left, given = sum(total.values()), sum(rest.values()), sum(t for v, t in named.items() if v != OTHER)
+        if OTHER in named:
+            ours, theirs = 1.0, named[OTHER] / left if left else 0.0
+        else:
+            ours, theirs = (1 - left / every) / given if every and given else 0.0, 1 / every if every else 0.0
+        out[d] = {v: t * ours for v, t in named.items() if v != OTHER} | {v: n * theirs for v, n in rest.items()}
+    return out
+
+
 def rake(cells: list[dict], targets: dict[str, dict[str, float]], rounds: int = ROUNDS) -> np.ndarray:
     """Weights of the cells: tokens scaled to one target after the other.
     Values without tokens cannot be weighted up and are skipped."""
@@ -61,6 +80,49 @@ def rake(cells: list[dict], targets: dict[str, dict[str, float]], rounds: int =
     return weight
 
 
+def _rake_cells(cells: DataFrame, names: list[str], targets: dict[str, dict[str, float]] | None, exponent: float, rounds: int = ROUNDS) -> DataFrame:
+    """``cells`` (staged: dim_<name>, tokens) with their ``factor``, as from :func:`rake`.
+    A weight is the cell's tokens times one scale for each dimension's value, so
+    a step reads the cells and the other dimensions' scales and writes one scale table."""
+    spark = cells.sparkSession
+    shares = {}
+    every = cells.agg(F.sum("tokens")).first()[0] or 0
+    for d in names:
+        total = cells.groupBy(f"dim_{d}").agg(F.sum("tokens").cast("double").alias("n"))
+        if targets is None:
+            flat = F.when(F.col("n") > 0, F.pow("n", F.lit(exponent))).otherwise(0.0)
+            total = stage(total.select(f"dim_{d}", flat.alias("share")), "shares")
+            whole = total.agg(F.sum("share")).first()[0] or 1.0
+            shares[d] = total.withColumn("share", F.col("share") / F.lit(whole or 1.0))
+            continue
+        named = targets.get(d, {})
+        given = spark.createDataFrame([(v, float(t)) for v, t in named.items() if v != OTHER], f"dim_{d} string, target double")
+        total = total.join(given, f"dim_{d}", "left")
+        left = total.filter("target is null").agg(F.sum("n")).first()[0] or 0.0
+        whole = sum(t for v, t in named.items() if v != OTHER)
+        if OTHER in named:
+            ours, theirs = 1.0, named[OTHER] / left if left else 0.0
+        else:
+            ours, theirs = (1 - left / every) / whole if every and whole else 0.0, 1 / every if every else 0.0
+        shares[d] = total.select(f"dim_{d}", F.coalesce(F.col("target") * F.lit(float(ours)), F.col("n") * F.lit(float(theirs))).alias("share"))
+    shares = {d: stage(s, "shares") for d, s in shares.items()}
+    scales = {d: s.select(f"dim_{d}", F.lit(1.0).alias(f"scale_{d}")) for d, s in shares.items()}
+
+    def weighed(others: list[str]) -> DataFrame:
+        out = cells.withColumn("weight", F.col("tokens").cast("double"))
+        for e in others:
+            out = out.join(scales[e], f"dim_{e}").withColumn("weight", F.col("weight") * F.col(f"scale_{e}")).drop(f"scale_{e}")
+        return out
+    weight = float(every)
+    for _ in range(rounds):
+        for d in names:
+            total = weighed([e for e in names if e != d]).groupBy(f"dim_{d}").agg(F.sum("weight").alias("total"))
+            step = stage(shares[d].join(total, f"dim_{d}").select(f"dim_{d}", F.when(F.col("total") > 0, F.col("share")).otherwise(0.0).alias("met"), "total"), "scale")
+            scales[d] = step.select(f"dim_{d}", F.when(F.col("total") > 0, F.col("met") * F.lit(weight) / F.col("total")).otherwise(0.0).alias(f"scale_{d}"))
+            weight *= step.agg(F.sum("met")).first()[0] or 0.0
+    return weighed(names).withColumn("factor", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(1.0))
+
+
 def mix(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id",
         text_col: str = "text", exponent: float = EXPONENT, seed: str = SEED) -> DataFrame:
     """``docs`` with ``n_tokens``, one column ``dim_<name>`` for each of ``dims``,
@@ -73,6 +135,11 @@ def mix(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, f
     marginals are the targets. A document is selected when the first 52 bits of
     md5(id:seed) as a fraction are below its probability.
 
+    Values that ``targets`` does not name keep their present share of the tokens,
+    and the named ones share what is left in the ratio of their targets; if
+    ``(other)`` is named, its target is theirs, dealt by their present tokens.
+    Only a target of 0 leaves a value out.
+
     A null dimension value counts as ``(none)``, null text as empty; texts
     without words weigh nothing and have the factor 1. Rows that repeat an id
     share its draw; null ids draw as the empty id. An empty table stays empty.
@@ -81,24 +148,24 @@ def mix(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, f
     kept = [c for c in docs.columns if c not in {"n_tokens", "probability", "selected", *(f"dim_{d}" for d in names)}]
     src = docs.select(*kept, word_count(F.col(text_col)).alias("n_tokens"),
                       *[F.coalesce(e.cast("string"), F.lit(NONE)).alias(f"dim_{d}") for d, e in dims.items()])
-    for d in names:  # values beyond the KEEP largest, or not named in the target, are one
-        if targets is None:
-            top = src.groupBy(f"dim_{d}").agg(F.sum("n_tokens").alias("n")).orderBy(F.desc("n"), f"dim_{d}").limit(KEEP + 1)
-            named = [r[0] for r in top.collect()]
-            named = named if len(named) <= KEEP else named[:KEEP]
-        else:
-            named = list(targets[d])
-        src = src.withColumn(f"dim_{d}", F.when(F.col(f"dim_{d}").isin(named), F.col(f"dim_{d}")).otherwise(F.lit(OTHER)))
-    table = src.groupBy(*[f"dim_{d}" for d in names]).agg(F.sum("n_tokens").alias("tokens"))
-    cells = [{**{d: r[f"dim_{d}"] for d in names}, "tokens": r["tokens"]} for r in table.collect()]
-    cells.sort(key=lambda c: [c[d] for d in names])
-    weight = rake(cells, targets or tempered(cells, names, exponent))
-    tokens = np.array([c["tokens"] for c in cells], float)
-    factor = np.divide(weight, tokens, out=np.ones(len(cells)), where=tokens > 0)
-    top = factor[tokens > 0].max() if (tokens > 0).any() else 1.0
-    rows = [(*(c[d] for d in names), min(1.0, round(float(f / top), 9))) for c, f in zip(cells, factor)] if top else []
-    held = spark.createDataFrame(rows, ", ".join([*(f"dim_{d} string" for d in names), "probability double"]))
-    got = src.join(F.broadcast(held), [f"dim_{d}" for d in names], "left")  # as many rows as cells
+    keys = [f"dim_{d}" for d in names]
+    table = stage(src.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    rows = table.limit(DRIVER_CELLS + 1).collect()
+    if len(rows) <= DRIVER_CELLS:
+        cells = [{**{d: r[f"dim_{d}"] for d in names}, "tokens": r["tokens"]} for r in rows]
+        cells.sort(key=lambda c: [c[d] for d in names])
+        weight = rake(cells, tempered(cells, names, exponent) if targets is None else completed(cells, targets, names))
+        tokens = np.array([c["tokens"] for c in cells], float)
+        factor = np.divide(weight, tokens, out=np.ones(len(cells)), where=tokens > 0)
+        top = factor[tokens > 0].max() if (tokens > 0).any() else 1.0
+        found = [(*(c[d] for d in names), min(1.0, round(float(f / top), 9))) for c, f in zip(cells, factor)] if top else []
+        held = F.broadcast(spark.createDataFrame(found, ", ".join([*(f"{k} string" for k in keys), "probability double"])))  # as many rows as cells
+    else:
+        factors = stage(_rake_cells(table, names, targets, exponent), "factors")
+        top = factors.filter("tokens > 0").agg(F.max("factor")).first()[0]
+        top = 1.0 if top is None else top
+        held = factors.select(*keys, F.least(F.lit(1.0), F.round(F.col("factor") / F.lit(top), 9)).alias("probability")) if top else factors.select(*keys, F.lit(0.0).alias("probability"))
+    got = src.join(held, keys, "left")
     draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary")), 1, 13), 16, 10)
     got = got.withColumn("probability", F.coalesce("probability", F.lit(0.0)))
     return got.withColumn("selected", draw.cast("double") / float(2**52) < F.col("probability"))
