@@ -421,3 +421,51 @@ def test_scores_equal_a_plain_model(docs, no_docs, doc_rows, order):
     assert ngram_lm.lm_scores(no_docs, model).count() == 0
     empty = ngram_lm.lm_scores(docs, ngram_lm.fit(no_docs, order=order)).collect()
     assert len(empty) == len(doc_rows) and all(r.n_known == 0 for r in empty)
+
+
+def plain_scores(texts, order=3):
+    """Score of each text under a model of all n-grams of all texts."""
+    uni, bi, tri = collections.Counter(), collections.Counter(), collections.Counter()
+    tokens = [["^", *words(t), "$"] for t in texts]
+    for t in tokens:
+        uni.update(t[1:]), bi.update(zip(t, t[1:])), tri.update(zip(t, t[1:], t[2:]))
+    n, v, seen, after, after2 = sum(uni.values()), len(uni), collections.Counter(), collections.Counter(), collections.Counter()
+    for (a, _), c in bi.items():
+        seen[a] += c
+        after[a] += 1
+    for a, b, _ in tri:
+        after2[a, b] += 1
+    out = []
+    for t in tokens:
+        score = 0.0
+        for i in range(1, len(t)):
+            p = (uni[t[i]] + 0.1) / (n + 0.1 * (v + 1))
+            p = ((bi[t[i - 1], t[i]] - 0.75) + after[t[i - 1]] * 0.75 * p) / seen[t[i - 1]]
+            if order == 3 and i > 1:
+                c = bi[t[i - 2], t[i - 1]]
+                p = ((tri[t[i - 2], t[i - 1], t[i]] - 0.75) + after2[t[i - 2], t[i - 1]] * 0.75 * p) / c
+            score += math.log10(p)
+        out.append((len(t) - 1, score))
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_a_hot_word_spreads_over_the_files(spark, monkeypatch, order):
+    monkeypatch.setattr(ngram_lm, "RUN", 200)
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"the w{x}" if x % 2 else f"w{x}" for x in rng.integers(0, 300, 40)) for _ in range(60)] + ["", "the the the"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = plain_scores(texts, order)
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for shards in ("8", "3"):
+        spark.conf.set("spark.sql.shuffle.partitions", shards)
+        try:
+            model = ngram_lm.fit(docs, order=order, least=1)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        got = {r.doc_id: r.score for r in ngram_lm.lm_scores(docs, model).collect()}
+        assert all(abs(got[i] - score) <= 1e-3 * n for i, (n, score) in enumerate(want))  # n-grams seen once count
+        sizes = [len(ngram_lm.open_arrays(p)[f"{order}.code"]) for p in model.tries if p]
+        assert max(sizes) < 2.5 * sum(sizes) / int(shards)
+        seen.append(got)
+    assert seen[0] == pytest.approx(seen[1], abs=1e-6)  # whatever the number of shards

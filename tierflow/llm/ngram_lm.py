@@ -3,19 +3,21 @@
 Counts come from all training texts (Spark shuffles, summed per shard). Shard
 ``s`` of the trie holds the n-grams whose first word lies in range ``s`` of the
 vocabulary, and is one file of compact levels in the shared folder that tasks
-map into memory:
+map into memory. The n-grams of a hot first word (and of the start of texts) lie in the
+shard of their second word instead, so that they spread over all files:
 
 * level 1: the words' hashes, sorted (a word's rank is its number), and counts;
 * level k: the successors of each context of k-1 words. Their numbers, made
   monotone by adding the last value of the range before, are Elias-Fano coded; so
   are the pointers from a context to its range. A successor is found by a
-  search relative to its context's range. Probabilities are 8-bit codes of an
-  equal-frequency codebook.
+  search relative to its context's range. Probabilities are 16-bit codes of one
+  fixed codebook (even steps of the logarithm), the same for all levels and shards.
 
 Smoothing is absolute discounting with interpolation: P(w|h) = max(c(hw) - D, 0) / c(h)
 + g(h) P(w|h'), down to the additive unigram. Stored is the first term; g(h) is
 what the stored terms of a context leave of 1, so that the quantised model still sums to 1.
-N-grams of two or more words seen fewer than ``LEAST`` times are not stored (their mass goes to g).
+N-grams of two or more words seen fewer than ``least`` times are not stored (their mass goes to g);
+the registered query stores all (``least`` 1).
 """
 
 from __future__ import annotations
@@ -33,6 +35,10 @@ from tierflow.llm.common import mix, scratch, text_slices, width, word_hashes
 ORDER, DISCOUNT, LEAST, DELTA = 3, 0.75, 2, 0.1
 END = np.uint64(0x9E3779B97F4A7C15)  # the hash that stands for a text's end
 SLICE = 4 << 20  # bytes of text whose n-grams are counted together
+RUN = 16 << 20  # bytes of counts that a shard's task holds before it sums them
+HOT = 4  # a word is hot from the HOT-th part of a shard's mean tokens
+HOT_OF = 1024  # most hot words of one shard's range
+STEP = 20 / 65535  # of the codes of log10
 
 
 # ------------------------------------------------------------------ files
@@ -250,7 +256,19 @@ def _count_words(shards: int):
     return run
 
 
-def _count_ngrams(paths, sizes, order: int):
+def _place(hot: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Place of each word among the hot ones (sorted), or -1."""
+    at = np.minimum(np.searchsorted(hot, heads), len(hot) - 1)
+    return np.where(hot[at] == heads, at, -1)
+
+
+def _shard(offsets: np.ndarray, hot: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Shard of n-grams by their first word, or by their second where the first is hot."""
+    by = np.where(_place(hot, first) >= 0, np.maximum(second, 0), first)
+    return np.minimum(np.searchsorted(offsets, by, "right") - 1, len(offsets) - 2).astype(np.int64)
+
+
+def _count_ngrams(paths, sizes, order: int, hot: np.ndarray):
     def run(batches):
         vocabulary = Vocabulary(paths, sizes)
         start, pad, base = vocabulary.size, vocabulary.size + 1, vocabulary.size + 2
@@ -263,7 +281,7 @@ def _count_ngrams(paths, sizes, order: int):
                 if order == 2:
                     pairs, n = np.unique(first * base + ids, return_counts=True)
                     a, b = pairs // base, (pairs % base).astype(np.int32)
-                    head = a
+                    head, second = a, b
                 else:  # (first, ids) are the contexts, what follows is the word; after the end comes a pad
                     after = np.full(len(ids), pad, np.int64)
                     after[:-1] = ids[1:]
@@ -271,122 +289,121 @@ def _count_ngrams(paths, sizes, order: int):
                     contexts, rank = np.unique(first * base + ids, return_inverse=True)
                     keys, n = np.unique(rank * base + after, return_counts=True)
                     a, b = contexts[keys // base], (keys % base).astype(np.int32 if base < 2**31 else np.int64)
-                    head = a // base
-                shard = np.minimum(np.searchsorted(vocabulary.offsets, head, "right") - 1, len(paths) - 1)
-                yield _blobs(shard.astype(np.int64), a, b.astype(np.int64) if base >= 2**31 else b.astype(np.int32), n.astype(np.int32))
+                    head, second = a // base, a % base
+                shard = _shard(vocabulary.offsets, hot, head, second)
+                order_ = np.argsort(shard, kind="stable")
+                yield _blobs(shard[order_], a[order_], b[order_].astype(np.int64 if base >= 2**31 else np.int32), n[order_].astype(np.int32))
     return run
 
 
-def _shards(batches):
-    """Rows sorted by shard -> (shard, a list of its rows' blobs, to be emptied by the caller)."""
-    shard, held = None, []
+def _shards(batches, kinds: list):
+    """Rows sorted by shard -> (shard, its summed counts as columns a, b, n).
+    Blobs are summed as soon as they outweigh what is summed so far (and RUN),
+    so that a task holds a shard's distinct n-grams but not all their repeats."""
+    shard, run, held, size = None, None, [], 0
     for batch in batches:
         for i, own in enumerate(batch.column("shard").to_pylist()):
             if own != shard:
-                if held:
-                    yield shard, held
-                shard, held = own, []
-            held.append([batch.column(c)[i].as_buffer() for c in ("a", "b", "n")])
-    if held:
-        yield shard, held
-
-
-def _joined(held: list, kinds: list) -> list[np.ndarray]:
-    """The blobs' columns, each as one array of 64-bit numbers."""
-    size = [sum(len(h[i]) for h in held) // np.dtype(t).itemsize for i, t in enumerate(kinds)]
-    out = [np.empty(n, np.uint64 if t is np.uint64 else np.int64) for n, t in zip(size, kinds)]
-    at = [0] * len(kinds)
-    while held:
-        row = held.pop()
-        for i, t in enumerate(kinds):
-            got = np.frombuffer(row[i], t)
-            out[i][at[i]:at[i] + len(got)] = got
-            at[i] += len(got)
-    return out
-
-
-def _summed(keys: np.ndarray, n: np.ndarray):
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[starts], np.add.reduceat(n[order], starts)
-
-
-_MADE = "shard int, path string, size long, total long, bytes long"
+                if held or run:
+                    yield shard, _merged(run, held, kinds)
+                shard, run, held, size = own, None, [], 0
+            held.append([np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in zip(("a", "b", "n"), kinds)])
+            size += sum(x.nbytes for x in held[-1])
+            if size >= max(RUN, sum(x.nbytes for x in run) if run else 0):
+                run, held, size = _merged(run, held, kinds), [], 0
+    if held or run:
+        yield shard, _merged(run, held, kinds)
+
+
+def _merged(run: list | None, held: list, kinds: list) -> list[np.ndarray]:
+    """Columns (a, b, n), sorted by (a, b), of which each pair comes once; b is empty for words."""
+    rows = ([run] if run else []) + held
+    a, b, n = (np.concatenate([r[i] for r in rows]) for i in range(3))
+    rows = None
+    order = np.lexsort((b, a)) if len(b) else np.argsort(a, kind="stable")
+    a, b, n = a[order], b[order] if len(b) else b, n[order].astype(np.int64)
+    del order
+    first = np.concatenate(([True], a[1:] != a[:-1])) if len(a) else np.zeros(0, bool)
+    if len(b):
+        first[1:] |= b[1:] != b[:-1]
+    starts = np.flatnonzero(first)
+    return [a[starts], b[starts] if len(b) else b, np.add.reduceat(n, starts) if len(n) else n]
+
+
+_MADE = "shard int, path string, size long, total long, bytes long, hot binary"
 
 
 def _made(rows):
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()))],
-                                      names=["shard", "path", "size", "total", "bytes"])
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                                      names=["shard", "path", "size", "total", "bytes", "hot"])
 
 
 def _write_words(root: str):
     def run(batches):
-        for shard, held in _shards(batches):
-            keys, _, n = _joined(held, [np.uint64, np.int64, np.int32])
-            keys, n = _summed(keys, n)
+        for shard, (keys, _, n) in _shards(batches, [np.uint64, np.int64, np.int32]):
             path = f"{root}/words-{shard:05d}"
-            yield _made([(shard, path, len(keys), int(n.sum()), save_arrays(path, {"hash": keys, "count": n}))])
+            most = np.union1d(np.argsort(-n, kind="stable")[:HOT_OF], np.flatnonzero(keys == END))
+            often = np.stack((most, n[most], keys[most] == END), axis=1).astype(np.int64)  # (place, count, whether it is the end)
+            yield _made([(shard, path, len(keys), int(n.sum()), save_arrays(path, {"hash": keys, "count": n}), often.tobytes())])
     return run
 
 
-def _level(arrays: dict, k: int, parent: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.ndarray, parents: int, discount: float):
-    """Add level ``k``: nodes sorted by (parent, word); ``total`` the parents' counts."""
+def _level(arrays: dict, k: int, parent: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.ndarray, parents: int, discount: float) -> np.ndarray:
+    """Add level ``k``: nodes sorted by (parent, word); ``total`` the parents' counts. Returns what each parent's terms sum to."""
     pointers = np.searchsorted(parent, np.arange(parents + 1))
     ends = np.flatnonzero(np.concatenate((parent[1:] != parent[:-1], [True]))) if len(parent) else np.zeros(0, int)
     lifts = np.concatenate(([0], np.cumsum(word[ends] + 1)[:-1])) if len(ends) else np.zeros(0, np.int64)
     values = word + np.repeat(lifts, np.diff(np.concatenate(([0], ends + 1))))
-    alpha = (count - discount) / total[parent]
-    logs = np.log10(alpha)
-    book = np.unique(np.quantile(logs, (np.arange(256) + 0.5) / 256)) if len(logs) else np.zeros(1)
-    code = np.searchsorted((book[1:] + book[:-1]) / 2, logs).astype(np.uint8)
-    spent = np.bincount(parent, 10 ** book[code], parents)
+    code = np.rint(np.log10((count - discount) / total[parent]) / -STEP).astype(np.uint16)
+    spent = np.bincount(parent, 10 ** (code * -STEP), parents)
     arrays |= EliasFano.build(pointers, f"{k}.pointers") | EliasFano.build(values, f"{k}.words")
-    arrays |= {f"{k}.code": code, f"{k}.book": book, f"{k}.left": np.clip(1 - spent, 1e-6, 1).astype(np.float32)}
+    arrays |= {f"{k}.code": code, f"{k}.left": np.clip(1 - spent, 1e-6, 1).astype(np.float32)}
+    return spent
 
 
-def _write_trie(root: str, sizes: list[int], order: int, least: int, discount: float):
+def _write_trie(root: str, sizes: list[int], order: int, least: int, discount: float, hot: np.ndarray, hot_counts: np.ndarray):
     offsets = np.concatenate(([0], np.cumsum(sizes)))
     start, base = int(offsets[-1]), int(offsets[-1]) + 2
 
     def run(batches):
-        for shard, held in _shards(batches):
-            a, b, n = _joined(held, [np.int64, np.int64 if base >= 2**31 else np.int32, np.int32])
-            contexts, rank = np.unique(a, return_inverse=True)
+        for shard, (a, word, n) in _shards(batches, [np.int64, np.int64 if base >= 2**31 else np.int32, np.int32]):
+            local = int(sizes[shard]) + len(hot)  # a shard's own words, then the hot ones of all
+            first, second = (a, 0) if order == 2 else (a // base, a % base)
+            place = _place(hot, first)
+            a = np.where(place >= 0, sizes[shard] + place, first - offsets[shard]) * (1 if order == 2 else base) + second
+            del first, second, place
+            turn = np.argsort(a, kind="stable")  # hot words come last
+            a, word, n = a[turn], word[turn].astype(np.int64), n[turn]
+            del turn
+            contexts, ctx = np.unique(a, return_inverse=True)
             del a
-            rank *= base
-            rank += b
-            del b
-            keys, n = _summed(rank, n)
-            del rank
-            ctx, word = keys // base, keys % base
-            del keys
             total = np.bincount(ctx, n, len(contexts)).astype(np.int64)
-            local = int(sizes[shard]) + (shard == len(sizes) - 1)  # the start of texts is the last shard's last word
             arrays: dict[str, np.ndarray] = {}
             keep = (n >= least) & (word <= start)
             if order == 2:
-                own = contexts - offsets[shard]
-                sums = np.bincount(own, total, local)
-                _level(arrays, 2, own[ctx[keep]], word[keep], n[keep], sums, local, discount)
+                sums = np.bincount(contexts, total, local)
+                sums[int(sizes[shard]):] = hot_counts
+                spent = _level(arrays, 2, contexts[ctx[keep]], word[keep], n[keep], sums, local, discount)
             else:
-                first, second = contexts // base - offsets[shard], contexts % base
+                first, second = contexts // base, contexts % base
                 sums = np.bincount(first, total, local)
+                sums[int(sizes[shard]):] = hot_counts
                 live = total >= least  # contexts seen as often; deeper n-grams have such contexts
                 place = np.cumsum(live) - 1
-                _level(arrays, 2, first[live], second[live], total[live], sums, local, discount)
+                spent = _level(arrays, 2, first[live], second[live], total[live], sums, local, discount)
                 keep &= live[ctx]
                 _level(arrays, 3, place[ctx[keep]], word[keep], n[keep], total[live], int(live.sum()), discount)
             path = f"{root}/trie-{shard:05d}"
-            yield _made([(shard, path, int(keep.sum()), int(n.sum()), save_arrays(path, arrays))])
+            yield _made([(shard, path, int(keep.sum()), int(n.sum()), save_arrays(path, arrays), spent[int(sizes[shard]):].tobytes())])
     return run
 
 
 class Trie:
     """All shards' levels, mapped when first used."""
 
-    def __init__(self, paths: list[str], vocabulary: Vocabulary, order: int):
+    def __init__(self, paths: list[str], vocabulary: Vocabulary, order: int, hot: np.ndarray, hot_left: np.ndarray):
         self.paths, self.vocabulary, self.order, self.parts = paths, vocabulary, order, {}
+        self.hot, self.hot_left = hot, hot_left
 
     def part(self, s: int) -> dict | None:
         if s not in self.parts:
@@ -410,20 +427,23 @@ class Trie:
         return at, same & (at >= lo) & (at < hi)
 
     def terms(self, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """For n-grams (columns of word numbers, sorted by the first): the
-        stored term (0 if none) and what the context leaves to lower orders."""
+        """For n-grams (columns of word numbers): the stored term (0 if none) and
+        what the context leaves to lower orders."""
         k, n = len(grams), len(grams[0])
         term, left = np.zeros(n), np.ones(n)
         offsets = self.vocabulary.offsets
         known = np.flatnonzero(grams[0] >= 0)
-        shard = np.minimum(np.searchsorted(offsets, grams[0][known], "right") - 1, len(self.paths) - 1)
+        shard = _shard(offsets, self.hot, grams[0][known], grams[1][known])
+        turn = np.argsort(shard, kind="stable")
+        known, shard = known[turn], shard[turn]
         cuts = np.searchsorted(shard, np.arange(len(self.paths) + 1))
+        hot = _place(self.hot, grams[0])
         for s in np.flatnonzero(np.diff(cuts)):
             part = self.part(int(s))
             if part is None:
                 continue
             rows = known[cuts[s]:cuts[s + 1]]
-            node = grams[0][rows] - offsets[s]
+            node = np.where(hot[rows] >= 0, offsets[s + 1] - offsets[s] + hot[rows], grams[0][rows] - offsets[s])
             for level in range(2, k + 1):
                 if level == k:
                     left[rows] = part[f"{k}.left"][node]
@@ -431,7 +451,9 @@ class Trie:
                 rows, node = rows[good], node[good]
                 at, found = self.step(part, level, node, grams[level - 1][rows])
                 rows, node = rows[found], at[found]
-            term[rows] = 10 ** part[f"{k}.book"][part[f"{k}.code"][node]]
+            term[rows] = 10 ** (part[f"{k}.code"][node] * -STEP)
+        if k == 2:  # a hot word's terms are in all files
+            left = np.where(hot >= 0, self.hot_left[hot], left)
         return term, left
 
     def probabilities(self, ids: np.ndarray, at: np.ndarray, unigram: np.ndarray) -> np.ndarray:
@@ -463,11 +485,12 @@ class Trie:
 class Model:
     """Paths and sizes of a fitted model; small enough to go with every task."""
 
-    def __init__(self, words: list[str], sizes: list[int], tries: list[str], tokens: int, order: int, delta: float):
+    def __init__(self, words: list[str], sizes: list[int], tries: list[str], tokens: int, order: int, delta: float, hot: np.ndarray, hot_left: np.ndarray):
         self.words, self.sizes, self.tries, self.tokens, self.order, self.delta = words, sizes, tries, tokens, order, delta
+        self.hot, self.hot_left = hot, hot_left  # hot words and the start, and what their stored terms leave
 
     def open(self) -> Trie:
-        return Trie(self.tries, Vocabulary(self.words, self.sizes), self.order)
+        return Trie(self.tries, Vocabulary(self.words, self.sizes), self.order, self.hot, self.hot_left)
 
 
 def fit(train: DataFrame, text_col: str = "text", order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT, delta: float = DELTA) -> Model:
@@ -483,11 +506,22 @@ def fit(train: DataFrame, text_col: str = "text", order: int = ORDER, least: int
 
     def summed(blobs: DataFrame, write) -> dict[int, tuple]:
         made = blobs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(write, _MADE)
-        return {r["shard"]: (r["path"], r["size"], r["total"]) for r in made.collect()}  # one row per shard
+        return {r["shard"]: (r["path"], r["size"], r["total"], bytes(r["hot"])) for r in made.collect()}  # one row per shard
     words = summed(texts.mapInArrow(_count_words(shards), _BLOB), _write_words(root))
-    paths, sizes = [words.get(s, ("", 0, 0))[0] for s in range(shards)], [words.get(s, ("", 0, 0))[1] for s in range(shards)]
-    tries = summed(texts.mapInArrow(_count_ngrams(paths, sizes, order), _BLOB), _write_trie(root, sizes, order, least, discount))
-    return Model(paths, sizes, [tries.get(s, ("",))[0] for s in range(shards)], sum(w[2] for w in words.values()), order, delta)
+    paths, sizes = [words.get(s, ("", 0))[0] for s in range(shards)], [words.get(s, ("", 0))[1] for s in range(shards)]
+    offsets, tokens, hot, ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64), sum(w[2] for w in words.values()), {}, 0
+    for s, w in words.items():
+        for place, n, end in np.frombuffer(w[3], np.int64).reshape(-1, 3).tolist():
+            if end:
+                ends = n
+            elif n * HOT * shards >= tokens:
+                hot[int(offsets[s]) + place] = n
+    hot[int(offsets[-1])] = ends  # the start comes once for each end
+    heads = np.array(sorted(hot), np.int64)
+    counts = np.array([hot[h] for h in sorted(hot)], float)
+    tries = summed(texts.mapInArrow(_count_ngrams(paths, sizes, order, heads), _BLOB), _write_trie(root, sizes, order, least, discount, heads, counts))
+    spent = sum((np.frombuffer(t[3], float) for t in tries.values()), np.zeros(len(heads)))
+    return Model(paths, sizes, [tries.get(s, ("",))[0] for s in range(shards)], tokens, order, delta, heads, np.clip(1 - spent, 1e-6, 1))
 
 
 def lm_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
