@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.llm import common, components, decontam, exactdup, mixing, neardup, ngram_lm, pii, sharding, tokencount, toxicity, warc
+from tierflow.llm import common, components, decontam, exactdup, mixing, neardup, ngram_lm, pii, registry, sharding, tokencount, toxicity, warc
 
 
 def words(text):
@@ -469,3 +469,11 @@ def test_a_hot_word_spreads_over_the_files(spark, monkeypatch, order):
         assert max(sizes) < 2.5 * sum(sizes) / int(shards)
         seen.append(got)
     assert seen[0] == pytest.approx(seen[1], abs=1e-6)  # whatever the number of shards
+
+
+def test_registered_scores_use_all_ngrams(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    whole = ngram_lm.lm_scores(docs, ngram_lm.fit(docs.filter(~ngram_lm.held_out(F.col("doc_id"))), least=1))
+    want = {r.doc_id: r.score for r in whole.collect()}
+    assert {r.doc_id: r.score for r in registry.op9_lm_scoring(spark, sf).collect()} == pytest.approx(want, abs=1e-6)

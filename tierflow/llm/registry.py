@@ -67,7 +67,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    model = ngram_lm.fit(docs.filter(~ngram_lm.held_out(F.col("doc_id"))))
+    model = ngram_lm.fit(docs.filter(~ngram_lm.held_out(F.col("doc_id"))), least=1)
     return ngram_lm.lm_scores(docs, model).withColumn("held_out", ngram_lm.held_out(F.col("doc_id")))
 
 
