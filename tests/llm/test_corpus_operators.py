@@ -369,6 +369,19 @@ def test_base_spans_equal_the_patterns(docs, no_docs):
     assert len(got) == docs.count() and pii.pii_spans(no_docs, redacted=True).count() == 0
 
 
+def test_long_addresses_cues_in_any_case_and_long_zeros():
+    names = " ".join(["Saint" + "a" * 40, "Maria" + "b" * 40, "Old", "Mill"])
+    for number, cue in (("12", "Road"), ("7b,", "sTrEEt"), ("99999", "AvenuE")):
+        text = f"went to {number} {names} {cue}, then home"
+        assert [(k, text[a:b]) for k, a, b in pii.spans(text)] == [("address", f"{number} {names} {cue}")]
+    assert pii.spans(f"12 One Two Three Four Five Road, Road, \n road x{names} Road") == []
+    text = "\u0130 my iBaN DE89 3704 0044 0532 0130 00"
+    assert [(k, text[a:b]) for k, a, b in pii.spans(text)] == [("iban", "DE89 3704 0044 0532 0130 00")]
+    zeros = "0" * 5000
+    assert [s[0] for s in pii.spans(f"{zeros}.1.2.{zeros}3 ")] == ["ip"] and pii.spans(f"{zeros}.1.2.{zeros}300 ") == []
+    assert pii.spans("12 Road") == [] and [s[0] for s in pii.spans("12 Elm Road")] == ["address"]
+
+
 def test_elias_fano_finds_and_returns_every_value():
     rng = np.random.default_rng(6)
     for values in (np.zeros(0, np.int64), np.array([0]), np.array([5, 5, 5]), np.cumsum(rng.integers(0, 3, 3000)), np.cumsum(rng.integers(1, 10**9, 500)), np.cumsum(rng.integers(1, 2, 700))):

@@ -37,7 +37,11 @@ STREET = re.compile(r"(?:[0-9]{1,5}[A-Za-z]?,? )(?:[A-Z][\w'-]*\.? ){1,4}$")
 CUES = {"iban": "iban", "account": "account", "acct": "account", "konto": "account", "street": "address", "avenue": "address", "road": "address", "boulevard": "address"}
 
 
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
 def _automaton():
+    """Anchors, to be searched in texts with A-Z as a-z."""
     import ahocorasick
 
     found = ahocorasick.Automaton()
@@ -46,8 +50,7 @@ def _automaton():
     for digit in "0123456789":
         found.add_word(digit, ("0", 1))
     for cue, kind in CUES.items():
-        for form in {cue, cue.capitalize(), cue.upper()}:
-            found.add_word(form, (kind, len(form)))
+        found.add_word(cue, (kind, len(cue)))
     found.make_automaton()
     return found
 
@@ -70,7 +73,7 @@ def _numbers(text: str, lo: int, hi: int) -> Iterator[tuple[str, int, int]]:
     """Base matches within one numeric run."""
     if text.count(".", lo, hi) >= 3:
         for m in IP.finditer(text, lo, hi):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
                 yield "ip", m.start(), m.end()
     if hi - lo >= 14:
         for m in CARD.finditer(text, lo, hi):
@@ -94,7 +97,8 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     out: list[tuple[str, int, int]] = []
     run_end = mail_end = url_end = 0
     ends = dict.fromkeys(ADDED, 0)
-    for last, (kind, size) in _FOUND[0].iter(text):
+    low = text.lower() if text.isascii() else text.translate(LOWER)  # as long as the text
+    for last, (kind, size) in _FOUND[0].iter(low):
         at = last - size + 1
         if kind == "0":
             if at >= run_end:
@@ -115,7 +119,10 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
                 url_end = m.end() - (len(m[0]) - len(m[0].rstrip(".,;:!?)")))
                 out.append(("url", at - len(scheme), url_end))
         elif kind == "address":
-            line = max(text.rfind("\n", max(0, at - 80), at) + 1, at - 80, 0)
+            line = at
+            for _ in range(6 if text[at - 1:at] == " " else 0):  # the number and up to four names, each before a space
+                line = text.rfind(" ", 0, max(line, 0)) if line > 0 else -1
+            line = max(line + 1, 0) if line < at else at
             if text[last + 1:last + 2].isalnum() is False and (m := STREET.search(text[line:at])) and line + m.start() >= ends[kind]:
                 begin = line + m.start()
                 if not (begin and text[begin - 1].isalnum()):
