@@ -21,8 +21,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below ``TOXIC``."""
+    """Documents whose toxicity score is below ``TOXIC``; all of them where the
+    labels are too few for a model."""
     model = toxicity.fitted(docs, _table(spark, sf_dir, "labels"))
+    row = model.first()
+    if row is None or not any(row["weight"]):  # no n-gram was learnt
+        return docs
     scored = toxicity.toxicity_scores(docs, model, out_col="_toxicity")
     return scored.filter(F.col("_toxicity") < TOXIC).select(docs.columns)
 

@@ -45,5 +45,12 @@ def test_rows_of_one_id_are_judged_by_their_texts(spark):
     assert places in ([0, 1, 2, 4, 5, 6, 7, 8, 9], [1, 2, 3, 4, 5, 6, 7, 8, 9])  # either of the two null rows of one text
 
 
+def test_without_a_model_nothing_is_rejected(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"word{i} other", "en", "s") for i in range(5)], "doc_id long, text string, lang string, source string")
+    for name, labels in (("none", []), ("few", [(0, 1), (1, 0)])):
+        spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        assert corpus_pipeline.drop_toxic(spark, docs, f"{tmp_path}/{name}").count() == 5
+
+
 def test_registered():
     assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in registry.QUERIES}
