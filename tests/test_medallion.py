@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tierflow.plans import medallion
 from tierflow.sources import adapters
 
-from conftest import SF001
+from data_dirs import SF001
 
 
 def test_run_batch_publishes_layers_and_counts(spark, tmpdir_path):

@@ -13,7 +13,7 @@ from check_oracle import TABLES, digest  # noqa: E402
 
 from tierflow.plans import registry  # noqa: E402
 
-from conftest import SF001  # noqa: E402
+from data_dirs import SF001  # noqa: E402
 
 SQL = E.oracle_sql()
 #: The reference's operators; queries of the optional subpackage are tested beside it.

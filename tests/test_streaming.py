@@ -9,7 +9,7 @@ from tierflow.plans import medallion, registry
 from tierflow.sources import adapters
 from tierflow.streaming import profile_stream as ps
 
-from conftest import SF001
+from data_dirs import SF001
 
 
 def _as_set(df):
