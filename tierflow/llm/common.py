@@ -44,6 +44,17 @@ def heavy_keys(counts: DataFrame, key: str, n: str, total: int, share: int = 100
     return counts.filter(F.col(n) * share >= F.lit(max(total, 1))).select(key)
 
 
+def look_up(rows: DataFrame, table: DataFrame, keys: list[str], n: str, total: int, how: str = "inner", share: int = 1000) -> DataFrame:
+    """``rows`` joined with ``table`` (one row a key, ``n`` rows of ``rows`` have
+    it, ``total`` rows in all; ``how``: inner or left_semi). Keys with at least one
+    in ``share`` of the rows are at most ``share``: these are broadcast, so that no
+    task gets all rows of a hot key; the others are joined by shuffling."""
+    hot = F.col(n) * share >= F.lit(max(total, 1))
+    heavy, light = F.broadcast(table.filter(hot).drop(n)), table.filter(~hot).drop(n)
+    rest = rows.join(F.broadcast(table.filter(hot).select(*keys)), keys, "left_anti")
+    return rows.join(heavy, keys, how).unionByName(rest.join(light, keys, how))
+
+
 # ------------------------------------------------------------------ text batches
 
 def text_slices(batch: pa.RecordBatch, column: str | int = "text", step: int = STEP_BYTES) -> Iterator[tuple[int, int, pa.Array]]:
@@ -77,6 +88,7 @@ def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 _RNG = np.random.Generator(np.random.PCG64(20240611))
 #: A random 64-bit value for each byte, capital letters as small ones.
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_CASED = _BYTE.copy()
 _BYTE[65:91] = _BYTE[97:123]
 _BASE = int(_RNG.integers(1, 2**62)) * 8 + 5
 _BASE_INV = pow(_BASE, -1, 2**64)
@@ -105,9 +117,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z, and
-    for each text the offset of its first word (one more offset at the end)."""
+def word_hashes(texts: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z (unless
+    not ``fold``), and for each text the offset of its first word (one more offset at the end)."""
     body, offsets = raw_bytes(texts)
     n = len(body)
     if n == 0:
@@ -120,7 +132,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     up, down = _powers(n + 1)
     total = np.empty(n + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE[body] * up[:n], dtype=np.uint64, out=total[1:])
+    np.cumsum((_BYTE if fold else _CASED)[body] * up[:n], dtype=np.uint64, out=total[1:])
     words = (total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _POSITION[63]
     return mix(words), np.searchsorted(starts, offsets).astype(np.int64)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontam, exactdup, mixing, neardup, ngram_lm, pii, sharding, tokencount, toxicity, warc
+from tierflow.llm import decontam, exactdup, merkle, mixing, neardup, ngram_lm, pii, repeats, sharding, tokencount, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,11 +75,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.reshard(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = repeats.drop_repeats(_table(spark, sf_dir, "documents"), words=50)
+    return got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_neardup, op3_toxicity, op4_warc, op5_token_counts, op6_decontamination,
-                                                     op7_exact_dedup, op8_pii, op9_lm_scoring, op10_sharding, pipeline)}
-ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_warc": warc.ORACLE, "op7_exact_dedup": exactdup.ORACLE}
+                                                     op7_exact_dedup, op8_pii, op9_lm_scoring, op10_sharding, op11_merkle_manifest, op12_substring_dedup, pipeline)}
+ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_warc": warc.ORACLE, "op7_exact_dedup": exactdup.ORACLE, "op11_merkle_manifest": merkle.ORACLE,
+                          "op12_substring_dedup": repeats.ORACLE}
