@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontam, exactdup, merkle, mixing, neardup, ngram_lm, pii, repeats, sharding, tokencount, toxicity, warc
+from tierflow.llm import decontam, exactdup, merkle, mixing, neardup, ngram_lm, phrases, pii, repeats, sharding, tokencount, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,12 +84,16 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_neardup, op3_toxicity, op4_warc, op5_token_counts, op6_decontamination,
-                                                     op7_exact_dedup, op8_pii, op9_lm_scoring, op10_sharding, op11_merkle_manifest, op12_substring_dedup, pipeline)}
+                                                     op7_exact_dedup, op8_pii, op9_lm_scoring, op10_sharding, op11_merkle_manifest, op12_substring_dedup, op13_phrases, pipeline)}
 ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_warc": warc.ORACLE, "op7_exact_dedup": exactdup.ORACLE, "op11_merkle_manifest": merkle.ORACLE,
-                          "op12_substring_dedup": repeats.ORACLE}
+                          "op12_substring_dedup": repeats.ORACLE, "op13_phrases": phrases.ORACLE}
