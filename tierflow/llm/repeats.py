@@ -5,7 +5,8 @@ lie in one whole window only the one of the smallest hash counts (its anchor).
 Equal passages choose equal anchors, so nothing is lost, and about one word in
 13 starts one. Anchors that occur in documents of different ids survive; those
 alone are extended to the wanted length, the survivors to twice that, and so on
-until no candidate survives. A window that also starts in a document of a smaller id
+until no candidate survives; each further length takes half of the anchors (by a bit of their
+hash), as its windows cover twice as much. A window that also starts in a document of a smaller id
 settles all words it covers, at whatever level. What the levels leave open (the
 first document of a passage, and the rims of copies) is then compared window by
 window. So the rows grow with the distinct repeated text, not with its copies.
@@ -90,36 +91,48 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
+def _take(batch: pa.RecordBatch, rows: np.ndarray, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    at = pa.array(rows)
+    return pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in ("doc", "key")), *columns.values()], names=["doc", "key", *columns])
+
+
 def _anchor_rows(half: int, whole: int):
-    """(doc, key1, key2, text) -> a row for each anchor: its place, its hash, and
-    pairs of hashes of the windows of one, two, four ... times ``whole`` that start there."""
+    """(doc, key, text) -> a row for each anchor: its place and its hash."""
     def run(batches):
         for batch in batches:
-            for lo, hi, texts in text_slices(batch, "text"):
+            for lo, _, texts in text_slices(batch, "text"):
                 w = Windows(texts)
                 g, _, anchors = w.anchors(half, whole)
-                if not len(anchors):
-                    continue
-                room = w.end[anchors] - anchors
-                levels = np.zeros(len(anchors), np.int64)
-                length = whole
-                while (room >= length).any():
-                    levels += room >= length
-                    length *= 2
+                doc = np.searchsorted(w.at, anchors, side="right") - 1
+                yield _take(batch, lo + doc, {"place": pa.array(anchors - w.at[doc], pa.int64()), "name": _long(g[anchors])})
+    return run
+
+
+def _level_rows(half: int, whole: int):
+    """(doc, key, text, spans) -> a row for each anchor in spans: its place, and pairs of
+    hashes of the windows of one, two, four ... times ``whole`` that start there; as
+    many as fit the text and its hash has low zero bits, and one."""
+    def run(batches):
+        for batch in batches:
+            spans = batch.column("spans")
+            for lo, hi, texts in text_slices(batch, "text"):
+                w = Windows(texts)
+                places = [np.asarray(spans[row].values.field("place"), np.int64) for row in range(lo, hi)]
+                anchors = np.concatenate([a + p for a, p in zip(w.at, places)])
+                doc = np.repeat(np.arange(hi - lo), [len(p) for p in places])
+                room, left = w.end[anchors] - anchors, w.hashes(anchors, half, 0)
+                names, levels, length, level = [], np.zeros(len(anchors), np.int64), whole, 0
+                while len(fit := np.flatnonzero((room >= length) & (left & np.uint64((1 << level) - 1) == 0) & (levels == level))):
+                    names.append([w.hashes(anchors[fit], length, which) for which in (0, 1)])
+                    levels[fit] += 1
+                    length, level = 2 * length, level + 1
                 offsets = np.concatenate(([0], np.cumsum(2 * levels)))
-                names = np.zeros(offsets[-1], np.uint64)
-                length, level = whole, 0
-                while (levels > level).any():
+                flat = np.zeros(offsets[-1], np.uint64)
+                for level, pair in enumerate(names):
                     fit = np.flatnonzero(levels > level)
                     for which in (0, 1):
-                        names[offsets[fit] + 2 * level + which] = w.hashes(anchors[fit], length, which)
-                    length, level = length * 2, level + 1
-                doc = np.searchsorted(w.at, anchors, side="right") - 1
-                rows = pa.array(lo + doc)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(rows) for c in ("doc", "key1", "key2")] +
-                    [pa.array(anchors - w.at[doc], pa.int64()), _long(g[anchors]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), _long(names))],
-                    names=["doc", "key1", "key2", "place", "name", "names"])
+                        flat[offsets[fit] + 2 * level + which] = pair[which]
+                yield _take(batch, lo + doc, {"place": pa.array(anchors - w.at[doc], pa.int64()), "names": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), _long(flat))})
     return run
 
 
@@ -131,7 +144,7 @@ def _covered(n: int, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _open_rows(half: int, whole: int):
-    """(doc, key1, key2, text, spans) -> a row for each whole window whose anchor
+    """(doc, key, text, spans) -> a row for each whole window whose anchor
     repeats and that no longer span has settled: its place and its two hashes."""
     def run(batches):
         for batch in batches:
@@ -155,11 +168,8 @@ def _open_rows(half: int, whole: int):
                 if not found:
                     continue
                 places, doc = np.concatenate(found), np.concatenate(docs)
-                rows = pa.array(doc)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(rows) for c in ("doc", "key1", "key2")] +
-                    [pa.array(places - w.at[doc - lo], pa.int64()), _long(w.hashes(places, whole, 0)), _long(w.hashes(places, whole, 1))],
-                    names=["doc", "key1", "key2", "place", "name1", "name2"])
+                yield _take(batch, doc, {"place": pa.array(places - w.at[doc - lo], pa.int64()), "name1": _long(w.hashes(places, whole, 0)),
+                                         "name2": _long(w.hashes(places, whole, 1))})
     return run
 
 
@@ -195,36 +205,39 @@ def _repeated(rows: DataFrame, names: list[str]) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, hot: DataFrame, words: int = 50) -> DataFrame:
-    """``docs`` (doc, key1, key2, text: binary), where the keys stand for a row's id
-    and text -> (key1, key2, spans): the spans (place, length) of ``words`` words or more
-    whose word sequences also start in a row of a smaller id. Rows without spans have
-    none. ``hot``: see ``_copied``."""
-    spark = docs.sparkSession
+    """``docs`` (doc, key, text: binary), where id and key stand for a row -> (doc, key, spans):
+    the spans (place, length) of ``words`` words or more whose word sequences also start
+    in a row of a smaller id. Rows without spans have none. ``hot``: see ``_copied``."""
     half = (words + 1) // 2
     src = docs.filter("doc is not null")
     kind = src.schema["doc"].dataType.simpleString()
-    anchors = stage(src.mapInArrow(_anchor_rows(half, words), f"doc {kind}, key1 long, key2 long, place long, name long, names array<long>"), "anchors")
-    alive = stage(look_up(anchors, _repeated(anchors, ["name"]).drop("first"), ["name"], "n", anchors.count(), "left_semi").drop("name"), "level")
-    places, length, level = [alive.select("key1", "key2", "place", F.lit(0).cast("long").alias("length"))], words, 0
+    row = ["doc", "key"]
+    pairs = ["name1", "name2"]
+
+    def span(length):
+        return F.struct("place", F.lit(length).cast("long").alias("length"))
+
+    anchors = stage(src.mapInArrow(_anchor_rows(half, words), f"doc {kind}, key long, place long, name long"), "anchors")
+    repeated = look_up(anchors, _repeated(anchors, ["name"]).drop("first"), ["name"], "n", anchors.count(), "left_semi")
+    found = stage(repeated.groupBy(*row).agg(F.collect_set(span(0)).alias("spans")), "repeated")
+    alive = stage(_with_spans(src, found, hot, "inner").mapInArrow(_level_rows(half, words), f"doc {kind}, key long, place long, names array<long>"), "level")
+    parts, length = [found.select(*row, F.explode("spans").alias("span"))], words
     while True:
-        long_enough = alive.filter(F.size("names") >= 2 * level + 2)
-        named = long_enough.withColumns({"name1": F.get("names", F.lit(2 * level)), "name2": F.get("names", F.lit(2 * level + 1))})
-        alive = stage(look_up(named, _repeated(named, ["name1", "name2"]), ["name1", "name2"], "n", long_enough.count()).drop("name1", "name2"), "level")
+        named = alive.filter(F.size("names") > 0).select(*row, "place", F.get("names", F.lit(0)).alias("name1"), F.get("names", F.lit(1)).alias("name2"),
+                                                         F.slice("names", 3, 1 << 20).alias("names"))
+        alive = stage(look_up(named, _repeated(named, pairs), pairs, "n", alive.count()).drop(*pairs), "level")
         if alive.isEmpty():
             break
-        places.append(alive.filter("first < doc").select("key1", "key2", "place", F.lit(length).cast("long").alias("length")))
-        alive = alive.drop("first")
-        length, level = 2 * length, level + 1
-    found = places[0]
-    for more in places[1:]:
-        found = found.union(more)
-    longest = found.groupBy("key1", "key2", "place").agg(F.max("length").alias("length"))
-    settled = stage(longest.groupBy("key1", "key2").agg(F.collect_list(F.struct("place", "length")).alias("spans")), "settled")
-    rest = stage(_with_spans(src, settled, hot, "inner").mapInArrow(_open_rows(half, words), f"doc {kind}, key1 long, key2 long, place long, name1 long, name2 long"), "open")
-    owned = look_up(rest, _repeated(rest, ["name1", "name2"]), ["name1", "name2"], "n", rest.count()).filter("first < doc")
-    single = owned.select("key1", "key2", F.struct("place", F.lit(words).cast("long").alias("length")).alias("span"))
-    longer = settled.select("key1", "key2", F.explode(F.filter("spans", lambda s: s["length"] > 0)).alias("span"))
-    return stage(longer.union(single).groupBy("key1", "key2").agg(F.collect_set("span").alias("spans")), "spans")
+        parts.append(alive.filter("first < doc").select(*row, span(length).alias("span")))
+        alive, length = alive.drop("first"), 2 * length
+    spans = parts[0]
+    for more in parts[1:]:
+        spans = spans.union(more)
+    settled = stage(spans.groupBy(*row).agg(F.collect_set("span").alias("spans")), "settled")
+    rest = stage(_with_spans(src, settled, hot, "inner").mapInArrow(_open_rows(half, words), f"doc {kind}, key long, place long, name1 long, name2 long"), "open")
+    owned = look_up(rest, _repeated(rest, pairs), pairs, "n", rest.count()).filter("first < doc")
+    longer = settled.select(*row, F.explode(F.filter("spans", lambda s: s["length"] > 0)).alias("span"))
+    return stage(longer.union(owned.select(*row, span(words).alias("span"))).groupBy(*row).agg(F.collect_set("span").alias("spans")), "spans")
 
 
 #: Parts that rows of one document that repeats very often are dealt to.
@@ -233,7 +246,7 @@ SALTS = 64
 
 def _copied(docs: DataFrame) -> DataFrame:
     """Keys of rows that occur very often, id and text alike; broadcast below a checked number."""
-    copies = stage(docs.groupBy("key1", "key2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SALTS).select("key1", "key2"), "copied")
+    copies = stage(docs.groupBy("doc", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SALTS).select("doc", "key"), "copied")
     return F.broadcast(copies) if copies.count() <= 10_000 else copies
 
 
@@ -241,10 +254,11 @@ def _with_spans(docs: DataFrame, spans: DataFrame, hot: DataFrame, how: str) ->
     """Documents joined with their spans. A row that occurs very often is one
     key; its copies are dealt to parts, each with the spans."""
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
-    left = docs.join(hot.withColumn("hot", F.lit(True)), ["key1", "key2"], "left").withColumn("salt", F.when(F.col("hot"), salt).otherwise(0)).drop("hot")
-    right = spans.join(hot.withColumn("hot", F.lit(True)), ["key1", "key2"], "left")
+    marked = hot.withColumn("hot", F.lit(True))
+    left = docs.join(marked, ["doc", "key"], "left").withColumn("salt", F.when(F.col("hot"), salt).otherwise(0)).drop("hot")
+    right = spans.join(marked, ["doc", "key"], "left")
     right = right.withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("hot")
-    return left.join(right, ["key1", "key2", "salt"], how).drop("salt")
+    return left.join(right, ["doc", "key", "salt"], how).drop("salt")
 
 
 def drop_repeats(docs: DataFrame, words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,7 +274,8 @@ def drop_repeats(docs: DataFrame, words: int = 50, id_col: str = "doc_id", text_
     """
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     src = docs.select(F.col(id_col).alias("doc"), text.alias("text"))
-    src = src.select("doc", F.xxhash64("doc", "text").alias("key1"), F.xxhash64(F.lit(7), "doc", "text").alias("key2"), "text")
+    loose = F.monotonically_increasing_id()  # rows without an id match nothing and spread
+    src = src.select("doc", F.when(F.col("doc").isNull(), loose).otherwise(F.xxhash64("text")).alias("key"), "text")
     kind = src.schema["doc"].dataType.simpleString()
     hot = _copied(src)
     cut = _with_spans(src, repeated_spans(src, hot, words), hot, "left").select(F.col("doc").alias("id"), "text", "spans").mapInArrow(
