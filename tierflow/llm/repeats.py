@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import look_up, mix, stage, text_slices, word_hashes
@@ -198,10 +198,23 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["id", "n_words", "n_removed", "kept_text", "removed"])
 
 
-def _repeated(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Window names that occur in documents of different ids: the smallest id and the number of rows."""
-    return (rows.groupBy(*names).agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
-            .filter("first < last").drop("last"))
+#: Buckets of window names in which hot names are looked for.
+BUCKETS = 1 << 16
+
+
+def _repeated(rows: DataFrame, names: list[str], share: int = 1000) -> DataFrame:
+    """``rows`` (doc, names, ...) whose names occur in documents of different ids,
+    with first: the smallest of these. Rows are dealt by name once. Names in a bucket that has one
+    in ``share`` of all rows or more (at most ``share`` buckets) are aggregated first."""
+    total, bucket = rows.count(), F.pmod(F.col(names[0]), F.lit(BUCKETS))
+    full = rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * share >= F.lit(max(total, 1))).select("bucket")
+    marked = rows.withColumn("bucket", bucket)
+    hot = marked.join(F.broadcast(full), "bucket", "left_semi").drop("bucket")
+    cold = marked.join(F.broadcast(full), "bucket", "left_anti").drop("bucket")
+    by = Window.partitionBy(*names)
+    cold = cold.withColumns({"first": F.min("doc").over(by), "last": F.max("doc").over(by)}).filter("first < last").drop("last")
+    table = (hot.groupBy(*names).agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")).filter("first < last").drop("last"))
+    return cold.unionByName(look_up(hot, table, names, "n", total))
 
 
 def repeated_spans(docs: DataFrame, hot: DataFrame, words: int = 50) -> DataFrame:
@@ -218,14 +231,13 @@ def repeated_spans(docs: DataFrame, hot: DataFrame, words: int = 50) -> DataFram
         return F.struct("place", F.lit(length).cast("long").alias("length"))
 
     anchors = stage(src.mapInArrow(_anchor_rows(half, words), f"doc {kind}, key long, place long, name long"), "anchors")
-    repeated = look_up(anchors, _repeated(anchors, ["name"]).drop("first"), ["name"], "n", anchors.count(), "left_semi")
-    found = stage(repeated.groupBy(*row).agg(F.collect_set(span(0)).alias("spans")), "repeated")
+    found = stage(_repeated(anchors, ["name"]).groupBy(*row).agg(F.collect_set(span(0)).alias("spans")), "repeated")
     alive = stage(_with_spans(src, found, hot, "inner").mapInArrow(_level_rows(half, words), f"doc {kind}, key long, place long, names array<long>"), "level")
     parts, length = [found.select(*row, F.explode("spans").alias("span"))], words
     while True:
         named = alive.filter(F.size("names") > 0).select(*row, "place", F.get("names", F.lit(0)).alias("name1"), F.get("names", F.lit(1)).alias("name2"),
                                                          F.slice("names", 3, 1 << 20).alias("names"))
-        alive = stage(look_up(named, _repeated(named, pairs), pairs, "n", alive.count()).drop(*pairs), "level")
+        alive = stage(_repeated(named, pairs).drop(*pairs), "level")
         if alive.isEmpty():
             break
         parts.append(alive.filter("first < doc").select(*row, span(length).alias("span")))
@@ -235,7 +247,7 @@ def repeated_spans(docs: DataFrame, hot: DataFrame, words: int = 50) -> DataFram
         spans = spans.union(more)
     settled = stage(spans.groupBy(*row).agg(F.collect_set("span").alias("spans")), "settled")
     rest = stage(_with_spans(src, settled, hot, "inner").mapInArrow(_open_rows(half, words), f"doc {kind}, key long, place long, name1 long, name2 long"), "open")
-    owned = look_up(rest, _repeated(rest, pairs), pairs, "n", rest.count()).filter("first < doc")
+    owned = _repeated(rest, pairs).filter("first < doc")
     longer = settled.select(*row, F.explode(F.filter("spans", lambda s: s["length"] > 0)).alias("span"))
     return stage(longer.union(owned.select(*row, span(words).alias("span"))).groupBy(*row).agg(F.collect_set("span").alias("spans")), "spans")
 
