@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import look_up, mix, stage, text_slices, word_hashes
+from tierflow.llm.common import mix, stage, text_slices, word_hashes
 
 _RNG = np.random.Generator(np.random.PCG64(77120251))
 #: Two odd bases of the window hashes, and their inverses.
@@ -203,18 +203,24 @@ BUCKETS = 1 << 16
 
 
 def _repeated(rows: DataFrame, names: list[str], share: int = 1000) -> DataFrame:
-    """``rows`` (doc, names, ...) whose names occur in documents of different ids,
-    with first: the smallest of these. Rows are dealt by name once. Names in a bucket that has one
-    in ``share`` of all rows or more (at most ``share`` buckets) are aggregated first."""
+    """``rows`` (doc, key, place, names, ...) whose names occur in documents of different ids,
+    with first: the smallest of these. Rows are dealt by name. Names that one in ``share`` of all rows
+    or more have (at most ``share``; looked for in the buckets as full as that) are
+    aggregated first, their rows spread over all tasks."""
     total, bucket = rows.count(), F.pmod(F.col(names[0]), F.lit(BUCKETS))
-    full = rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * share >= F.lit(max(total, 1))).select("bucket")
-    marked = rows.withColumn("bucket", bucket)
-    hot = marked.join(F.broadcast(full), "bucket", "left_semi").drop("bucket")
-    cold = marked.join(F.broadcast(full), "bucket", "left_anti").drop("bucket")
-    by = Window.partitionBy(*names)
-    cold = cold.withColumns({"first": F.min("doc").over(by), "last": F.max("doc").over(by)}).filter("first < last").drop("last")
-    table = (hot.groupBy(*names).agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")).filter("first < last").drop("last"))
-    return cold.unionByName(look_up(hot, table, names, "n", total))
+    many = F.col("n") * share >= F.lit(max(total, 1))
+    full = [r[0] for r in rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).filter(many).drop("n").collect()]
+    if not full:
+        rows = rows.withColumns({"hot_first": F.lit(None).cast(rows.schema["doc"].dataType), "hot_last": F.lit(None).cast(rows.schema["doc"].dataType)})
+    else:
+        hot = (rows.filter(bucket.isin(full)).groupBy(*names).agg(F.min("doc").alias("hot_first"), F.max("doc").alias("hot_last"), F.count(F.lit(1)).alias("n"))
+               .filter(many).drop("n"))
+        rows = rows.join(F.broadcast(hot), names, "left")
+    spread = F.when(F.col("hot_first").isNotNull(), F.pmod(F.xxhash64("doc", "key", "place"), F.lit(BUCKETS))).otherwise(-1)
+    by = Window.partitionBy(*names, "spread")
+    met = rows.withColumn("spread", spread).withColumns({"first": F.min("doc").over(by), "last": F.max("doc").over(by)})
+    return (met.withColumns({"first": F.coalesce("hot_first", "first"), "last": F.coalesce("hot_last", "last")})
+            .filter("first < last").drop("last", "hot_first", "hot_last", "spread"))
 
 
 def repeated_spans(docs: DataFrame, hot: DataFrame, words: int = 50) -> DataFrame:
