@@ -3,11 +3,13 @@
 Each task counts the phrases that start at each word in burstable hash
 containers under a shallow trie of word ids: a container holds all phrases of one first word, and
 bursts into one for each second word when it grows. A phrase of four words also stands
-for its first three; two words are counted by themselves, so that no prefix
+for its first three; pairs are counted by themselves, so that no prefix
 gathers all continuations of a frequent pair. When the tries exceed their budget the largest
 subtrees are emptied as sorted runs, cut by prefix partition (a hash of the first three
 words). Spark deals the runs; one prefix partition at a time is merged,
-and only phrases that reach the least count leave it.
+and only phrases that reach the least count leave it. Words, and then pairs of words, that
+are rarer than that can't be part of one: they are counted first, and bits of a fixed number
+tell which may be frequent. A false bit costs a few entries, never a result.
 
 Inside a task words are numbered exactly, by their bytes. Between tasks a word is
 named by 64 bits of a keyed digest; the vocabulary of the corpus is checked for two
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import look_up, mix, raw_bytes, stage, text_slices, width
@@ -35,7 +37,11 @@ VOCABULARY = 65_535
 #: Tokens that are counted in one step; with those that follow they never exceed the vocabulary.
 TOKENS = 60_000
 #: Prefix partitions for each shuffle partition.
-BINS = 4
+BINS = 2
+#: Bits (2 to this power) that mark the frequent words or pairs: at most 16 MB go to each task.
+BITS = 27
+#: Words that a task remembers as rare.
+RARE = 300_000
 _SHIFTS = (48, 32, 16, 0)
 _TERMS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -195,19 +201,77 @@ def _runs(keys: np.ndarray, counts: np.ndarray, names: np.ndarray, bins: int) ->
         yield int(dealt[rows[0]]), pack((inverse[used - 1], [np.where(c > 0, np.searchsorted(used, c) + 1, 0) for c in own], counts[rows]))
 
 
-def _count_phrases(seed: int, bins: int, entries: int):
-    """(lang, text) -> (lang, bin, run)."""
+def _marked(bits: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    at = marks & np.uint64(64 * len(bits) - 1)
+    return bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) > 0
+
+
+def _pair_marks(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first * _TERMS[0] + second * _TERMS[1])
+
+
+class _Numbers:
+    """A task's numbers of frequent words, language by language; 0 for rare ones."""
+
+    def __init__(self, seed: int, bits: np.ndarray):
+        self.seed, self.bits = seed, bits
+        self.clear()
+
+    def clear(self) -> None:
+        self.known, self.names, self.rare = {}, [0], 0
+
+    def missing(self, lang: str, words: list[bytes]) -> list[bytes]:
+        own = self.known.setdefault(lang, {})
+        return [w for w in words if w not in own]
+
+    def learn(self, lang: str, lang_mark: int, words: list[bytes]) -> None:
+        if self.rare > RARE:
+            self.known = {k: {w: n for w, n in own.items() if n} for k, own in self.known.items()}
+            self.rare = 0
+        own = self.known.setdefault(lang, {})
+        names = [word_name(w, self.seed) for w in words]
+        often = _marked(self.bits, np.array(names, np.uint64) ^ np.uint64(lang_mark))
+        for word, name, yes in zip(words, names, often.tolist()):
+            if yes:
+                own[word] = len(self.names)
+                self.names.append(name)
+            else:
+                own[word] = 0
+                self.rare += 1
+
+
+def _count_phrases(seed: int, bins: int, entries: int, frequent, pairs=None):
+    """(lang, mark, text) -> (lang, bin, run). Without ``pairs`` (bits of the frequent
+    ones) pairs are counted, with them phrases of three and four words."""
     def rows(found):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in found], pa.string()), pa.array([r[1] for r in found], pa.int32()), pa.array([r[2] for r in found], pa.binary())],
                                           names=["lang", "bin", "run"])
 
+    def keys(ids, where, n, lang_mark, table):
+        """The longest phrase of frequent words from each of n tokens, packed; and whether it counts."""
+        key, same = ids[:n] << np.uint64(48), ids[:n] > 0
+        if pairs is None:
+            same &= (where[1:n + 1] == where[:n]) & (ids[1:n + 1] > 0)
+            return (key | ids[1:n + 1] << np.uint64(32))[same]
+        linked = (where[1:] == where[:-1]) & (ids[:-1] > 0) & (ids[1:] > 0)
+        names = table[ids.astype(np.int64)]
+        at = np.flatnonzero(linked)
+        linked[at] = _marked(pairs.value, _pair_marks(names[at], names[at + 1]) ^ np.uint64(lang_mark))
+        counts = same
+        for step in (1, 2, 3):
+            same = same & linked[step - 1:step - 1 + n]
+            key = key | np.where(same, ids[step:step + n], np.uint64(0)) << np.uint64(_SHIFTS[step])
+            if step == 2:
+                counts = same
+        return key[counts]
+
     def run(batches):
-        tries, numbers, names, held = {}, {}, [0], 0
+        tries, held, numbers = {}, 0, _Numbers(seed, frequent.value)
 
         def spill(all_of_it):
             """Empty the tries, or their largest subtrees down to half the budget."""
             nonlocal held
-            found, table = [], np.array(names, np.uint64)
+            found, table = [], np.array(numbers.names, np.uint64)
             if all_of_it:
                 chosen = {lang: list(t.top) for lang, t in tries.items()}
             else:
@@ -218,44 +282,35 @@ def _count_phrases(seed: int, bins: int, entries: int):
                     chosen.setdefault(lang, []).append(name)
                     freed += size
             for lang, some in chosen.items():
-                keys, counts = tries[lang].cut(some)
-                held -= len(keys)
-                if len(keys):
-                    found += [(lang, b, blob) for b, blob in _runs(keys, counts, table, bins)]
+                got, counts = tries[lang].cut(some)
+                held -= len(got)
+                if len(got):
+                    found += [(lang, b, blob) for b, blob in _runs(got, counts, table, bins)]
             return found
 
         for batch in batches:
             for lang, part in _by_lang(batch):
+                mark = part.column("mark")[0].as_py() & (1 << 64) - 1
                 for _, _, texts in text_slices(part, "text"):
                     words, piece = pieces(texts)
                     for lo in range(0, len(words), TOKENS):
                         hi = min(lo + TOKENS, len(words))
                         coded = words.slice(lo, min(hi + 3, len(words)) - lo).dictionary_encode()
                         known = coded.dictionary.to_pylist()
-                        if len(numbers) + sum(w not in numbers for w in known) > VOCABULARY:
+                        new = numbers.missing(lang, known)
+                        if len(numbers.names) + len(new) > VOCABULARY:
                             if found := spill(True):
                                 yield rows(found)
                             tries.clear()
                             numbers.clear()
-                            del names[1:]
-                        for w in known:
-                            if w not in numbers:
-                                numbers[w] = len(names)
-                                names.append(word_name(w, seed))
-                        number = np.array([numbers[w] for w in known], np.uint64)
+                            new = known
+                        numbers.learn(lang, mark, new)
+                        own = numbers.known[lang]
+                        number = np.array([own.get(w, 0) for w in known], np.uint64)
                         ids = np.concatenate((number[coded.indices.to_numpy(zero_copy_only=False)], np.zeros(3, np.uint64)))
                         where = np.concatenate((piece[lo:lo + len(coded)], np.full(3, -1)))
-                        key = ids[:hi - lo] << np.uint64(48)
-                        same = np.ones(hi - lo, bool)
-                        trie = tries.setdefault(lang, HatTrie())
-                        for step in (1, 2, 3):
-                            same = same & (where[step:step + hi - lo] == where[:hi - lo])
-                            key = key | np.where(same, ids[step:step + hi - lo], np.uint64(0)) << np.uint64(_SHIFTS[step])
-                            if step == 1:
-                                held += trie.add(*np.unique(key[same], return_counts=True))
-                            if step == 2:
-                                three = same
-                        held += trie.add(*np.unique(key[three], return_counts=True))
+                        got = keys(ids, where, hi - lo, mark, np.array(numbers.names, np.uint64))
+                        held += tries.setdefault(lang, HatTrie()).add(*np.unique(got, return_counts=True))
                         if held > entries:
                             yield rows(spill(False))
         if found := spill(True):
@@ -342,13 +397,40 @@ def word_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
     raise RuntimeError("every key gives two words one name")
 
 
-def phrase_counts(docs: DataFrame, seed: int, least: int, lang_col: str = "lang", text_col: str = "text", entries: int = ENTRIES) -> DataFrame:
+def _bits(spark: SparkSession, marks: DataFrame):
+    """The broadcast bits of ``marks`` (mark: long): at most 2^(BITS - 6) rows come to the driver."""
+    at = F.col("mark").bitwiseAND(F.lit((1 << BITS) - 1))
+    rows = marks.select(F.shiftright(at, 6).alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+    found = rows.groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+    bits = np.zeros(1 << BITS - 6, np.uint64)
+    bits[found.column("at").to_numpy()] = found.column("bit").to_numpy().view(np.uint64)
+    return spark.sparkContext.broadcast(bits)
+
+
+def _pair_bits_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        first, second, lang = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("w1", "w2", "lang_mark"))
+        yield pa.RecordBatch.from_arrays([pa.array((_pair_marks(first, second) ^ lang).view(np.int64))], names=["mark"])
+
+
+def phrase_counts(docs: DataFrame, words: DataFrame, seed: int, least: int, lang_col: str = "lang", text_col: str = "text", entries: int = ENTRIES) -> DataFrame:
     """(lang, size, w1, w2, w3, w4, f): phrases of two to four words inside pieces
-    that occur ``least`` times or more; words by name, 0 for none."""
-    parts = width(docs.sparkSession)
-    runs = _texts(docs, lang_col, text_col).mapInArrow(_count_phrases(seed, parts * BINS, entries), "lang string, bin int, run binary")
-    dealt = runs.repartition(parts, "lang", "bin").sortWithinPartitions("lang", "bin")
-    return dealt.mapInArrow(_merge(least, entries), "lang string, size int, w1 long, w2 long, w3 long, w4 long, f long")
+    that occur ``least`` times or more; words by name, 0 for none. ``words``: see ``word_counts``."""
+    spark = docs.sparkSession
+    parts = width(spark)
+    mark = F.xxhash64("lang")
+    src = _texts(docs, lang_col, text_col).select("lang", mark.alias("mark"), "text")
+
+    def counted(frequent, pairs):
+        runs = src.mapInArrow(_count_phrases(seed, parts * BINS, entries, frequent, pairs), "lang string, bin int, run binary")
+        dealt = runs.repartition(parts, "lang", "bin").sortWithinPartitions("lang", "bin")
+        return stage(dealt.mapInArrow(_merge(least, entries), "lang string, size int, w1 long, w2 long, w3 long, w4 long, f long"), "phrases")
+
+    often = words.filter(F.col("f") >= least)
+    frequent = _bits(spark, often.select(F.col("name").bitwiseXOR(mark).alias("mark")))
+    two = counted(frequent, None)
+    longer = counted(frequent, _bits(spark, two.select("w1", "w2", mark.alias("lang_mark")).mapInArrow(_pair_bits_rows, "mark long")))
+    return two.unionByName(longer)
 
 
 def _part(first: int, last: int) -> Column:
@@ -416,7 +498,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, lang_col: st
     """
     key = ["lang", "size", *WORDS]
     words, seed = word_counts(docs, lang_col, text_col)
-    phrases = stage(phrase_counts(docs, seed, least, lang_col, text_col, entries), "phrases")
+    phrases = phrase_counts(docs, words, seed, least, lang_col, text_col, entries)
     none = F.lit(0).cast("long")
     single = words.filter(F.col("f") >= least).select("lang", F.lit(1).alias("size"), F.col("name").alias("w1"), none.alias("w2"), none.alias("w3"), none.alias("w4"), "f")
     scored = _scored(_uncovered(phrases), phrases.unionByName(single))
