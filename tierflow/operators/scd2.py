@@ -109,6 +109,36 @@ def accepted_versions(events: DataFrame, as_of, *, strict: bool = False, base: D
         *[f"__m_{f}" for f in PAYLOAD_FIELDS])
 
 
+def event_outcomes(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
+                   validated: bool = False) -> DataFrame:
+    """What becomes of every valid event: event_id, ts, event_type, user_id, outcome.
+
+    ``accepted``; ``erased`` (before the user's last delete, E4); ``user exists``
+    (a create of an open profile); ``user not found`` (an update before any profile was
+    opened); ``user deleted`` (an update after a delete, before a new profile). The
+    last delete and the first opening event of each user are aggregates, as in
+    the fold, so both agree. Users with a row in ``base`` are open from the start. Events
+    without a position can't be ordered: ``no position``.
+    """
+    v = _valid_events(events, as_of, validated).select("event_id", "ts", "event_type", "user_id", "current_weight_lb", "target_weight_lb")
+    is_del, eid = F.col("event_type") == "delete", F.col("event_id")
+    opens = F.col("event_type") == "create"
+    if not strict:
+        opens = opens | ((F.col("event_type") == "update") & F.col("current_weight_lb").isNotNull() & F.col("target_weight_lb").isNotNull())
+    last_del = v.filter(is_del).groupBy("user_id").agg(F.max("event_id").alias("__last_del"))
+    seen = v.join(last_del, "user_id", "left")
+    openers = seen.filter(opens & (F.col("__last_del").isNull() | (eid > F.col("__last_del")))).select("user_id", "event_id")
+    if base is not None:
+        known = base.filter("is_current").select("user_id", F.lit(BASE_EVENT_ID).cast("long").alias("event_id"))
+        openers = openers.unionByName(known.join(last_del, "user_id", "left_anti"))
+    first = openers.groupBy("user_id").agg(F.min("event_id").alias("__first"))
+    after = F.coalesce(eid > F.col("__first"), F.lit(False))
+    outcome = (F.when(eid.isNull(), "no position").when(eid < F.col("__last_del"), "erased").when(is_del | (eid == F.col("__first")), "accepted")
+               .when(after, F.when(F.col("event_type") == "update", "accepted").otherwise("user exists"))
+               .when(F.col("__last_del").isNotNull(), "user deleted").otherwise("user not found"))
+    return seen.join(first, "user_id", "left").select("event_id", "ts", "event_type", "user_id", outcome.alias("outcome"))
+
+
 def merge_patches(events: DataFrame, as_of, strict: bool = False, checkpoint: bool = False) -> DataFrame:
     """Accepted updates completed with the state they patch."""
     acc = accepted_versions(events, as_of, strict=strict, checkpoint=checkpoint)

@@ -7,23 +7,21 @@ the SCD2 dimension together with the *touched users' current rows only*, the
 touched users' recommendations are rebuilt for their new goal, and the
 dimension and fact are published together.
 
-State layout: every table is hash-bucketed by user (``BUCKETS`` buckets; size
-it so a bucket of the dimension stays around a few hundred MB). A micro-batch
-writes into a directory named by the batch id and then commits one small
-manifest (bucket -> directory for each table, plus the last committed batch
-id) by write-then-rename. Readers follow the manifest, so dimension and fact
-always switch together; a replayed batch id (restart after a crash) is
-skipped; a crash before the commit leaves the previous state untouched and
-the batch is re-run into the same directory.
-
-* ``dim``, ``fact``, ``hw``: copy-on-write per touched bucket (the touched
-  users' rows change; ``hw`` holds one high-water event id per user, so late
-  data is detected without reading the log).
-* ``log``: append-only. A batch adds one segment per touched bucket (work
-  proportional to the batch, not to the log). Erasure (E4) is logical on read
-  (``compact_event_log``: events before a user's last delete are dropped);
-  a bucket is rewritten physically only when it has collected
-  ``LOG_SEGMENTS_MAX`` segments, so the rewrite cost is amortised.
+State layout: ``streaming.store`` — change rows in hash buckets behind numbered
+commits. A micro-batch writes only the rows of the users it touches:
+
+* ``dim``: the expired row and the new versions of each touched user; a user whose
+  batch holds a delete gets an ``erase`` row before them (E4);
+* ``fact``: the ranked foods of each touched user for the new goal (R6);
+* ``log``: the accepted events (S11); ``hw``: newest event and last delete of each
+  touched user, so that late data are noticed without reading the log;
+* ``rejected``: events that validation refuses (E10-E12, E15) and records that are no
+  JSON object; ``refused``: valid events that the fold refuses (E13).
+
+A replayed batch id (restart after a crash) is skipped; a crash before the
+commit leaves the previous state untouched and the batch is run again into
+the same directory. Compaction and physical erasure are jobs of their own
+(``SnapshotStore.compact``, ``SnapshotStore.purge``).
 
 On a table format with MERGE, the same per-batch fold output feeds MERGE on
 the touched users instead.
@@ -31,129 +29,29 @@ the touched users instead.
 
 from __future__ import annotations
 
-import json
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tierflow.constants import FACT_REC_COLUMNS
 from tierflow.operators import recommend as rec
 from tierflow.operators.ordered import materialize
-from tierflow.operators.scd2 import DIM_COLUMNS, current_rows, fold
+from tierflow.operators.scd2 import DIM_COLUMNS, current_rows, event_outcomes, fold
 from tierflow.operators.validate import validate_events
-from tierflow.schemas import DIM_USER_PROFILE, PROFILE_EVENT
-from tierflow.sources.files import _fs, _read_text, _write_text, replace_file
-
-BUCKETS = 64
-LOG_SEGMENTS_MAX = 16
-
-FACT_SCHEMA = T.StructType([
-    T.StructField("user_id", T.StringType()),
-    T.StructField("food_name", T.StringType()),
-    T.StructField("goal_type", T.StringType()),
-    T.StructField("recommendation_score", T.DoubleType()),
-    T.StructField("recommendation_rank", T.IntegerType()),
-    T.StructField("recommendation_reason", T.StringType()),
-])
-
-LOG_SCHEMA = T.StructType(PROFILE_EVENT.fields + [
-    T.StructField("route", T.StringType()),
-    T.StructField("reject_reason", T.StringType()),
-    T.StructField("errors", T.StringType()),
-    T.StructField("is_valid", T.BooleanType()),
-])
-
-HW_SCHEMA = T.StructType([
-    T.StructField("user_id", T.StringType()),
-    T.StructField("hw_event_id", T.LongType()),
-])
-
-SCHEMAS = {"dim": DIM_USER_PROFILE, "fact": FACT_SCHEMA, "log": LOG_SCHEMA, "hw": HW_SCHEMA}
-APPEND_ONLY = {"log"}
-
-
-def bucket_of(user_id, buckets: int = BUCKETS):
-    c = F.col(user_id) if isinstance(user_id, str) else user_id
-    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
-
+from tierflow.streaming.store import BUCKETS, LOG_SCHEMA, SCHEMAS, SnapshotStore, bucket_of, compact_event_log
 
-class SnapshotStore:
-    """Bucketed tables under ``root`` published through one manifest file."""
+__all__ = ["BUCKETS", "LOG_SEGMENTS_MAX", "SnapshotStore", "apply_batch", "bucket_of", "compact_event_log", "dedup_events", "start"]
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-
-    @property
-    def manifest_path(self) -> str:
-        return f"{self.root}/_MANIFEST"
-
-    def manifest(self) -> dict:
-        text = _read_text(self.spark, self.manifest_path)
-        if not text:
-            return {"batch": -1, "buckets": self.buckets, "tables": {t: {} for t in SCHEMAS}}
-        found = json.loads(text)
-        if found.setdefault("buckets", self.buckets) != self.buckets:
-            raise ValueError(f"{self.root} was written with {found['buckets']} buckets, not {self.buckets}")
-        return found
-
-    def paths(self, table: str, buckets: list[int] | None = None, manifest: dict | None = None) -> list[str]:
-        m = manifest or self.manifest()
-        entries = m["tables"].get(table, {})
-        keep = None if buckets is None else {str(b) for b in buckets}
-        out = []
-        for b, vers in sorted(entries.items()):
-            if keep is not None and b not in keep:
-                continue
-            for ver in (vers if isinstance(vers, list) else [vers]):
-                if ver:
-                    out.append(f"{self.root}/{table}/v={ver}/bucket={b}")
-        return out
-
-    def read(self, table: str, buckets: list[int] | None = None, manifest: dict | None = None) -> DataFrame:
-        """The stored rows; for the log, the physical segments (see ``read_log``)."""
-        schema = SCHEMAS[table]
-        paths = self.paths(table, buckets, manifest)
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def read_log(self, buckets: list[int] | None = None, manifest: dict | None = None) -> DataFrame:
-        """The event log as the consumer rules define it: erased events removed."""
-        return compact_event_log(self.read("log", buckets, manifest))
-
-    def write(self, table: str, df: DataFrame, version: str) -> None:
-        # rebalance by bucket: few files per bucket, and AQE splits a bucket
-        # that a hot user makes too large instead of writing it from one task
-        (df.withColumn("bucket", bucket_of("user_id", self.buckets)).hint("rebalance", "bucket")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{table}/v={version}"))
+#: A bucket is compacted, after the batch, when it has as many segments.
+LOG_SEGMENTS_MAX = 16
 
-    def _written_buckets(self, table: str, version: str) -> set[int]:
-        """Bucket directories present under one version (one listing call)."""
-        fs, p = _fs(self.spark, f"{self.root}/{table}/v={version}")
-        if not fs.exists(p):
-            return set()
-        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-        return {int(n.split("=", 1)[1]) for n in names if n.startswith("bucket=")}
 
-    def commit(self, batch_id: int, version: str, touched: list[int], manifest: dict,
-               compacted: list[int] = ()) -> None:
-        new = json.loads(json.dumps(manifest))
-        for table in SCHEMAS:
-            entries = new["tables"].setdefault(table, {})
-            written = self._written_buckets(table, version)
-            for b in touched:
-                ver = version if b in written else None
-                if table in APPEND_ONLY:
-                    old = [] if b in compacted else [x for x in (entries.get(str(b)) or []) if x]
-                    entries[str(b)] = old + ([ver] if ver else [])
-                else:
-                    entries[str(b)] = ver
-        new["batch"] = batch_id
-        tmp = f"{self.manifest_path}.{version}.tmp"
-        _write_text(self.spark, tmp, json.dumps(new, sort_keys=True))
-        replace_file(self.spark, tmp, self.manifest_path)
+def _changes(table: str, rows: DataFrame, seq: int, op: str = "row") -> DataFrame:
+    """Rows, or users that are reset, as change rows."""
+    if op != "row":
+        rows = rows.select("user_id", *(F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields if f.name != "user_id"))
+    return rows.select(*(f.name for f in SCHEMAS[table].fields)).withColumns({"op": F.lit(op), "seq": F.lit(seq).cast("long")})
 
 
 def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: DataFrame | None, as_of,
@@ -161,81 +59,91 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
     """Fold one micro-batch of profile events into the store. Returns False
     when the batch was already committed (replay).
 
-    Late data: a user whose batch holds an event older than the user's
-    high-water event id is re-folded from the (logically compacted) event log
-    plus the batch, so arrival order never changes the result; other users
-    are folded incrementally on top of their current rows.
+    Late data: a user whose batch holds an event that is not newer than the user's
+    newest known one is folded anew from the event log plus the batch (and the row that a
+    batch load gave the user), so neither the order of arrival nor a repeated
+    delivery changes the result; other users are folded on top of their
+    current rows. Events from before a user's last delete are erased already and are dropped.
 
-    The dead-letter write and the log append do not depend on the fold; they
-    run as concurrent Spark jobs next to the dimension -> fact chain.
+    The writes of the tables run as concurrent Spark jobs.
     """
     manifest = store.manifest()
     if batch_id <= manifest["batch"]:
         return False
-    version = f"b{batch_id:010d}"
+    version, seq = f"b{batch_id:010d}", manifest["commit"] + 1
     v = validate_events(events, as_of).persist()
-    pool = ThreadPoolExecutor(max_workers=4)
+    pool = ThreadPoolExecutor(max_workers=6)
     try:
-        ok = v.filter(F.col("is_valid") & F.col("route").isin("create", "update", "delete")).select(
-            *[f.name for f in LOG_SCHEMA.fields])
-        touched_users = ok.select("user_id").distinct()
+        valid = F.col("is_valid") & F.col("route").isin("create", "update", "delete")
+        users = v.select("user_id", F.xxhash64("user_id").alias("user_hash")).distinct()
         # bounded by the bucket count, so reading it on the driver is cheap
-        touched = sorted(r[0] for r in touched_users.select(bucket_of("user_id", store.buckets).alias("b"))
-                         .distinct().collect())
-        side = [pool.submit(lambda: v.filter(~F.col("is_valid")).write.mode("overwrite")
-                            .parquet(f"{store.root}/rejects/batch={batch_id}"))]
-        compacted = [b for b in touched
-                     if len(manifest["tables"].get("log", {}).get(str(b)) or []) >= LOG_SEGMENTS_MAX - 1]
+        touched = sorted(r[0] for r in users.select(bucket_of("user_id", store.buckets).alias("b")).distinct().collect())
+        side = [pool.submit(store.write_index, users, version)]
         if touched:
-            side.append(pool.submit(_append_log, store, ok, version, compacted, manifest))
-            hw_old = store.read("hw", touched, manifest)
-            late = (ok.groupBy("user_id").agg(F.min("event_id").alias("__lo"))
-                    .join(hw_old, "user_id").filter(F.col("__lo") < F.col("hw_event_id")).select("user_id"))
-            base_dim = store.read("dim", touched, manifest)
+            ok = v.filter(valid).select(*[f.name for f in LOG_SCHEMA.fields])
+            marks = store.read("hw", touched, manifest, users.select("user_id")).drop("user_id")
+            ok = ok.withColumn("user_hash", F.xxhash64("user_id")).join(marks, "user_hash", "left")
+            ok = materialize(ok.filter("last_delete_id is null or event_id > last_delete_id").dropDuplicates(["user_id", "event_id"]))
+            per_user = materialize(_per_user(ok))
+            ok = ok.drop("user_hash", "hw_event_id", "last_delete_id")
+            side.append(pool.submit(store.write, "log", ok, version))
+            side.append(pool.submit(store.write, "hw", per_user, version))
+            touched_users = per_user.select("user_id")
+            late = per_user.filter("late").select("user_id")
             # usual case: nobody is late and the batch folds on top of the current rows
             has_late = not late.isEmpty()
+            base = current_rows(store.read("dim", touched, manifest, touched_users))
+            # every fold materialises its input once
             if has_late:
-                late = materialize(late)
-                base_dim = base_dim.join(late, "user_id", "left_anti")
-            # the fold materialises its input (batch events + touched users' current rows) once
-            new_dim = fold(ok.join(late, "user_id", "left_anti") if has_late else ok, as_of, strict=strict,
-                           base=base_dim, validated=True, checkpoint=True).select(*DIM_COLUMNS)
-            if has_late:
-                replay = store.read_log(touched, manifest).join(late, "user_id", "left_semi").unionByName(
-                    ok.join(late, "user_id", "left_semi"))
-                new_dim = new_dim.unionByName(fold(replay, as_of, strict=strict, validated=True, checkpoint=True)
-                                              .select(*DIM_COLUMNS))
-            # the fold result is materialised once; the dimension write and the
-            # recommendations of the touched users (which need only their new
-            # current rows) then run as concurrent jobs
+                base = base.join(late, "user_id", "left_anti")
+                known = store.read_log(touched, manifest, late).unionByName(ok.join(late, "user_id", "left_semi")).dropDuplicates(["user_id", "event_id"])
+                loaded = store.read("loaded", touched, manifest, late)
+                parts = [(materialize(ok.join(late, "user_id", "left_anti")), materialize(base)), (materialize(known), materialize(loaded))]
+            else:
+                parts = [(ok, materialize(base))]
+            new_dim, refused = None, None
+            for part, start_rows in parts:
+                rows = fold(part, as_of, strict=strict, base=start_rows, validated=True).select(*DIM_COLUMNS)
+                out = event_outcomes(part, as_of, strict=strict, base=start_rows, validated=True).filter("outcome not in ('accepted', 'erased')")
+                new_dim = rows if new_dim is None else new_dim.unionByName(rows)
+                refused = out if refused is None else refused.unionByName(out)
             new_dim = materialize(new_dim)
-            side.append(pool.submit(store.write, "dim", new_dim, version))
-            hw_new = (hw_old.unionByName(ok.select("user_id", F.col("event_id").alias("hw_event_id")))
-                      .groupBy("user_id").agg(F.max("hw_event_id").alias("hw_event_id")))
-            side.append(pool.submit(store.write, "hw", hw_new, version))
-            base_fact = store.read("fact", touched, manifest)
-            changed = touched_users.join(current_rows(new_dim).select("user_id", "goal_type"), "user_id", "left")
-            new_fact = rec.recommend_changed(base_fact, changed, foods, top=top).select(*FACT_REC_COLUMNS)
-            store.write("fact", new_fact, version)
+            erased = per_user.filter("last_delete_id is not null").select("user_id")
+            gone = per_user.filter("late and last_delete_id is null").select("user_id")
+
+            def change(table, rows):
+                return (_changes(table, rows, seq).unionByName(_changes(table, erased, seq, "erase"))
+                        .unionByName(_changes(table, gone, seq, "refold")))
+
+            side.append(pool.submit(store.write, "dim", change("dim", new_dim), version))
+            reasons = refused.select("event_id", "ts", "event_type", "user_id", F.col("outcome").alias("reason"), F.lit(None).cast("string").alias("raw_value"))
+            side.append(pool.submit(store.write, "refused", change("refused", reasons), version))
+            bad = v.filter(~valid).join(per_user.select("user_id", "last_delete_id"), "user_id", "left").filter("last_delete_id is null or event_id > last_delete_id")
+            raw = F.col("raw_value") if "raw_value" in v.columns else F.lit(None).cast("string")
+            bad = bad.select("event_id", "ts", "event_type", "user_id", F.col("errors").alias("reason"), raw.alias("raw_value"))
+            side.append(pool.submit(store.write, "rejected", _changes("rejected", bad, seq).unionByName(_changes("rejected", erased, seq, "erase")), version))
+            side.append(pool.submit(store.write, "loaded", _changes("loaded", erased, seq, "erase"), version))
+            changed = touched_users.join(current_rows(new_dim).select("user_id", "goal_type"), "user_id")
+            fresh = rec.recommend(changed, foods, top=top).select(*FACT_REC_COLUMNS)
+            # ranks that a user no longer has, and those of users without a profile, go with the reset
+            store.write("fact", _changes("fact", fresh, seq).unionByName(_changes("fact", touched_users, seq, "refold")), version)
         for f in side:
             f.result()
-        store.commit(batch_id, version, touched, manifest, compacted)
-        return True
+        store.commit(batch_id, version, touched, manifest)
     finally:
         pool.shutdown(wait=True)
         v.unpersist()
+    store.compact(LOG_SEGMENTS_MAX)
+    return True
 
 
-def _append_log(store: SnapshotStore, ok: DataFrame, version: str, compacted: list[int], manifest: dict) -> None:
-    """The batch's accepted events as a new log segment per touched bucket;
-    buckets that reached the segment limit are rewritten whole (old segments
-    plus the batch, erased events dropped) into the same version."""
-    out = ok
-    if compacted:
-        in_c = bucket_of("user_id", store.buckets).isin(compacted)
-        old = store.read("log", compacted, manifest)
-        out = ok.filter(~in_c).unionByName(compact_event_log(old.unionByName(ok.filter(in_c))))
-    store.write("log", out, version)
+def _per_user(ok: DataFrame) -> DataFrame:
+    """Newest event, last delete and lateness of each user of a batch; ``ok`` has
+    the user's marks from before (hw_event_id, last_delete_id)."""
+    return ok.groupBy("user_id", "user_hash").agg(
+        F.max("event_id").alias("newest"), F.max(F.when(F.col("event_type") == "delete", F.col("event_id"))).alias("deleted"),
+        (F.min("event_id") <= F.max("hw_event_id")).alias("late")).select(
+        "user_hash", "user_id", F.col("newest").alias("hw_event_id"), F.col("deleted").alias("last_delete_id"), F.coalesce("late", F.lit(False)).alias("late"))
 
 
 def start(stream: DataFrame, store: SnapshotStore, foods: DataFrame, as_of, checkpoint: str,
@@ -262,16 +170,3 @@ def dedup_events(stream: DataFrame, key: str = "event_id", ts: str = "ts", delay
             .withWatermark("__wts", delay)
             .dropDuplicatesWithinWatermark([key])
             .drop("__wts"))
-
-
-def compact_event_log(log: DataFrame) -> DataFrame:
-    """E4 for the log: events of a user before their last delete are erased;
-    the delete itself is kept as the user's event high-water mark (one
-    aggregate, partially combined map-side, and one join back on the user;
-    the id high-water mark of the id allocator is kept separately by
-    ``warehouse.high_water_mark``)."""
-    last_del = (log.filter(F.col("event_type") == "delete").groupBy("user_id")
-                .agg(F.max("event_id").alias("__last_del")))
-    return (log.join(last_del, "user_id", "left")
-            .filter(F.col("__last_del").isNull() | (F.col("event_id") >= F.col("__last_del")))
-            .drop("__last_del"))
