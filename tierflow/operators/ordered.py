@@ -185,3 +185,15 @@ def materialize(df: DataFrame) -> DataFrame:
 
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def row_index(df: DataFrame, order_by: Sequence[str], out: str) -> DataFrame:
+    """``df`` with ``out``: the row's place (from 0, gapless) by ``order_by``, which has no
+    ties. Rows are range-sorted, each partition is counted, the counts' running sums (one
+    row a partition) give the places."""
+    ordered = materialize(df.sort(*order_by).withColumns({"__pid": F.spark_partition_id(), "__mid": F.monotonically_increasing_id()}))
+    counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    place = F.col("__off") + F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.join(F.broadcast(offsets), "__pid").withColumn(out, place).drop("__pid", "__mid", "__off")

@@ -48,6 +48,7 @@ def _base_as_events(base: DataFrame) -> DataFrame:
         *[F.col(c).cast("string").alias(c) if c == "birth_date" else F.col(c) for c in PAYLOAD_FIELDS],
         F.col("user_profile_key").alias("base_key"),
         F.col("version_number").alias("base_version"),
+        F.col("age").alias("base_age"),
     )
 
 
@@ -55,7 +56,7 @@ def _valid_events(events: DataFrame, as_of, validated: bool) -> DataFrame:
     v = events if validated else validate_events(events, as_of)
     v = v.filter(F.col("route").isin("create", "update", "delete") & F.col("is_valid"))
     return v.select("event_id", "ts", "event_type", "user_id", *PAYLOAD_FIELDS,
-                    F.lit(None).cast("long").alias("base_key"), F.lit(None).cast("int").alias("base_version"))
+                    F.lit(None).cast("long").alias("base_key"), F.lit(None).cast("int").alias("base_version"), F.lit(None).cast("int").alias("base_age"))
 
 
 def accepted_versions(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
@@ -110,15 +111,15 @@ def accepted_versions(events: DataFrame, as_of, *, strict: bool = False, base: D
 
 
 def event_outcomes(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | None = None,
-                   validated: bool = False) -> DataFrame:
+                   validated: bool = False, deleted: DataFrame | None = None) -> DataFrame:
     """What becomes of every valid event: event_id, ts, event_type, user_id, outcome.
 
     ``accepted``; ``erased`` (before the user's last delete, E4); ``user exists``
     (a create of an open profile); ``user not found`` (an update before any profile was
     opened); ``user deleted`` (an update after a delete, before a new profile). The
     last delete and the first opening event of each user are aggregates, as in
-    the fold, so both agree. Users with a row in ``base`` are open from the start. Events
-    without a position can't be ordered: ``no position``.
+    the fold, so both agree. Users with a row in ``base`` are open from the start; those in
+    ``deleted`` (user_id) were deleted before the first event. Events without a position can't be ordered: ``no position``.
     """
     v = _valid_events(events, as_of, validated).select("event_id", "ts", "event_type", "user_id", "current_weight_lb", "target_weight_lb")
     is_del, eid = F.col("event_type") == "delete", F.col("event_id")
@@ -133,9 +134,13 @@ def event_outcomes(events: DataFrame, as_of, *, strict: bool = False, base: Data
         openers = openers.unionByName(known.join(last_del, "user_id", "left_anti"))
     first = openers.groupBy("user_id").agg(F.min("event_id").alias("__first"))
     after = F.coalesce(eid > F.col("__first"), F.lit(False))
+    before = F.col("__last_del").isNotNull()
+    if deleted is not None:
+        seen = seen.join(deleted.select("user_id", F.lit(True).alias("__gone")), "user_id", "left")
+        before = before | F.col("__gone").isNotNull()
     outcome = (F.when(eid.isNull(), "no position").when(eid < F.col("__last_del"), "erased").when(is_del | (eid == F.col("__first")), "accepted")
                .when(after, F.when(F.col("event_type") == "update", "accepted").otherwise("user exists"))
-               .when(F.col("__last_del").isNotNull(), "user deleted").otherwise("user not found"))
+               .when(before, "user deleted").otherwise("user not found"))
     return seen.join(first, "user_id", "left").select("event_id", "ts", "event_type", "user_id", outcome.alias("outcome"))
 
 
@@ -164,7 +169,7 @@ def fold(events: DataFrame, as_of, *, strict: bool = False, base: DataFrame | No
     dim = s.select(
         F.coalesce(F.col("base_key"), F.col("event_id")).alias("user_profile_key"),
         "user_id", "user_name", "gender", birth.alias("birth_date"),
-        age_calendar(birth, as_of).alias("age"),
+        F.when(F.col("base_key").isNotNull(), F.col("base_age")).otherwise(age_calendar(birth, as_of)).alias("age"),
         "height_cm", "current_weight_lb", "target_weight_lb",
         goal_type().alias("goal_type"),
         F.col("ts").alias("effective_start"),

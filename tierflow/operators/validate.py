@@ -38,13 +38,15 @@ def normalised_type(c: Column | str = "event_type") -> Column:
 def route_events(events: DataFrame) -> DataFrame:
     """Route each event to create / update / delete or to rejects.
 
-    Adds ``event_type`` (defaulted), ``route`` and ``reject_reason``.
+    Adds ``event_type`` (defaulted), ``route`` and ``reject_reason``. Decoded
+    records that are ``malformed`` are rejects too.
     """
     t = normalised_type()
     missing_user = F.col("user_id").isNull()
     known = t.isin(EVENT_TYPES)
-    route = F.when(missing_user | ~known, F.lit("rejected")).otherwise(t)
-    why = (F.when(missing_user, F.lit("missing user_id"))
+    broken = F.col("malformed") if "malformed" in events.columns else F.lit(False)
+    route = F.when(broken | missing_user | ~known, F.lit("rejected")).otherwise(t)
+    why = (F.when(broken, F.lit("malformed record")).when(missing_user, F.lit("missing user_id"))
            .when(~known, F.concat(F.lit("unknown event_type: "), t)))
     return events.withColumns({"event_type": t, "route": route, "reject_reason": why})
 

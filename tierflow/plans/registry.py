@@ -21,7 +21,7 @@ from tierflow.operators import recommend as rec
 from tierflow.operators import scd2, validate
 from tierflow.operators import warehouse as wh
 from tierflow.operators.ordered import materialize
-from tierflow.plans import medallion, reports
+from tierflow.plans import medallion, reports, warehouse_load
 from tierflow.plans import oracle as O
 from tierflow.schemas import PROFILE_EVENT
 from tierflow.session import shared_dir
@@ -699,6 +699,108 @@ def q_stream_fact_final(spark, sf_dir):
     return store.read("fact").select(*FACT_REC_COLUMNS)
 
 
+def _records(spark, sf_dir):
+    """Profile events as a topic holds them: JSON without id and time; every 50th
+    event is followed by a record that is no JSON object."""
+    ev = profile_events(spark, sf_dir)
+    place = [F.pmod(F.xxhash64("user_id"), F.lit(4)).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp")]
+    good = ev.select(F.to_json(F.struct(*[c for c in ev.columns if c not in ("event_id", "ts")])).alias("value"), *place)
+    bad = ev.filter("event_id % 50 = 0").select(F.concat(F.lit("{broken "), F.col("event_id").cast("string")).alias("value"), F.lit(9).alias("partition"), *place[1:])
+    return good.unionByName(bad)
+
+
+#: Order in which fifths of the topic arrive.
+ARRIVAL = (1, 0, 3, 2, 4)
+
+
+def run_topic_stream(spark, sf_dir, root=None, load=False):
+    """The topic's records in five batches, out of order, each with a tenth of the one
+    before delivered again; returns the store. ``load``: after a batch load of the users."""
+    root = root or shared_dir(spark, "topic_stream", _uuid.uuid4().hex[:10])
+    records = materialize(_records(spark, sf_dir))
+    last = records.agg(F.max("offset")).first()[0] or 0  # one number
+    store = profile_stream.SnapshotStore(spark, f"{root}/state", buckets=16)
+    foods = medallion.silver_foods(spark, sf_dir)
+    if load:
+        users = medallion.enriched_users(spark, sf_dir)
+        warehouse_load.load(store, foods, users, rec.recommend(users, foods), adapters.RUN_TS)
+    fifth = F.floor(F.col("offset") * 5 / (last + 1))
+    for at, part in enumerate(ARRIVAL):
+        again = (fifth == ARRIVAL[at - 1]) & (F.col("offset") % 10 == 3) if at else F.lit(False)
+        records.filter((fifth == part) | again).write.mode("append").parquet(f"{root}/topic")
+        q = profile_stream.start_topic(envelope.read_record_files(spark, f"{root}/topic"), store, foods, adapters.AS_OF, f"{root}/checkpoint")
+        q.awaitTermination()
+    return store
+
+
+@register("stream_json_events", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + f" SELECT {', '.join(DIM_OUT)} FROM dim")
+def q_stream_json_events(spark, sf_dir):
+    """Topic records without id or time, out of order and redelivered, to the same dimension."""
+    return run_topic_stream(spark, sf_dir).read("dim").select(*DIM_OUT)
+
+
+@register("fold_rejects", O.with_(O.EVENTS, O.VALIDATED, O.FOLD, O.OUTCOMES) + O.REFUSED)
+def q_fold_rejects(spark, sf_dir):
+    """Valid events that the fold refuses, with the reason."""
+    out = scd2.event_outcomes(event_log(spark, sf_dir), adapters.AS_OF).filter("outcome not in ('accepted', 'erased')")
+    return out.select("event_id", "user_id", "event_type", F.col("outcome").alias("reason"))
+
+
+@register("stream_refused", O.with_(O.EVENTS, O.VALIDATED, O.FOLD, O.OUTCOMES) + O.REFUSED)
+def q_stream_refused(spark, sf_dir):
+    """E13 / E15 in the stream: the refused events it keeps, out of order and with redeliveries."""
+    place = F.col("event_id").bitwiseAND(F.lit((1 << envelope.OFFSET_BITS) - 1))
+    return run_topic_stream(spark, sf_dir).read("refused").select(place.alias("event_id"), "user_id", "event_type", "reason")
+
+
+@register("stream_after_load", O.with_(*O.FOODS_CHAIN, O.USERS, O.EVENTS, O.VALIDATED, O.LOADED, O.FOLD.replace("FROM validated", "FROM loaded_and_events")) + f"""
+ SELECT {', '.join('CASE WHEN user_profile_key = -1 THEN b.age ELSE d.age END AS age' if c == 'age' else f'd.{c}' for c in DIM_OUT)}
+ FROM dim d LEFT JOIN enriched b USING (user_id)""")
+def q_stream_after_load(spark, sf_dir):
+    """A batch load, then the event stream on the same dimension."""
+    return run_topic_stream(spark, sf_dir, load=True).read("dim").select(*DIM_OUT)
+
+
+@register("warehouse_run", O.with_(*O.FOODS_CHAIN, O.USERS, O.TOP_USERS) + """
+ SELECT t.user_id, t.food_name, t.goal_type, t.recommendation_score, t.recommendation_rank, t.recommendation_reason,
+   e.current_weight_lb, 1 AS version_number, (SELECT count(*) FROM silver) AS dim_food_rows FROM top_u t JOIN enriched e USING (user_id)""")
+def q_warehouse_run(spark, sf_dir):
+    """Raw files to the warehouse with all gates; the loaded facts with their users."""
+    root = shared_dir(spark, "warehouse_run", _uuid.uuid4().hex[:10])
+    medallion.run_batch(spark, adapters.raw_foods(adapters.table(spark, sf_dir, "part")), adapters.users(adapters.table(spark, sf_dir, "customer")), f"{root}/lake")
+    store = profile_stream.SnapshotStore(spark, f"{root}/warehouse")
+    warehouse_load.load_published(spark, f"{root}/lake", store, adapters.RUN_TS)
+    foods = store.read("food").agg(F.count(F.lit(1)).alias("dim_food_rows"))
+    users = store.read("dim").filter("is_current").select("user_id", "current_weight_lb", "version_number")
+    return store.read("fact").select(*FACT_REC_COLUMNS).join(users, "user_id").join(F.broadcast(foods), F.lit(True))
+
+
+@register("erased_files", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + """,
+away AS (SELECT user_id FROM ok GROUP BY user_id HAVING max(event_id) = max(CASE WHEN event_type = 'delete' THEN event_id END))
+SELECT t.table_name, (SELECT count(*) FROM away) > 0 AS found_before, 0 AS rows_left, (SELECT count(*) FROM dim) AS dim_rows
+FROM (VALUES ('dim'), ('fact'), ('log'), ('refused'), ('rejected'), ('hw')) t(table_name)""")
+def q_erased_files(spark, sf_dir):
+    """E4 on disk: rows of deleted users in any file of the store, before and after the purge."""
+    store = run_topic_stream(spark, sf_dir)
+    tables = ("dim", "fact", "log", "refused", "rejected", "hw")
+    away = materialize(store.read("hw").filter("hw_event_id = last_delete_id").select("user_id", "last_delete_id"))
+
+    def held():
+        out = None
+        for t in tables:
+            rows = store.files(t).withColumnRenamed("last_delete_id", "mark").join(away, "user_id")
+            if "event_id" in rows.columns:  # what a user sent after the delete is not erased by it
+                rows = rows.filter("event_id <= last_delete_id")
+            one = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n")
+            out = one if out is None else out.unionByName(one)
+        return materialize(out)
+
+    before = held().agg(F.max(F.col("n") > 0).alias("found_before"))
+    store.purge()
+    sizes = before.join(store.read("dim").agg(F.count(F.lit(1)).alias("dim_rows")), F.lit(True))  # one row each
+    return held().select("table_name", F.col("n").alias("rows_left")).join(F.broadcast(sizes), F.lit(True))
+
+
 @register("stream_dedup", """
 SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) WHERE rn = 1""")
