@@ -40,6 +40,10 @@ TOKENS = 60_000
 BINS = 2
 #: Bits (2 to this power) that mark the frequent words or pairs: at most 16 MB go to each task.
 BITS = 27
+#: Phrases (with repeats) that are combined by sorting before they go to the tries.
+PENDING = 400_000
+#: Bytes of text whose words are counted in one step.
+WORD_STEP = 2 << 20
 #: Words that a task remembers as rare.
 RARE = 300_000
 _SHIFTS = (48, 32, 16, 0)
@@ -99,7 +103,7 @@ def _count_words(seed: int, budget: int):
         for batch in batches:
             for lang, part in _by_lang(batch):
                 own = counts.setdefault(lang, {})
-                for _, _, texts in text_slices(part, "text"):
+                for _, _, texts in text_slices(part, "text", WORD_STEP):
                     got = pieces(texts)[0].value_counts()
                     for w, n in zip(got.field("values").to_pylist(), got.field("counts").to_pylist()):
                         if w in own:
@@ -267,6 +271,15 @@ def _count_phrases(seed: int, bins: int, entries: int, frequent, pairs=None):
 
     def run(batches):
         tries, held, numbers = {}, 0, _Numbers(seed, frequent.value)
+        pending, waiting = {}, 0
+
+        def settle():
+            """Bring the pending phrases into the tries."""
+            nonlocal held, waiting
+            for lang, parts in pending.items():
+                held += tries.setdefault(lang, HatTrie()).add(*np.unique(np.concatenate(parts), return_counts=True))
+            pending.clear()
+            waiting = 0
 
         def spill(all_of_it):
             """Empty the tries, or their largest subtrees down to half the budget."""
@@ -299,6 +312,7 @@ def _count_phrases(seed: int, bins: int, entries: int, frequent, pairs=None):
                         known = coded.dictionary.to_pylist()
                         new = numbers.missing(lang, known)
                         if len(numbers.names) + len(new) > VOCABULARY:
+                            settle()
                             if found := spill(True):
                                 yield rows(found)
                             tries.clear()
@@ -310,9 +324,13 @@ def _count_phrases(seed: int, bins: int, entries: int, frequent, pairs=None):
                         ids = np.concatenate((number[coded.indices.to_numpy(zero_copy_only=False)], np.zeros(3, np.uint64)))
                         where = np.concatenate((piece[lo:lo + len(coded)], np.full(3, -1)))
                         got = keys(ids, where, hi - lo, mark, np.array(numbers.names, np.uint64))
-                        held += tries.setdefault(lang, HatTrie()).add(*np.unique(got, return_counts=True))
+                        pending.setdefault(lang, []).append(got)
+                        waiting += len(got)
+                        if waiting > PENDING:
+                            settle()
                         if held > entries:
                             yield rows(spill(False))
+        settle()
         if found := spill(True):
             yield rows(found)
     return run
