@@ -719,7 +719,7 @@ def run_topic_stream(spark, sf_dir, root=None, load=False):
     root = root or shared_dir(spark, "topic_stream", _uuid.uuid4().hex[:10])
     records = materialize(_records(spark, sf_dir))
     last = records.agg(F.max("offset")).first()[0] or 0  # one number
-    store = profile_stream.SnapshotStore(spark, f"{root}/state", buckets=16)
+    store = profile_stream.SnapshotStore(spark, f"{root}/state", buckets=4)
     foods = medallion.silver_foods(spark, sf_dir)
     if load:
         users = medallion.enriched_users(spark, sf_dir)

@@ -112,20 +112,16 @@ def apply_batch(store: SnapshotStore, events: DataFrame, batch_id: int, foods: D
                 side.append(pool.submit(store.write, "loaded", _changes("loaded", erased, seq, "erase"), version))
             touched_users = per_user.select("user_id")
             base = current_rows(store.read("dim", touched, manifest, touched_users))
-            # usual case: nobody is late and the batch folds on top of the current rows
-            parts = [(ok, keep(base))]
-            if any_late:
+            part = ok
+            if any_late:  # their whole log on the row that a load gave them, the others' batch on their current rows
                 late = per_user.filter("late").select("user_id")
                 known = store.read_log(touched, manifest, late).unionByName(ok.join(late, "user_id", "left_semi")).dropDuplicates(["user_id", "event_id"])
-                loaded = store.read("loaded", touched, manifest, late)
-                parts = [(keep(ok.join(late, "user_id", "left_anti")), keep(base.join(late, "user_id", "left_anti"))), (keep(known), keep(loaded))]
+                part = keep(ok.join(late, "user_id", "left_anti").unionByName(known))
+                base = base.join(late, "user_id", "left_anti").unionByName(store.read("loaded", touched, manifest, late))
+            base = keep(base)
+            new_dim = fold(part, as_of, strict=strict, base=base, validated=True).select(*DIM_COLUMNS)
             deleted = per_user.filter("was_deleted").select("user_id")
-            new_dim, refused = None, None
-            for part, start_rows in parts:
-                rows = fold(part, as_of, strict=strict, base=start_rows, validated=True).select(*DIM_COLUMNS)
-                out = event_outcomes(part, as_of, strict=strict, base=start_rows, validated=True, deleted=deleted).filter("outcome not in ('accepted', 'erased')")
-                new_dim = rows if new_dim is None else new_dim.unionByName(rows)
-                refused = out if refused is None else refused.unionByName(out)
+            refused = event_outcomes(part, as_of, strict=strict, base=base, validated=True, deleted=deleted).filter("outcome not in ('accepted', 'erased')")
             reasons = refused.select("event_id", "ts", "event_type", "user_id", F.col("outcome").alias("reason"), F.lit(None).cast("string").alias("raw_value"))
             side.append(pool.submit(store.write, "refused", change("refused", reasons), version))
             new_dim = materialize(new_dim)
