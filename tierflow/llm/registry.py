@@ -62,13 +62,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(pii.pii_spans(_table(spark, sf_dir, "documents")))
+    got = pii.digest(pii.pii_spans(_table(spark, sf_dir, "documents")))
+    first = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    return got.select(*first, *(c for c in got.columns if c not in first))
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = ngram_lm.fit(docs.filter(~ngram_lm.held_out(F.col("doc_id"))), least=1)
-    return ngram_lm.lm_scores(docs, model).withColumn("held_out", ngram_lm.held_out(F.col("doc_id")))
+    got = ngram_lm.lm_scores(docs, model)
+    return got.select("doc_id", ngram_lm.held_out(F.col("doc_id")).alias("held_out"), *(c for c in got.columns if c != "doc_id"))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
