@@ -600,7 +600,7 @@ def q_dq_report(spark, sf_dir):
           + O.dq_sql("gold_recommendations_check", "top_u", GOLD_CHECKS))
 def q_dq_gold_report(spark, sf_dir):
     """The gold gate over all users' top-10."""
-    return dq.run_checks(top10(spark, sf_dir), _checks(GOLD_CHECKS), "gold_recommendations_check")
+    return dq.run_checks(top10(spark, sf_dir), _checks(GOLD_CHECKS), "gold_recommendations_check", fingerprints=True)
 
 
 @register("dq_referential", O.with_(*O.WAREHOUSE_CHAIN) + """
