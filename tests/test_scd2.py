@@ -175,3 +175,10 @@ def test_backfill_history(spark):
     assert [(r.version_number, r.current_weight_lb, r.is_current) for r in out] == [
         (1, 220.0, False), (2, 215.0, False), (3, 199.0, True)]
     assert out[0].effective_end == out[1].effective_start
+
+
+def test_invariants_keep_rows_without_user(spark):
+    dim = spark.createDataFrame([(None, 1, "2024-01-01", None, True, 1), (None, 2, "2024-02-01", None, True, 2), ("", 3, "2024-01-01", None, True, 1), ("u", 4, "2024-01-01", None, True, None)],
+                                "user_id string, user_profile_key long, effective_start string, effective_end string, is_current boolean, version_number int")
+    dim = dim.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("effective_start", "effective_end")})
+    assert {tuple(r) for r in scd2.invariant_violations(dim).collect()} == {(None, 2, 2, 1, 0), ("u", 1, 1, 0, 1)}

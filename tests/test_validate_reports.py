@@ -88,3 +88,14 @@ def test_report_fans_out_and_best_serving(spark):
     best = reports.recommendation_report(fact, dim, foods, best_serving_only=True).collect()
     assert len(best) == 1 and best[0].calories_kcal == 50.0
     assert set(food_cols) <= set(best[0].asDict())
+
+
+def test_bulk_search_equals_brute_force(spark):
+    people = [("U001", "Anna Bell", True), ("U012", "bella", True), ("U112", None, True), (None, "ANNA", True), ("U112", None, True), ("U9", "gone bell", False), ("", "", True)]
+    dim = spark.createDataFrame(people, "user_id string, user_name string, is_current boolean")
+    terms = ["bell", "BELL", "a", "an", "", None, "u1", "112", "anna b", "zzz", "nna", "nosuchterm", "U001"]
+    got = reports.search_users_by_terms(dim, spark.createDataFrame([(t,) for t in terms], "term string"))
+    want = [(t, u, n) for t in {t.lower() for t in terms if t is not None} for u, n, now in people
+            if now and (t in (u or "").lower() or t in (n or "").lower())]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert reports.search_users_by_terms(dim, spark.createDataFrame([], "term string")).count() == 0

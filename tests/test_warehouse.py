@@ -60,3 +60,12 @@ def test_jdbc_append_replace_roundtrip(spark):
     wio.replace(df, t)
     assert sorted(r.FOOD_NAME if "FOOD_NAME" in r else r.food_name for r in wio.read(spark, t).collect()) == ["a", "b"]
     assert wio.existing_keys(spark, t, "food_name").count() == 2
+
+
+def test_ids_beyond_64_bits_move_the_mark(spark):
+    ids = spark.createDataFrame([("U005",), ("U99999999999999999999",), ("U" + "9" * 60,), ("V1",), (None,)], "user_id string")
+    mark = wh.high_water_mark(wh.known_ids(ids))
+    got = wh.allocate_ids(spark.createDataFrame([(1,), (2,)], "k long"), ["k"], mark).orderBy("k").collect()
+    assert [r.user_id for r in got] == ["U100000000000000000000", "U100000000000000000001"]
+    none = wh.allocate_ids(spark.createDataFrame([(1,)], "k long"), ["k"], wh.high_water_mark(ids.limit(0))).first()
+    assert none.user_id == "U001"

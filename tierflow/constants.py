@@ -88,7 +88,7 @@ FIELD_MESSAGES = {
 PROGRESS_STATES = ["initial", "improving", "not_improving", "unchanged"]
 
 USER_ID_PATTERN = "^U[0-9]+$"
-USER_ID_FORMAT = "U%03d"
+USER_ID_PREFIX, USER_ID_DIGITS = "U", 3
 
 # warehouse numeric type
 WAREHOUSE_DECIMAL = (10, 2)

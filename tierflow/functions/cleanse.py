@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.constants import (FIRST_NUMBER_PATTERN, RAW_NUMERIC_COLUMNS,
-                                RAW_TEXT_COLUMNS, SILVER_NAMES, USER_ID_FORMAT,
+                                RAW_TEXT_COLUMNS, SILVER_NAMES, USER_ID_DIGITS, USER_ID_PREFIX,
                                 USER_ID_PATTERN, WAREHOUSE_DECIMAL)
 
 
@@ -91,15 +91,18 @@ def is_user_id(c: Column | str) -> Column:
 
 
 def user_id_number(c: Column | str) -> Column:
-    """C17: numeric part of a ``U<digits>`` id (null for other shapes)."""
+    """C17: numeric part of a ``U<digits>`` id as a decimal of 38 digits (null for
+    other shapes, and for longer numbers, which no allocated id can reach)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.when(is_user_id(col), F.substring(col, 2, 1 << 20).try_cast("long"))
+    digits = F.regexp_replace(F.substring(col, 2, 1 << 20), "^0+(?=[0-9])", "")
+    return F.when(is_user_id(col) & (F.length(digits) <= 38), digits.try_cast("decimal(38,0)"))
 
 
 def format_user_id(n: Column | str) -> Column:
     """``U`` + at least three digits (widens after 999)."""
     col = F.col(n) if isinstance(n, str) else n
-    return F.format_string(USER_ID_FORMAT, col)
+    digits = col.cast("string")  # integers of any width; format_string takes 64 bits at most
+    return F.concat(F.lit(USER_ID_PREFIX), F.when(F.length(digits) < USER_ID_DIGITS, F.lpad(digits, USER_ID_DIGITS, "0")).otherwise(digits))
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:

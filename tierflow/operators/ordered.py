@@ -68,7 +68,9 @@ def ordered_scan(
     (exact bound for unique integer ids). ``block="range"`` derives the blocks
     from a sampled range partitioning on (key, order): bounded blocks for any
     order type, at the price of one more shuffle and a checkpoint of the
-    block assignment.
+    block assignment. ``block="sketch"`` (first ordering column a number, date or time) cuts the
+    hot keys alone, at edges from a quantile sketch (``hot_key_edges``); the rows are
+    read again instead of copied.
 
     * ``row_number``: 1-based position within the key.
     * ``running_sum``: {out: expr} — sum of expr over rows up to and including this one.
@@ -99,6 +101,13 @@ def ordered_scan(
         width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         d = materialize(df.repartitionByRange(width, *key, *order)
                         .withColumns({_BLK: F.spark_partition_id().cast("long"), **inputs}))
+    elif isinstance(block, str) and block == "sketch":
+        value = order_value(df, order[0])
+        edges = hot_key_edges(df, key, value)
+        place = F.size(F.filter("__edges", lambda e: e < F.col("__val"))).cast("long")
+        placed = F.when(F.col("__val").isNull(), NULL_BLOCK).when(F.col("__edges").isNull(), 0).otherwise(place)
+        d = (df.withColumn("__val", value).join(F.broadcast(edges), key, "left")
+             .withColumns({_BLK: placed, **inputs}).drop("__val", "__edges"))
     else:
         if block is None and not reuse:
             block = F.floor(F.col(order[0]) / F.lit(block_size))
@@ -171,6 +180,40 @@ def ordered_scan(
     return joined.select(*keep, *[v.alias(k) for k, v in outs.items()], *extra)
 
 
+#: Most blocks of one key under ``block="sketch"``.
+MAX_BLOCKS = 4096
+
+
+def order_value(df: DataFrame, column: str) -> Column:
+    """A number that orders like ``column`` (a number, date or time), not always strictly."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.col(column).cast("double")
+
+
+def hot_key_edges(df: DataFrame, key: Sequence[str], value: Column) -> DataFrame:
+    """(key, __edges): for the keys with more rows than a mean shuffle partition, the
+    ascending inner edges that cut them into blocks of about that size (never more
+    than ``MAX_BLOCKS``), from a quantile sketch of ``value`` over those keys' rows.
+
+    There are fewer such keys than shuffle partitions, and about twice as many
+    edges at most, whatever the table's size; counts and sketches are combined
+    before they are shuffled. The result is materialised, as a sketch may differ from run to run. Rows of
+    one key with one value share a block.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = min(width, MAX_BLOCKS)
+    total = df.count()
+    hot = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") * F.lit(width) > F.lit(total))
+    cuts = F.least(F.ceil(F.col("__n") * F.lit(width) / F.lit(max(total, 1))), F.lit(blocks)).cast("int")
+    grid = [i / blocks for i in range(1, blocks)] or [0.5]
+    rows = df.select(*key, value.alias("__val")).join(F.broadcast(hot), list(key))
+    sketch = rows.groupBy(*key).agg(F.first("__n").alias("__n"), F.percentile_approx("__val", grid, 10 * blocks).alias("__q"))
+    chosen = F.transform(F.sequence(F.lit(1), cuts - 1), lambda j: F.element_at("__q", F.greatest(F.floor(j * blocks / cuts), F.lit(1)).cast("int")))
+    return materialize(sketch.filter((cuts > 1) & F.col("__q").isNotNull()).select(*key, F.array_distinct(chosen).alias("__edges")))
+
+
 def time_block(ts: Column | str, width_seconds: int) -> Column:
     """Monotone block id for a timestamp ordering (``width_seconds`` wide)."""
     return F.floor(F.unix_micros(_col(ts).cast("timestamp")) / F.lit(width_seconds * 1_000_000))

@@ -231,10 +231,11 @@ def as_of_versions(facts: DataFrame, dim: DataFrame, ts_col: str = "ts",
     that started at or before the fact's time (and is still open or ends
     after it). Facts and version starts are merged into one ordered stream
     per user and the last version key is carried forward — linear work, no
-    pairing of every fact with every version of its user. Blocks come from a
-    sampled range partitioning on (user, time), so a hot user is spread over
-    many tasks whatever its time profile; ``block_seconds`` switches to fixed
-    time buckets instead (one shuffle less, bounded per user and bucket).
+    pairing of every fact with every version of its user. A hot user is cut
+    into blocks at edges from a quantile sketch of that user's times, so it is
+    spread over many tasks whatever its time profile, and the facts are scanned
+    again instead of copied; ``block_seconds`` switches to fixed
+    time buckets instead (bounded per user and bucket).
     """
     # a fact without user or time has no version; it stays, with a null key
     known = F.col("user_id").isNotNull() & F.col(ts_col).isNotNull()
@@ -249,7 +250,7 @@ def as_of_versions(facts: DataFrame, dim: DataFrame, ts_col: str = "ts",
     vcols = vcols.withColumns({c: F.lit(None).cast(facts.schema[c].dataType) for c in fact_cols})
     both = f.unionByName(vcols)
     # facts never carry a value, so ties among them need no order; versions tie on their key
-    blocks = "range" if block_seconds is None else time_block("__t", block_seconds)
+    blocks = "sketch" if block_seconds is None else time_block("__t", block_seconds)
     s = ordered_scan(both, ["user_id"], ["__t", "__side", "__tie"], block=blocks, carry={"__cur": "__ver"})
     valid = F.col("__cur").isNotNull() & (F.col("__cur.end").isNull() | (F.col("__cur.end") > F.col("__t")))
     return (s.filter(F.col("__side") == 1)
@@ -263,7 +264,7 @@ def backfill_history(current: DataFrame, readings: DataFrame, block_seconds: int
     ``current``: one dimension row per user; ``readings``: user_id, reading_id,
     effective_start, current_weight_lb. Every reading becomes an expired version
     carrying the current row's other fields; versions are renumbered by start,
-    each ends where the next starts (ordered scan, range-partitioned blocks).
+    each ends where the next starts (ordered scan, hot users cut at edges from a sketch).
     """
     attrs = [c for c in current.columns if c not in
              ("current_weight_lb", "effective_start", "effective_end", "is_current", "version_number",
@@ -274,7 +275,7 @@ def backfill_history(current: DataFrame, readings: DataFrame, block_seconds: int
     cur = current.select(*attrs, "current_weight_lb", "effective_start",
                          F.lit(None).cast("long").alias("__src"), F.lit(1).alias("__cur"))
     both = hist.unionByName(cur)
-    blocks = "range" if block_seconds is None else time_block("effective_start", block_seconds)
+    blocks = "sketch" if block_seconds is None else time_block("effective_start", block_seconds)
     s = ordered_scan(both, ["user_id"], ["effective_start", "__cur", "__src"], block=blocks,
                      row_number="__v", lead={"effective_end": "effective_start"})
     return s.select(*attrs, "current_weight_lb", goal_type().alias("goal_type"), "effective_start",
@@ -283,15 +284,17 @@ def backfill_history(current: DataFrame, readings: DataFrame, block_seconds: int
 
 
 def invariant_violations(dim: DataFrame) -> DataFrame:
-    """E17 per user: current-row count, versions, gaps in the chain, numbering holes."""
-    s = ordered_scan(dim, ["user_id"], ["version_number"], lead={"__next_start": "effective_start"},
+    """E17 per user: current-row count, versions, gaps in the chain, numbering holes.
+    Rows without a user are one chain of their own, reported under a null user."""
+    named = dim.withColumns({"__known": F.col("user_id").isNotNull(), "user_id": F.coalesce("user_id", F.lit(""))})
+    s = ordered_scan(named, ["user_id", "__known"], ["version_number", "effective_start", "user_profile_key"], lead={"__next_start": "effective_start"},
                      row_number="__pos")
     per_row = s.select(
-        "user_id",
+        F.when(F.col("__known"), F.col("user_id")).alias("user_id"),
         F.col("is_current").cast("int").alias("cur"),
         (F.col("__next_start").isNotNull() & ~F.col("effective_end").eqNullSafe(F.col("__next_start")))
         .cast("int").alias("gap"),
-        (F.col("__pos") != F.col("version_number")).cast("int").alias("hole"),
+        (~F.col("__pos").eqNullSafe(F.col("version_number").cast("long"))).cast("int").alias("hole"),
     )
     return (per_row.groupBy("user_id")
             .agg(F.sum("cur").alias("current_rows"), F.count(F.lit(1)).alias("versions"),

@@ -12,6 +12,7 @@ truncated and reloaded.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -108,5 +109,5 @@ def allocate_ids(requests: DataFrame, order_by: list[str], start: DataFrame,
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     numbered = ordered.join(F.broadcast(offsets), "__pid")
-    idx = F.lit(high_water) + F.col("__off") + pos + 1
+    idx = F.lit(Decimal(high_water)).cast("decimal(38,0)") + (F.col("__off") + pos + 1).cast("decimal(20,0)")
     return numbered.withColumn(id_col, format_user_id(idx)).drop("__pid", "__mid", "__off")

@@ -296,6 +296,46 @@ def q_dq_scd2_invariants(spark, sf_dir):
     return scd2.invariant_violations(dimension(spark, sf_dir))
 
 
+@register("dq_scd2_broken", O.with_(O.USERS, O.EVENTS, O.VALIDATED, O.FOLD) + f""",
+two AS (SELECT user_id, user_profile_key, effective_start, effective_end, is_current, version_number FROM dim
+        UNION ALL SELECT user_id, NULL, {O.RUN_TS}, NULL, TRUE, 1 FROM enriched),
+chk AS (SELECT *, lead(effective_start) OVER w AS nxt, row_number() OVER w AS pos FROM two
+        WINDOW w AS (PARTITION BY user_id ORDER BY version_number, effective_start, user_profile_key))
+SELECT user_id, CAST(SUM(CAST(is_current AS INTEGER)) AS BIGINT) AS current_rows, COUNT(*) AS versions,
+       CAST(SUM(CASE WHEN nxt IS NOT NULL AND effective_end IS DISTINCT FROM nxt THEN 1 ELSE 0 END) AS BIGINT) AS chain_gaps,
+       CAST(SUM(CASE WHEN pos IS DISTINCT FROM version_number THEN 1 ELSE 0 END) AS BIGINT) AS numbering_holes
+FROM chk GROUP BY user_id
+HAVING SUM(CAST(is_current AS INTEGER)) > 1 OR SUM(CASE WHEN nxt IS NOT NULL AND effective_end IS DISTINCT FROM nxt
+       THEN 1 ELSE 0 END) > 0 OR SUM(CASE WHEN pos IS DISTINCT FROM version_number THEN 1 ELSE 0 END) > 0""")
+def q_dq_scd2_broken(spark, sf_dir):
+    """E17 on a dimension that is broken: the batch users appended to the event-built one without the loader's check."""
+    columns = ["user_id", "user_profile_key", "effective_start", "effective_end", "is_current", "version_number"]
+    users = medallion.enriched_users(spark, sf_dir).select(
+        "user_id", F.lit(None).cast("long").alias("user_profile_key"), F.lit(adapters.RUN_TS).cast("timestamp_ntz").alias("effective_start"),
+        F.lit(None).cast("timestamp_ntz").alias("effective_end"), F.lit(True).alias("is_current"), F.lit(1).alias("version_number"))
+    return scd2.invariant_violations(dimension(spark, sf_dir).select(columns).union(users))
+
+
+@register("dq_orphan_facts", O.with_(*O.FOODS_CHAIN, O.USERS, O.EVENTS, O.VALIDATED, O.FOLD, O.TOP_USERS) + """
+ SELECT 'warehouse_pre_load_check' AS stage, 'referential_integrity' AS "check", 'user_id' AS "column",
+        CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS BIGINT) AS observed,
+        'fk=user_id -> pk=user_id orphans=' || n AS detail
+ FROM (SELECT COUNT(*) AS n FROM top_u f LEFT JOIN (SELECT DISTINCT user_id FROM dim) d ON f.user_id = d.user_id
+       WHERE d.user_id IS NULL)""")
+def q_dq_orphan_facts(spark, sf_dir):
+    """D14 / J6 where there are orphans: recommendations of batch users against the event-built dimension, before the load."""
+    return dq.referential_report(medallion.layers(spark, sf_dir).recommendations, dimension(spark, sf_dir), "user_id", "user_id", "warehouse_pre_load_check")
+
+
+@register("dq_users_awaiting_recs", O.with_(O.USERS, O.EVENTS, O.VALIDATED, O.FOLD) + """
+ SELECT user_id, user_name FROM enriched e WHERE NOT EXISTS (SELECT 1 FROM dim d WHERE d.is_current AND d.user_id = e.user_id)""")
+def q_dq_users_awaiting_recs(spark, sf_dir):
+    """D15 where there are such users: batch users against the recommendations of the stream's current users."""
+    top = rec.top_k_by_goal(medallion.silver_foods(spark, sf_dir))
+    streamed = rec.fact_rows(rec.recommend(scd2.current_rows(dimension(spark, sf_dir)).select("user_id", "goal_type"), None, top=top))
+    return dq.users_without_recommendations(medallion.enriched_users(spark, sf_dir).select("user_id", "user_name"), streamed)
+
+
 # --------------------------------------------------------------------------- warehouse, reports, DQ
 
 
@@ -507,6 +547,23 @@ def q_search_users(spark, sf_dir):
     return reports.search_users(warehouse_state(spark, sf_dir).dim_user, SEARCH_TERMS)
 
 
+SEARCH_TABLE = """
+terms AS (SELECT right('0000' || o_orderkey, 5) AS term FROM orders
+          UNION ALL SELECT CAST(n_nationkey AS VARCHAR) FROM nation
+          UNION ALL SELECT 'USER_' || n_nationkey FROM nation)"""
+
+
+@register("search_users_bulk", O.with_(*O.WAREHOUSE_CHAIN, SEARCH_TABLE) + """
+ SELECT t.term, u.user_id, u.user_name FROM wdim u, (SELECT DISTINCT lower(term) AS term FROM terms) t
+ WHERE u.is_current AND (contains(lower(u.user_id), t.term) OR contains(lower(coalesce(u.user_name, '')), t.term))""")
+def q_search_users_bulk(spark, sf_dir):
+    """A table of terms (one per order, and short and long ones per nation) through trigram postings."""
+    keys = adapters.table(spark, sf_dir, "orders").select(F.expr("right(concat('0000', o_orderkey), 5)").alias("term"))
+    nations = adapters.table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("k"))
+    terms = keys.union(nations).union(nations.select(F.concat(F.lit("USER_"), "k")))
+    return reports.search_users_by_terms(warehouse_state(spark, sf_dir).dim_user, terms)
+
+
 @register("top_foods_by_goal", O.with_(*O.WAREHOUSE_CHAIN) + """
  SELECT goal_type, food_name, COUNT(*) AS n_users, MIN(recommendation_rank) AS best_rank,
         CAST(SUM(recommendation_score) AS DECIMAL(20,2)) AS sum_score, replace(food_name, '_', ' ') AS food_label
@@ -827,16 +884,41 @@ def q_json_roundtrip(spark, sf_dir):
     return dec.select(*[f.name for f in PROFILE_EVENT.fields], "malformed")
 
 
-@register("archive_manifest", O.with_(*O.FOODS_CHAIN, O.USERS) + """
- SELECT * FROM (VALUES ('bronze', 'food_nutrition', (SELECT COUNT(*) FROM bronze), 9),
-                       ('silver', 'food_nutrition_clean', (SELECT COUNT(*) FROM silver), 17),
-                       ('gold', 'user_profiles_enriched', (SELECT COUNT(*) FROM enriched), 9))
-   t(layer, table_name, row_count, column_count)""")
-def q_archive_manifest(spark, sf_dir):
-    """Layers copied to an archive location, manifest built from the copies."""
+def archived_tables(spark, sf_dir) -> dict[tuple[str, str], DataFrame]:
     lay = medallion.layers(spark, sf_dir)
+    return {("bronze", "food_nutrition"): lay.bronze, ("silver", "food_nutrition_clean"): lay.silver,
+            ("gold", "user_profiles_enriched"): lay.users, ("gold", "user_food_recommendations"): rec.fact_rows(lay.recommendations)}
+
+
+ARCHIVED = """
+archived AS (SELECT * FROM (VALUES ('bronze', 'food_nutrition', (SELECT COUNT(*) FROM bronze), 9),
+                                   ('silver', 'food_nutrition_clean', (SELECT COUNT(*) FROM silver), 17),
+                                   ('gold', 'user_profiles_enriched', (SELECT COUNT(*) FROM enriched), 9),
+                                   ('gold', 'user_food_recommendations', (SELECT COUNT(*) FROM top_u), 6))
+             t(layer, table_name, row_count, column_count))"""
+
+
+@register("archive_manifest", O.with_(*O.FOODS_CHAIN, O.USERS, O.TOP_USERS, ARCHIVED) + " SELECT *, 'OK' AS status FROM archived")
+def q_archive_manifest(spark, sf_dir):
+    """All four layer tables copied to an archive location, manifest built from the copies."""
+    root = shared_dir(spark, "archive", _uuid.uuid4().hex[:10])
+    return archive.archive_layers(archived_tables(spark, sf_dir), root).select("layer", "table_name", "row_count", "column_count", "status")
+
+
+@register("archive_rerun", O.with_(*O.FOODS_CHAIN, O.USERS, O.TOP_USERS, ARCHIVED) + """
+ SELECT layer, table_name, row_count, column_count, TRUE AS same_checksum, TRUE AS same_rows, CAST(0 AS INTEGER) AS buckets_copied FROM archived""")
+def q_archive_rerun(spark, sf_dir):
+    """S12 again on unchanged layers: no bucket is copied, the checksum is the first run's, and the
+    archive's rows, read back and digested anew, give it too."""
     root = shared_dir(spark, "archive", _uuid.uuid4().hex[:10])
-    return archive.archive_layers({("bronze", "food_nutrition"): lay.bronze,
-                                   ("silver", "food_nutrition_clean"): lay.silver,
-                                   ("gold", "user_profiles_enriched"): lay.users}, root).select(
-        "layer", "table_name", "row_count", "column_count")
+    tables = archived_tables(spark, sf_dir)
+    first = archive.archive_layers(tables, root).select("layer", "table_name", F.col("checksum").alias("first"))
+    again = archive.archive_layers(tables, root)
+    held = None
+    for layer, name in tables:
+        one = archive.table_digest(archive.read_archived(spark, f"{root}/{layer}/{name}")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), F.col("digest").alias("held"))
+        held = one if held is None else held.unionByName(one)
+    return (again.join(first, ["layer", "table_name"]).join(held, ["layer", "table_name"])
+            .select("layer", "table_name", "row_count", "column_count", (F.col("checksum") == F.col("first")).alias("same_checksum"),
+                    (F.col("checksum") == F.col("held")).alias("same_rows"), "buckets_copied"))

@@ -6,7 +6,7 @@ as temp views for SQL users.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.features import display_name, goal_label, weight_delta
@@ -146,6 +146,41 @@ def search_users(dim_user: DataFrame, terms: list[str]) -> DataFrame:
     return current_rows(dim_user).select(F.explode(hits).alias("term"), "user_id", "user_name")
 
 
+GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """Every substring of ``size`` characters, repeats included."""
+    places = F.sequence(F.lit(1), F.length(text) - size + 1)
+    return F.when(F.length(text) >= size, F.transform(places, lambda i: F.substr(text, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+
+
+def search_users_by_terms(dim_user: DataFrame, terms: DataFrame) -> DataFrame:
+    """J10 in bulk with the terms in a table (column ``term``): (term, user) pairs
+    where the term occurs, case-insensitively, in the id or the name of a current user.
+
+    Every user is posted under the distinct trigrams of id and name (and, for terms
+    shorter than that, under the shorter substrings and the empty one); only
+    postings that some term holds are kept. A term looks up the one of its
+    trigrams with the fewest users, and each hit is verified on the text. No plan
+    literal and no task depends on the number of terms. Null terms find nothing,
+    the empty term finds everybody, repeated terms count once; a null id or name
+    holds no text.
+    """
+    name, ident = F.lower(F.coalesce("user_name", F.lit(""))), F.lower(F.coalesce("user_id", F.lit("")))
+    wanted = terms.select(F.lower("term").alias("term")).filter("term is not null").distinct()
+    own = F.when(F.length("term") >= GRAM, F.array_distinct(_grams(F.col("term"), GRAM))).otherwise(F.array("term"))
+    by_gram = wanted.select("term", F.explode(own).alias("gram"))
+    posted = F.array_distinct(F.concat(F.array(F.lit("")), *[_grams(c, n) for c in (ident, name) for n in range(1, GRAM + 1)]))
+    postings = (current_rows(dim_user).select("user_id", "user_name", F.explode(posted).alias("gram"))
+                .join(by_gram.select("gram").distinct(), "gram", "left_semi"))
+    users = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("users"))
+    rarest = (by_gram.join(users, "gram", "left")
+              .groupBy("term").agg(F.min_by("gram", F.struct(F.coalesce("users", F.lit(0)), "gram")).alias("gram")))
+    return (rarest.join(postings, "gram").filter(F.contains(ident, F.col("term")) | F.contains(name, F.col("term")))
+            .select("term", "user_id", "user_name"))
+
+
 # ---------------------------------------------------------------- A8 roll-ups
 
 FLAGS = ["is_high_protein_low_calorie", "is_high_fiber", "is_low_sugar"]
