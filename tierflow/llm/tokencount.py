@@ -10,6 +10,7 @@ blocks' totals, so that no task holds the whole histogram.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -21,6 +22,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public pattern that goes with the vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LENGTH_BLOCK = 128
+#: Runs of white space from this many characters on are encoded by themselves: the pattern would
+#: track back over them until its stack ends.
+LONG_RUN = 10_000
+_LONG_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 def encoder(vocabulary: str = VOCABULARY) -> Callable[[str], int]:
@@ -30,7 +35,17 @@ def encoder(vocabulary: str = VOCABULARY) -> Callable[[str], int]:
     with open(vocabulary, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
     encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: len(encoding.encode_ordinary(text)) if text else 0
+
+    def count(text: str) -> int:
+        # The pattern takes a run of white space at the end of the text as one piece, and before another
+        # character all of it but its last one; the text is cut just there.
+        total, at = 0, 0
+        for run in _LONG_RUN.finditer(text):
+            cut = run.end() if run.end() == len(text) else run.end() - 1
+            total += len(encoding.encode_ordinary(text[at:run.start()])) + len(encoding._encode_single_piece(text[run.start():cut]))
+            at = cut
+        return total + len(encoding.encode_ordinary(text[at:]))
+    return lambda text: count(text) if text else 0
 
 
 _ENCODERS: dict[str, Callable[[str], int]] = {}
