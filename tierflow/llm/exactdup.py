@@ -6,9 +6,9 @@ identifier) and the number of rows. The first pass works on the input's own
 partitions and leaves one row for each distinct text of a task, so that a text
 that a third of all rows share is one row a task. The second deals these to
 partitions by length and content hash and finds the owners of the whole
-corpus. A trie that outgrows its budget spills whole subtrees (by first byte,
-then by the next) to task-local files, which it reads one after the other
-and removes.
+corpus. A trie that outgrows its budget spills whole subtrees, the largest
+below its first branching node, to task-local files, which it reads one after the other
+and removes; what all texts of a file begin with is skipped there.
 """
 
 from __future__ import annotations
@@ -76,13 +76,22 @@ class Patricia:
                 yield before + n[0], n[2]
             stack.extend((c, before + n[0]) for c in n[1].values())
 
-    def cut(self, skip: set[int]) -> tuple[int, list] | None:
-        """Detach the root's largest subtree whose first byte is not in ``skip``."""
-        size = {b: sum(len(x[0]) for x, in ((n,) for n in self._nodes(c))) for b, c in self.root[1].items() if b not in skip}
-        if not size:
-            return None
-        byte = max(size, key=size.get)
-        return byte, self.root[1].pop(byte)
+    def cut(self, room: int) -> list[tuple[bytes, list]]:
+        """Detach the largest subtrees below the first branching node until at most
+        ``room`` bytes are left: (what leads to the subtree, the subtree)."""
+        above, node = b"", self.root
+        while node[2] is None and len(node[1]) == 1:
+            node = next(iter(node[1].values()))
+            above += node[0]
+        sizes = {byte: sum(len(n[0]) + 200 for n in self._nodes(child)) for byte, child in node[1].items()}
+        left, gone = sum(sizes.values()), []
+        for byte in sorted(sizes, key=sizes.get, reverse=True):
+            if gone and left <= room:
+                break
+            left -= sizes[byte]
+            gone.append((above + bytes([byte]), node[1].pop(byte)))
+        self.bytes = left
+        return gone
 
     @staticmethod
     def _nodes(node):
@@ -111,50 +120,76 @@ def _merge(into: list, owner: tuple, count: int, parts: list, largest: bool) ->
         into[:] = [owner, count, parts]
 
 
+class _Spilled:
+    """Task-local files of subtrees, by what their keys begin with. A key goes to the longest beginning."""
+
+    MOST_OPEN = 100
+
+    def __init__(self, folder: str):
+        self.folder, self.number, self.lengths, self.open = folder, {}, [], {}
+
+    def add(self, start: bytes) -> None:
+        self.number.setdefault(start, len(self.number))
+        self.lengths = sorted({len(s) for s in self.number}, reverse=True)
+
+    def of(self, rest: bytes) -> bytes | None:
+        return next((rest[:n] for n in self.lengths if rest[:n] in self.number), None)
+
+    def path(self, start: bytes) -> str:
+        return os.path.join(self.folder, str(self.number[start]))
+
+    def put(self, start: bytes, key: bytes, value: list) -> None:
+        if start not in self.open:
+            if len(self.open) >= self.MOST_OPEN:
+                self.close()
+            self.open[start] = open(self.path(start), "ab")  # noqa: SIM115
+        pickle.dump((key, value), self.open[start])
+
+    def close(self) -> None:
+        for file in self.open.values():
+            file.close()
+        self.open = {}
+
+    def rows(self, start: bytes) -> Iterator[tuple[bytes, tuple, int, int]]:
+        if not os.path.exists(self.path(start)):
+            return  # a node whose subtrees had all gone before
+        with open(self.path(start), "rb") as f:
+            while True:
+                try:
+                    key, (owner, count, parts) = pickle.load(f)
+                except EOFError:
+                    return
+                yield key, owner, count, parts[0]
+                for p in parts[1:]:
+                    yield key, owner, 0, p
+        os.remove(self.path(start))
+
+
 def owners(rows: Iterator[tuple[bytes, tuple, int, int]], largest: bool, budget: int, depth: int = 0) -> Iterator[tuple[int, tuple, int]]:
     """(key, owner, count, part) rows -> (part, owner, count) of the key's whole
-    group. Beyond ``budget`` bytes subtrees go to files, one for each byte at ``depth``."""
-    trie, files = Patricia(), {}
+    group. All keys agree in their first ``depth`` bytes. Beyond ``budget`` bytes subtrees go to files."""
+    trie = Patricia()
     with tempfile.TemporaryDirectory(prefix="trie-") as folder:
-        def spill(byte, key, value):
-            if byte not in files:
-                files[byte] = open(os.path.join(folder, str(byte)), "wb")  # noqa: SIM115
-            pickle.dump((key, value), files[byte])
-
+        files = _Spilled(folder)
         for key, owner, count, part in rows:
             rest = key[depth:]
-            if rest and rest[0] in files:
-                spill(rest[0], key, [owner, count, [part]])
+            start = files.of(rest)
+            if start is not None:
+                files.put(start, key, [owner, count, [part]])
                 continue
             _merge(trie.terminal(rest), owner, count, [part], largest)
-            while trie.bytes > budget and depth < 64:
-                found = trie.cut(set())
-                if found is None:
-                    break
-                byte, node = found
-                for tail, value in trie.items(node):
-                    spill(byte, key[:depth] + tail if depth else tail, value)
-                    trie.bytes -= len(tail)
-                trie.bytes = max(trie.bytes, 0) if trie.root[1] else 0
+            if trie.bytes > budget:
+                for start, node in trie.cut(budget // 2):
+                    files.add(start)
+                    for tail, value in trie.items(node, start[:-1]):
+                        files.put(start, key[:depth] + tail, value)
         for _, (owner, count, parts) in trie.items():
             for part in parts:
                 yield part, owner, count
         del trie
-        for byte, file in files.items():
-            file.close()
-
-            def again(path=file.name):
-                with open(path, "rb") as f:
-                    while True:
-                        try:
-                            key, (owner, count, parts) = pickle.load(f)
-                        except EOFError:
-                            return
-                        yield key, owner, count, parts[0]
-                        for p in parts[1:]:
-                            yield key, owner, 0, p
-            yield from owners(again(), largest, budget, depth + 1)
-            os.remove(file.name)
+        files.close()
+        for start in files.number:
+            yield from owners(files.rows(start), largest, budget, depth + len(start))
 
 
 def _combine(largest: bool, budget: int):
@@ -189,7 +224,7 @@ def _combine(largest: bool, budget: int):
                 terminal = trie.terminal(text or b"")
                 _merge(terminal, (ident, uid), 1, [] if terminal else [uid], largest)
                 rows.append((uid, terminal))
-            if trie.bytes > budget:
+            if trie.bytes + 100 * len(rows) > budget:
                 yield flush(trie, rows, ids)
                 trie, rows, ids = Patricia(), [], []
         if rows:
