@@ -118,6 +118,32 @@ def test_trie_spills_by_subtree_and_merges():
         assert got == want
 
 
+def test_spilling_skips_a_common_beginning_and_keeps_its_budget(monkeypatch):
+    rng = np.random.default_rng(2)
+    head = b"h" * 80
+    keys = [head + bytes(rng.integers(97, 101, 12).astype(np.uint8)) for _ in range(3000)] + [head, b"", head[:40], head + b"x" * 300]
+    rows = [(k, (i, i), 1, i) for i, k in enumerate(keys)]
+    first = {}
+    for i, k in enumerate(keys):
+        first.setdefault(k, i)
+    n = collections.Counter(keys)
+    largest, levels, cut = [], [], exactdup.Patricia.cut
+
+    def watched(self, room):
+        largest.append(self.bytes)
+        return cut(self, room)
+
+    def leveled(rows, largest, budget, depth=0, run=exactdup.owners):
+        levels.append(depth)
+        return run(rows, largest, budget, depth)
+    monkeypatch.setattr(exactdup.Patricia, "cut", watched)
+    monkeypatch.setattr(exactdup, "owners", leveled)
+    got = {part: (owner[0], c) for part, owner, c in exactdup.owners(iter(rows), False, 20_000)}
+    assert got == {i: (first[k], n[k]) for i, k in enumerate(keys)}
+    assert max(largest) <= 20_000 + 2 * 400 + 300
+    assert max(levels) <= 86 and len(set(levels)) <= 8  # not a level for each byte of the beginning
+
+
 def test_containment(spark, docs, no_docs, doc_rows):
     items = [(1, doc_rows[0][1][:200]), (2, "one two three"), (3, None), (4, ""), (5, doc_rows[1][1]), (5, doc_rows[2][1] + " zz yy xx"), (None, doc_rows[4][1]), (7, "never in any text at all here")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -245,6 +271,45 @@ def test_reshard(docs, no_docs, doc_rows):
     assert sorted(r.slot for r in still) == list(range(len(rows)))
 
 
+def test_reshard_keeps_equal_texts_together(spark):
+    rows = [(i, f"text {i} " * (1 + i % 40)) for i in range(1500)]
+    share = sum(len(t) + 16 for _, t in rows) // 20
+    for g in range(6):  # groups between an eighth of a share and nearly a whole one
+        text = f"group {g} " * 30
+        rows += [(10_000 * (g + 1) + i, text) for i in range(share * (g + 1) // 8 // (len(text) + 16))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.reshard(docs, shards=20, old_shards=16)
+    shards, sizes = collections.defaultdict(set), collections.Counter()
+    for r in got.collect():
+        shards[r.text_crc32].add(r.shard)
+        sizes[r.shard] += r.size
+    assert len(sizes) == 20 and all(len(s) == 1 for s in shards.values())
+    assert max(sizes.values()) - min(sizes.values()) <= max(len(t) for _, t in rows) + 16
+    moved = sharding.moved_bytes(got, 20).first()
+    assert moved.total_bytes == sum(sizes.values()) and moved.least_bytes <= moved.moved_bytes <= 1.2 * moved.least_bytes
+    # one text above a share, its ids null or repeated: rows are dealt singly, nothing is lost
+    hot = rows[:1500] + [(None if i % 2 else 7, "the same again") for i in range(9000)]
+    got = sharding.reshard(spark.createDataFrame(hot, "doc_id long, text string"), shards=20, old_shards=16).collect()
+    assert collections.Counter((r.doc_id, r.text_crc32) for r in got) == collections.Counter((i, zlib.crc32(t.encode())) for i, t in hot)
+    sizes, slots = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(sizes.values()) < 1.1 * min(sizes.values())
+
+
+def test_long_white_space_is_counted_as_the_pattern_has_it(monkeypatch):
+    count = tokencount.encoder()
+    assert count("a" + " " * 2_000_000 + "b") > 2 and count("\n" * 2_000_000) > 0 and count(" \t\u3000" * 700_000 + "'s") > 0
+    rng = np.random.default_rng(5)
+    parts = ["a", "bc ", "12", "'s", "!?", " ", "  ", "\n", "\t \n", "\u3000\xa0", "\x1c", "é", "   \r\n"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 30))) for _ in range(3000)]
+    plain = [count(t) for t in texts]  # no run is long here
+    monkeypatch.setattr(tokencount, "_LONG_RUN", re.compile(tokencount._LONG_RUN.pattern.replace("{10000,}", "{2,}")))
+    assert [count(t) for t in texts] == plain
+
+
 def test_toxicity(spark, docs, no_docs):
     rng = np.random.default_rng(4)
     calm = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(300)]

@@ -3,8 +3,9 @@ shards' capacities, solve which bytes move so that the fewest move; give whole
 blocks of documents to the flows; rewrite the files of the shards that change.
 
 A block is the texts of one old shard with one text hash, so equal texts stay
-together; only a block larger than an eighth of a new shard's share is dealt
-into pieces by the hash of the id. The flow network and the table of blocks
+together; a block larger than an eighth of a new shard's share is dealt
+into pieces by a second hash of the text. Only a text whose own copies exceed a
+shard's share (fewer such texts than shards can be) has its rows dealt one by one. The flow network and the table of blocks
 have a size set by the parameters, not by the corpus.
 """
 
@@ -16,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import scratch, width
+from tierflow.llm.common import scratch, stage, width
 
 SHARDS, OLD_SHARDS, BLOCKS, OVERHEAD = 40, 32, 256, 16
 HEAVY, PIECE = 8, 16
@@ -77,7 +78,8 @@ def place_blocks(blocks: list[tuple[int, int]], flow: np.ndarray, rounds: int =
         fit = [b for b in of[hi] if 0 < blocks[b][1] < gap]
         if not fit:
             break
-        b = min(fit, key=lambda b: (abs(2 * blocks[b][1] - gap), b))
+        # of blocks that even out alike, one whose move brings it home, or does not take it from there
+        b = min(fit, key=lambda b: (abs(2 * blocks[b][1] - gap), (blocks[b][0] != lo) - (blocks[b][0] != hi), b))
         of[hi].remove(b)
         of[lo].add(b)
         held[hi] -= blocks[b][1]
@@ -97,7 +99,7 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, old_shards: int =
     ``size`` is the text's UTF-8 bytes plus 16; slots run without gaps from 0 in
     each shard. A null text counts as empty but stays null in the files; null
     ids sort first. Equal texts share a shard unless they are too many bytes
-    for one (see above); repeated rows each take a slot. Other columns are not carried. An empty
+    for one (see above); repeated rows and null ids are rows like others, and each takes a slot. Other columns are not carried. An empty
     table gives no rows.
     """
     spark = docs.sparkSession
@@ -105,7 +107,8 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, old_shards: int =
     old = old_shard if old_shard is not None else F.pmod(F.crc32(text.cast("binary")), F.lit(old_shards))
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
                       F.crc32(text.cast("binary")).alias("text_crc32"), old.cast("int").alias("old"),
-                      F.pmod(F.xxhash64(text), F.lit(blocks)).cast("int").alias("block"))
+                      F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit(1), text).alias("text_hash2"))
+    src = src.withColumn("block", F.pmod("text_hash", F.lit(blocks)).cast("int"))
     kept = src.drop("text")
     sums = [F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")]
     coarse = [tuple(r) for r in kept.groupBy("old", "block").agg(*sums).collect()]  # old_shards * blocks rows at most
@@ -113,10 +116,19 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, old_shards: int =
     share = max(1, total // shards)
     heavy = [(o, b, max(2, -(-n * PIECE // share))) for o, b, n, _ in coarse if n * HEAVY > share]  # at most shards * HEAVY rows
     split = F.broadcast(spark.createDataFrame(heavy, "old int, block int, pieces int"))
-    piece = F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")
     fine = [(o, b, 0, n, k) for o, b, n, k in coarse if n * HEAVY <= share]
+    dealt = src.join(split, ["old", "block"], "left").withColumn("piece", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod("text_hash2", "pieces")).cast("long"))
     if heavy:
-        fine += [tuple(r) for r in kept.join(split, ["old", "block"]).withColumn("piece", piece).groupBy("old", "block", "piece").agg(*sums).collect()]
+        by_text = kept.join(split, ["old", "block"]).groupBy("old", "block", "text_hash", "text_hash2").agg(F.sum("size").alias("bytes"))
+        wide = [tuple(r) for r in by_text.filter(F.col("bytes") > share).collect()]  # fewer than shards + 1 rows: each is above a share
+        if wide:
+            deal = [(h, g, (i + 1) << 32, -(-n * PIECE // share)) for i, (_, _, h, g, n) in enumerate(sorted(wide))]
+            wide_texts = F.broadcast(spark.createDataFrame(deal, "text_hash long, text_hash2 long, base long, ways long"))
+            # the rows' own numbers must not change between the two readings, so these rows are written down
+            apart = stage(dealt.join(wide_texts, ["text_hash", "text_hash2"]).withColumn("nth", F.monotonically_increasing_id()), "wide")
+            apart = apart.withColumn("piece", F.col("base") + F.pmod(F.xxhash64("nth"), F.col("ways"))).select(dealt.columns)
+            dealt = dealt.join(wide_texts.select("text_hash", "text_hash2"), ["text_hash", "text_hash2"], "left_anti").select(dealt.columns).union(apart)
+        fine += [tuple(r) for r in dealt.filter("pieces is not null").groupBy("old", "block", "piece").agg(*sums).collect()]
     fine.sort()
     supply = [sum(r[3] for r in fine if r[0] == i) for i in range(old_shards)]
     capacity = [total // shards + (j < total % shards) for j in range(shards)]
@@ -127,10 +139,10 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, old_shards: int =
         offset[j] += r[4]
         if j != r[0]:
             changed |= {j, r[0]}
-    plan = F.broadcast(spark.createDataFrame(table, "old int, block int, piece int, shard int, first long"))  # one row per block
+    plan = F.broadcast(spark.createDataFrame(table, "old int, block int, piece long, shard int, first long"))  # one row per block
     parts = max(1, -(-2 * width(spark) // shards))
-    dealt = (src.join(split, ["old", "block"], "left").withColumn("piece", F.when(F.col("pieces").isNull(), 0).otherwise(piece))
-             .join(plan, ["old", "block", "piece"]).withColumn("part", F.pmod(F.col("block") + F.col("piece"), F.lit(parts))))
+    dealt = (dealt.join(plan, ["old", "block", "piece"])
+             .withColumn("part", F.pmod(F.col("block") + F.col("piece"), F.lit(parts)).cast("int")))
     own = Window.partitionBy("shard", "part", "old", "block", "piece").orderBy(F.col("id").asc_nulls_first(), "text_crc32", "size")
     slots = dealt.repartition(width(spark), "shard", "part").withColumn("slot", F.col("first") + F.row_number().over(own) - 1)
     columns = ["id", "size", "text_crc32", "shard", "slot", "old"]
@@ -144,3 +156,14 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, old_shards: int =
         got = got.union(slots.filter(~moved).select(columns))
     return got.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"), F.col("old").alias("old_shard"))
+
+
+def moved_bytes(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """One row: total_bytes, moved_bytes (in another shard than before) and least_bytes (what any
+    dealing into equal shards has to move, bytes taken as divisible)."""
+    olds = placed.groupBy("old_shard").agg(F.sum("size").alias("bytes"), F.sum(F.when(F.col("shard") != F.col("old_shard"), F.col("size")).otherwise(0)).alias("moved"))
+    total = F.sum("bytes").over(Window.partitionBy())  # a row an old shard
+    capacity = F.when(F.col("old_shard") < shards, F.floor(total / shards) + (F.col("old_shard") < total % shards).cast("int")).otherwise(0)
+    return (olds.withColumns({"least": F.greatest(F.col("bytes") - capacity, F.lit(0))})
+            .agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"), F.coalesce(F.sum("moved"), F.lit(0)).alias("moved_bytes"),
+                 F.coalesce(F.sum("least"), F.lit(0)).alias("least_bytes")))
