@@ -17,7 +17,7 @@ Smoothing is absolute discounting with interpolation: P(w|h) = max(c(hw) - D, 0)
 + g(h) P(w|h'), down to the additive unigram. Stored is the first term; g(h) is
 what the stored terms of a context leave of 1, so that the quantised model still sums to 1.
 N-grams of two or more words seen fewer than ``least`` times are not stored (their mass goes to g);
-the registered query stores all (``least`` 1).
+by default all are stored (``least`` 1).
 """
 
 from __future__ import annotations
@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.common import mix, scratch, text_slices, width, word_hashes
 
-ORDER, DISCOUNT, LEAST, DELTA = 3, 0.75, 2, 0.1
+ORDER, DISCOUNT, LEAST, DELTA = 3, 0.75, 1, 0.1
 END = np.uint64(0x9E3779B97F4A7C15)  # the hash that stands for a text's end
 SLICE = 4 << 20  # bytes of text whose n-grams are counted together
+SCORED = 2 << 20  # bytes of text whose n-grams are looked up together
 RUN = 16 << 20  # bytes of counts that a shard's task holds before it sums them
 HOT = 4  # a word is hot from the HOT-th part of a shard's mean tokens
 HOT_OF = 1024  # most hot words of one shard's range
@@ -73,7 +74,7 @@ def open_arrays(path: str) -> dict[str, np.ndarray]:
     """Memory-mapped where the shared folder is mounted, else read as a whole file."""
     fs, at = filesystem(path)
     if isinstance(fs, pafs.LocalFileSystem):
-        raw = np.memmap(at, np.uint8, "r")
+        raw = np.memmap(at, np.uint8, "r").view(np.ndarray)
     else:
         with fs.open_input_file(at) as f:
             raw = np.frombuffer(f.read(), np.uint8)
@@ -216,11 +217,15 @@ class Vocabulary:
                 counts[cuts[s]:cuts[s + 1]] = np.where(known, part["count"][at], 0)
         return ids, counts
 
-    def numbers(self, texts: pa.Array):
-        """(token numbers, counts, offsets) of texts."""
+    def distinct(self, texts: pa.Array):
+        """(numbers and counts of the distinct tokens, each token's place among them, offsets) of texts."""
         tokens, at = _tokens(texts)
         distinct, back = np.unique(tokens, return_inverse=True)
-        ids, counts = self.lookup(distinct)
+        return *self.lookup(distinct), back, at
+
+    def numbers(self, texts: pa.Array):
+        """(token numbers, counts, offsets) of texts."""
+        ids, counts, back, at = self.distinct(texts)
         return ids[back], counts[back], at
 
 
@@ -244,7 +249,22 @@ def _blobs(shard: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray):
     cuts = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else np.zeros(0, int)
     ends = np.concatenate((cuts[1:], [len(shard)])).astype(int)
     return pa.RecordBatch.from_arrays(
-        [pa.array(shard[cuts], pa.int32()), *[pa.array([x[i:j].tobytes() for i, j in zip(cuts, ends)], pa.binary()) for x in (a, b, n)]], names=["shard", "a", "b", "n"])
+        [pa.array(shard[cuts], pa.int32()), *[pa.array([_packed(x[i:j], c == 0) for i, j in zip(cuts, ends)], pa.binary()) for c, x in enumerate((a, b, n))]], names=["shard", "a", "b", "n"])
+
+
+def _packed(x: np.ndarray, steps: bool) -> bytes:
+    """The numbers' first bytes, then their second and so on, of sorted numbers of their
+    steps: the upper ones are mostly zeros, which the shuffle's compression takes out."""
+    if steps and len(x):
+        x = np.diff(x, prepend=x[:1] * 0)
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _unpacked(raw, kind, steps: bool) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(raw, np.uint8)
+    x = np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).reshape(-1).view(kind)
+    return np.cumsum(x, dtype=kind) if steps else x
 
 
 def _count_words(shards: int):
@@ -307,7 +327,7 @@ def _shards(batches, kinds: list):
                 if held or run:
                     yield shard, _merged(run, held, kinds)
                 shard, run, held, size = own, None, [], 0
-            held.append([np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in zip(("a", "b", "n"), kinds)])
+            held.append([_unpacked(batch.column(c)[i].as_buffer(), t, c == "a") for c, t in zip(("a", "b", "n"), kinds)])
             size += sum(x.nbytes for x in held[-1])
             if size >= max(RUN, sum(x.nbytes for x in run) if run else 0):
                 run, held, size = _merged(run, held, kinds), [], 0
@@ -426,59 +446,57 @@ class Trie:
         at, same = part[k, "words"].find((word + lift).astype(np.uint64))
         return at, same & (at >= lo) & (at < hi)
 
-    def terms(self, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """For n-grams (columns of word numbers): the stored term (0 if none) and
-        what the context leaves to lower orders."""
-        k, n = len(grams), len(grams[0])
-        term, left = np.zeros(n), np.ones(n)
-        offsets = self.vocabulary.offsets
-        known = np.flatnonzero(grams[0] >= 0)
-        shard = _shard(offsets, self.hot, grams[0][known], grams[1][known])
-        turn = np.argsort(shard, kind="stable")
-        known, shard = known[turn], shard[turn]
+    def _by_shard(self, shard: np.ndarray):
+        """(part, first and end place) for each run of the sorted ``shard``; those below 0, and shards without a file, are left out."""
         cuts = np.searchsorted(shard, np.arange(len(self.paths) + 1))
-        hot = _place(self.hot, grams[0])
         for s in np.flatnonzero(np.diff(cuts)):
-            part = self.part(int(s))
-            if part is None:
-                continue
-            rows = known[cuts[s]:cuts[s + 1]]
-            node = np.where(hot[rows] >= 0, offsets[s + 1] - offsets[s] + hot[rows], grams[0][rows] - offsets[s])
-            for level in range(2, k + 1):
-                if level == k:
-                    left[rows] = part[f"{k}.left"][node]
-                good = np.flatnonzero(grams[level - 1][rows] >= 0)
-                rows, node = rows[good], node[good]
-                at, found = self.step(part, level, node, grams[level - 1][rows])
-                rows, node = rows[found], at[found]
-            term[rows] = 10 ** (part[f"{k}.code"][node] * -STEP)
-        if k == 2:  # a hot word's terms are in all files
-            left = np.where(hot >= 0, self.hot_left[hot], left)
-        return term, left
-
-    def probabilities(self, ids: np.ndarray, at: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-        """P of every token given up to ``order - 1`` tokens before it in its text."""
-        base = self.vocabulary.size + 3
-        columns = [_before(ids, at, b, self.vocabulary.size) if b else ids for b in range(self.order - 1, -1, -1)]
-        p = unigram
-        for k in range(2, self.order + 1):
-            own = columns[-k:]
-            usable = np.flatnonzero(np.all([c != -2 for c in own[:-1]], axis=0))
-            key = own[0][usable] + 1
-            tables = []
-            for c in own[1:]:  # distinct n-grams, first word first
-                distinct, rank = np.unique(key, return_inverse=True)
-                tables.append(distinct)
-                key = rank * base + c[usable] + 1
-            distinct, back = np.unique(key, return_inverse=True)
-            grams, rest = [], distinct
-            for table in reversed(tables):
-                grams.insert(0, rest % base - 1)
-                rest = table[rest // base]
-            grams.insert(0, rest - 1)
-            term, left = self.terms(grams)
-            p = p.copy()
-            p[usable] = term[back] + left[back] * p[usable]
+            if self.part(int(s)) is not None:
+                yield int(s), self.part(int(s)), int(cuts[s]), int(cuts[s + 1])
+
+    def pairs(self, a: np.ndarray, b: np.ndarray, shard: np.ndarray):
+        """For pairs of word numbers, sorted by shard: the stored term (0 if none), what the
+        first word leaves to lower orders, and the pair's node and what that leaves (-1 and 1 if none)."""
+        term, left, node, after = np.zeros(len(a)), np.ones(len(a)), np.full(len(a), -1, np.int64), np.ones(len(a))
+        offsets, hot = self.vocabulary.offsets, _place(self.hot, a)
+        for s, part, lo, hi in self._by_shard(shard):
+            at = np.where(hot[lo:hi] >= 0, offsets[s + 1] - offsets[s] + hot[lo:hi], a[lo:hi] - offsets[s])
+            left[lo:hi] = part["2.left"][at]
+            good = np.flatnonzero(b[lo:hi] >= 0)
+            place, found = self.step(part, 2, at[good], b[lo:hi][good])
+            rows, place = lo + good[found], place[found]
+            term[rows], node[rows] = 10 ** (part["2.code"][place] * -STEP), place
+            if self.order > 2:
+                after[rows] = part["3.left"][place]
+        return term, np.where(hot >= 0, self.hot_left[hot], left), node, after  # a hot word's terms are in all files
+
+    def probabilities(self, numbers: np.ndarray, token: np.ndarray, at: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+        """P of every token given up to ``order - 1`` tokens before it in its text. ``token`` are places in
+        ``numbers``. Distinct pairs are looked up once; they are the contexts that distinct triples go on from."""
+        known = len(numbers)
+        base = known + 1
+        pairs, pair = np.unique(_before(token, at, 1, known) * base + token, return_inverse=True)
+        a, b = np.append(numbers, self.vocabulary.size)[pairs // base], numbers[pairs % base]
+        shard = np.where(a >= 0, _shard(self.vocabulary.offsets, self.hot, a, b), -1)
+        turn = np.argsort(shard, kind="stable")
+        a, b, shard = a[turn], b[turn], shard[turn]
+        back = np.empty_like(turn)
+        back[turn] = np.arange(len(turn))
+        pair = back[pair]
+        term, left, node, after = self.pairs(a, b, shard)
+        p = term[pair] + left[pair] * unigram
+        if self.order == 2:
+            return p
+        place = np.arange(len(token)) - np.repeat(at[:-1], np.diff(at))
+        later = np.flatnonzero(place > 0)
+        before = pair[later - 1]
+        triples, back = np.unique(before * base + token[later], return_inverse=True)
+        context, word = triples // base, numbers[triples % base]  # contexts ascend, and with them the shards
+        term = np.zeros(len(triples))
+        for _, part, lo, hi in self._by_shard(shard[context]):
+            rows = lo + np.flatnonzero((node[context[lo:hi]] >= 0) & (word[lo:hi] >= 0))
+            to, found = self.step(part, 3, node[context[rows]], word[rows])
+            term[rows[found]] = 10 ** (part["3.code"][to[found]] * -STEP)
+        p[later] = term[back] + after[before] * p[later]
         return p
 
 
@@ -538,10 +556,11 @@ def lm_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
         trie = model.open()
         scale = model.tokens + model.delta * (trie.vocabulary.size + 1)
         for batch in batches:
-            for lo, hi, texts in text_slices(batch, 1):
-                ids, counts, at = trie.vocabulary.numbers(texts)
+            for lo, hi, texts in text_slices(batch, 1, SCORED):
+                numbers, counts, token, at = trie.vocabulary.distinct(texts)
+                counts = counts[token]
                 unigram = (counts + model.delta) / scale if scale else np.ones(len(counts))
-                p = trie.probabilities(ids, at, unigram)
+                p = trie.probabilities(numbers, token, at, unigram)
                 sums = [np.add.reduceat(x, at[:-1]) for x in (np.log10(unigram), np.log10(p), (counts > 0).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(at)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1])],
                                                  names=["id", "n_tokens", "n_known", "base_score", "score"])
