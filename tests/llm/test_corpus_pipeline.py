@@ -53,4 +53,4 @@ def test_without_a_model_nothing_is_rejected(spark, tmp_path):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in registry.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in registry.QUERIES}
