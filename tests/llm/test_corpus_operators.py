@@ -555,3 +555,15 @@ def test_registered_scores_use_all_ngrams(spark):
     whole = ngram_lm.lm_scores(docs, ngram_lm.fit(docs.filter(~ngram_lm.held_out(F.col("doc_id"))), least=1))
     want = {r.doc_id: r.score for r in whole.collect()}
     assert {r.doc_id: r.score for r in registry.op9_lm_scoring(spark, sf).collect()} == pytest.approx(want, abs=1e-6)
+
+
+def test_a_shard_is_a_task_of_its_own(spark):
+    blobs = spark.range(300).select((F.col("id") % 60).cast("int").alias("shard"))
+    got = ngram_lm._dealt(blobs, 60).groupBy(F.spark_partition_id()).agg(F.count_distinct("shard").alias("shards"), F.count(F.lit(1)).alias("rows")).collect()
+    assert len(got) == 60 and {(r.shards, r.rows) for r in got} == {(1, 5)}
+
+
+def test_merged_counts_let_go_of_their_parts():
+    rows = [[np.array(x, np.int64) for x in ([3, 1], [0, 2], [1, 1])], [np.array(x, np.int64) for x in ([1, 1], [2, 5], [4, 1])]]
+    a, b, n = ngram_lm._merged(rows)
+    assert (a.tolist(), b.tolist(), n.tolist()) == ([1, 1, 3], [2, 5, 0], [5, 1, 1]) and rows == []

@@ -319,27 +319,29 @@ def _count_ngrams(paths, sizes, order: int, hot: np.ndarray):
 def _shards(batches, kinds: list):
     """Rows sorted by shard -> (shard, its summed counts as columns a, b, n).
     Blobs are summed as soon as they outweigh what is summed so far (and RUN),
-    so that a task holds a shard's distinct n-grams but not all their repeats."""
-    shard, run, held, size = None, None, [], 0
+    so that a task holds a shard's distinct n-grams but not all their repeats,
+    and nothing of them while the shard is written."""
+    shard, rows, size, summed = None, [], 0, 0  # the first of rows is what is summed so far
     for batch in batches:
         for i, own in enumerate(batch.column("shard").to_pylist()):
             if own != shard:
-                if held or run:
-                    yield shard, _merged(run, held, kinds)
-                shard, run, held, size = own, None, [], 0
-            held.append([_unpacked(batch.column(c)[i].as_buffer(), t, c == "a") for c, t in zip(("a", "b", "n"), kinds)])
-            size += sum(x.nbytes for x in held[-1])
-            if size >= max(RUN, sum(x.nbytes for x in run) if run else 0):
-                run, held, size = _merged(run, held, kinds), [], 0
-    if held or run:
-        yield shard, _merged(run, held, kinds)
-
-
-def _merged(run: list | None, held: list, kinds: list) -> list[np.ndarray]:
-    """Columns (a, b, n), sorted by (a, b), of which each pair comes once; b is empty for words."""
-    rows = ([run] if run else []) + held
+                if rows:
+                    yield shard, _merged(rows)
+                shard, size, summed = own, 0, 0
+            rows.append([_unpacked(batch.column(c)[i].as_buffer(), t, c == "a") for c, t in zip(("a", "b", "n"), kinds)])
+            size += sum(x.nbytes for x in rows[-1])
+            if size >= max(RUN, summed):
+                rows = [_merged(rows)]
+                size, summed = 0, sum(x.nbytes for x in rows[0])
+        del batch
+    if rows:
+        yield shard, _merged(rows)
+
+
+def _merged(rows: list) -> list[np.ndarray]:
+    """Columns (a, b, n), sorted by (a, b), of which each pair comes once; b is empty for words. ``rows`` is emptied."""
     a, b, n = (np.concatenate([r[i] for r in rows]) for i in range(3))
-    rows = None
+    rows.clear()
     order = np.lexsort((b, a)) if len(b) else np.argsort(a, kind="stable")
     a, b, n = a[order], b[order] if len(b) else b, n[order].astype(np.int64)
     del order
@@ -350,6 +352,11 @@ def _merged(run: list | None, held: list, kinds: list) -> list[np.ndarray]:
     return [a[starts], b[starts] if len(b) else b, np.add.reduceat(n, starts) if len(n) else n]
 
 
+def _dealt(blobs: DataFrame, shards: int) -> DataFrame:
+    """Each shard in a task of its own: by hash several would meet in one, lie there in one batch and have to be sorted."""
+    return blobs.repartitionById(shards, "shard")
+
+
 _MADE = "shard int, path string, size long, total long, bytes long, hot binary"
 
 
@@ -523,7 +530,7 @@ def fit(train: DataFrame, text_col: str = "text", order: int = ORDER, least: int
     texts = train.select(F.col(text_col).alias("text"))
 
     def summed(blobs: DataFrame, write) -> dict[int, tuple]:
-        made = blobs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(write, _MADE)
+        made = _dealt(blobs, shards).mapInArrow(write, _MADE)
         return {r["shard"]: (r["path"], r["size"], r["total"], bytes(r["hot"])) for r in made.collect()}  # one row per shard
     words = summed(texts.mapInArrow(_count_words(shards), _BLOB), _write_words(root))
     paths, sizes = [words.get(s, ("", 0))[0] for s in range(shards)], [words.get(s, ("", 0))[1] for s in range(shards)]
