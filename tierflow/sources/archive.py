@@ -36,13 +36,27 @@ def _row_hash(columns: list[str], seed: int) -> Column:
 
 
 def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(_row_hash(df.columns, 0), F.lit(buckets)).cast("int"))
+    return df.withColumn(BUCKET, F.coalesce(F.pmod(_row_hash(df.columns, 0), F.lit(buckets)).cast("int"), F.lit(0)))  # never null, and known not to be
+
+
+def _of_buckets(source: DataFrame, buckets: list[int]) -> DataFrame:
+    """The rows of some buckets. A filter on the bucket (also one that the other side of a join implies) would be moved below
+    the source's own aggregates, with all that its columns are made of written out in the row hash and evaluated again; a
+    join with the plain numbers stays where it is."""
+    numbers = source.sparkSession.createDataFrame([(b,) for b in buckets], f"{BUCKET} int")
+    return source.join(F.broadcast(numbers), BUCKET).select(*source.columns)
+
+
+def _exact_sum(value: Column) -> Column:
+    """Exact sum of 64-bit numbers, as two sums of their halves: decimals are added far more slowly."""
+    high, low = F.sum(F.shiftright(value, 32)), F.sum(value.bitwiseAND(F.lit(0xFFFFFFFF)))
+    return high.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + low.cast("decimal(20,0)")
 
 
 def digests(bucketed: DataFrame) -> DataFrame:
     """(bucket, row_count, digest) of a table with its bucket column; one row a bucket, combined before the shuffle."""
     columns = [c for c in bucketed.columns if c not in (BUCKET, RUN)]
-    sums = [F.sum(_row_hash(columns, seed).cast("decimal(20,0)")).cast("string") for seed in (1, 2)]
+    sums = [_exact_sum(_row_hash(columns, seed)).cast("string") for seed in (1, 2)]
     return bucketed.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("row_count"), F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums), 256).alias("digest"))
 
 
@@ -118,7 +132,7 @@ def archive_table(df: DataFrame, path: str, buckets: int = BUCKETS) -> dict:
     moving = F.col(BUCKET).isin(todo) if todo else F.lit(False)
     if todo or before is None:
         # a row's hash decides its bucket, so buckets are even; one row repeated often is split by AQE
-        rows = source.filter(moving).hint("rebalance", BUCKET).withColumn(RUN, F.lit(run))
+        rows = _of_buckets(source, todo).hint("rebalance", BUCKET).withColumn(RUN, F.lit(run))
         rows.write.mode("append").partitionBy(RUN, BUCKET).parquet(folder)
     if todo:
         copy = spark.read.schema(f"{fields}, {RUN} string, {BUCKET} int").parquet(folder).filter(F.col(RUN) == run)
