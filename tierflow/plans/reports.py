@@ -198,10 +198,12 @@ def search_users_by_terms(dim_user: DataFrame, terms: DataFrame) -> DataFrame:
     own = F.when(F.length("term") >= GRAM, F.array_distinct(_grams(F.col("term"), GRAM))).otherwise(F.array("term"))
     by_gram = wanted.select("term", F.explode(own).alias("gram"))
     posted = F.array_distinct(F.concat(F.array(F.lit("")), *[_grams(c, n) for c in (ident, name) for n in range(1, GRAM + 1)]))
-    postings = (current_rows(dim_user).select("user_id", "user_name", F.explode(posted).alias("gram"))
+    # dealt before they are posted: a task would read again all postings of the users that one task of a few had
+    users = current_rows(dim_user).select("user_id", "user_name").repartition(int(dim_user.sparkSession.conf.get("spark.sql.shuffle.partitions")), "user_id", "user_name")
+    postings = (users.select("user_id", "user_name", F.explode(posted).alias("gram"))
                 .join(by_gram.select("gram").distinct(), "gram", "left_semi"))
-    users = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("users"))
-    rarest = (by_gram.join(users, "gram", "left")
+    held = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("users"))
+    rarest = (by_gram.join(held, "gram", "left")
               .groupBy("term").agg(F.min_by("gram", F.struct(F.coalesce("users", F.lit(0)), "gram")).alias("gram")))
     return (rarest.join(postings, "gram").filter(F.contains(ident, F.col("term")) | F.contains(name, F.col("term")))
             .select("term", "user_id", "user_name"))
