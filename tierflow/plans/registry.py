@@ -776,7 +776,7 @@ def run_topic_stream(spark, sf_dir, root=None, load=False):
     """The topic's records in five batches, out of order, each with a tenth of the one
     before delivered again; returns the store. ``load``: after a batch load of the users."""
     root = root or shared_dir(spark, "topic_stream", _uuid.uuid4().hex[:10])
-    records = materialize(_records(spark, sf_dir))
+    records = materialize(_records(spark, sf_dir).repartition("offset"))  # as they lie in the file, a batch would be in one or two tasks
     last = records.agg(F.max("offset")).first()[0] or 0  # one number
     store = profile_stream.SnapshotStore(spark, f"{root}/state", buckets=4)
     foods = medallion.silver_foods(spark, sf_dir)
