@@ -834,6 +834,25 @@ def q_warehouse_run(spark, sf_dir):
     return store.read("fact").select(*FACT_REC_COLUMNS).join(users, "user_id").join(F.broadcast(foods), F.lit(True))
 
 
+#: Tables of the store that hold rows of users.
+HELD = ("dim", "fact", "log", "refused", "rejected", "hw")
+
+
+def _held_rows(store, away):
+    """(table_name, n): rows of the users ``away`` in any file of the store's tables.
+
+    Merge joins: a column of a compressed file is some hundred times larger than its share of
+    the file's bytes, by which Spark would send every file's users to the driver."""
+    out = None
+    for t in HELD:
+        rows = store.files(t).withColumnRenamed("last_delete_id", "mark").join(away.hint("merge"), "user_id")
+        if "event_id" in rows.columns:  # what a user sent after the delete is not erased by it
+            rows = rows.filter("event_id <= last_delete_id")
+        one = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("erased_files", O.with_(O.EVENTS, O.VALIDATED, O.FOLD) + """,
 away AS (SELECT user_id FROM ok GROUP BY user_id HAVING max(event_id) = max(CASE WHEN event_type = 'delete' THEN event_id END))
 SELECT t.table_name, (SELECT count(*) FROM away) > 0 AS found_before, 0 AS rows_left, (SELECT count(*) FROM dim) AS dim_rows
@@ -841,23 +860,11 @@ FROM (VALUES ('dim'), ('fact'), ('log'), ('refused'), ('rejected'), ('hw')) t(ta
 def q_erased_files(spark, sf_dir):
     """E4 on disk: rows of deleted users in any file of the store, before and after the purge."""
     store = run_topic_stream(spark, sf_dir)
-    tables = ("dim", "fact", "log", "refused", "rejected", "hw")
     away = materialize(store.read("hw").filter("hw_event_id = last_delete_id").select("user_id", "last_delete_id"))
-
-    def held():
-        out = None
-        for t in tables:
-            rows = store.files(t).withColumnRenamed("last_delete_id", "mark").join(away, "user_id")
-            if "event_id" in rows.columns:  # what a user sent after the delete is not erased by it
-                rows = rows.filter("event_id <= last_delete_id")
-            one = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n")
-            out = one if out is None else out.unionByName(one)
-        return materialize(out)
-
-    before = held().agg(F.max(F.col("n") > 0).alias("found_before"))
+    before = materialize(_held_rows(store, away)).agg(F.max(F.col("n") > 0).alias("found_before"))
     store.purge()
     sizes = before.join(store.read("dim").agg(F.count(F.lit(1)).alias("dim_rows")), F.lit(True))  # one row each
-    return held().select("table_name", F.col("n").alias("rows_left")).join(F.broadcast(sizes), F.lit(True))
+    return materialize(_held_rows(store, away)).select("table_name", F.col("n").alias("rows_left")).join(F.broadcast(sizes), F.lit(True))
 
 
 @register("stream_dedup", """
